@@ -21,6 +21,7 @@ def build_session(master: str = "local[8]", app: str = "hrflow", shuffle_partiti
     """Session for tests and local runs; a cluster passes its own settings in ``extra``."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**DEFAULTS, **(extra or {})}.items():

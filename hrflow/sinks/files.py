@@ -53,7 +53,13 @@ def write_json_arrays(df: DataFrame, path: str, value: str | None = None) -> Non
     row becomes a JSON object. A file never holds more than one input partition, so its
     size is bounded by the partition size, not by the data.
     """
-    item = F.to_json(F.col(value)) if value else F.to_json(F.struct(*df.columns))
+    if value:
+        # a JSON string literal: to_json of a one-element array without its brackets
+        one = F.to_json(F.array(F.col(value)))
+        item = F.expr("substring(__one, 2, length(__one) - 2)")
+        df = df.withColumn("__one", one)
+    else:
+        item = F.to_json(F.struct(*df.columns))
     parts = (df.select(F.spark_partition_id().alias("part"), item.alias("j"))
                .groupBy("part")
                .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]")).alias("value")))

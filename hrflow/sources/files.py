@@ -56,8 +56,12 @@ def read_json_string_array(spark: SparkSession, path: str, column: str = "word")
 
 # S8 -------------------------------------------------------------------------------
 def read_json_objects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Files that each hold one JSON array of objects (or one object)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Files that each hold one JSON array of objects (or one object). Partition
+    folders of the path are not part of the result."""
+    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    if isinstance(schema, T.StructType):
+        df = df.select(*schema.fieldNames())
+    return df
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
