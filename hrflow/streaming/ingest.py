@@ -15,13 +15,22 @@ from pyspark.sql import types as T
 
 def ingest_new_files(spark: SparkSession, inbox: str, schema: T.StructType, out: str, checkpoint: str,
                      archive: str | None = None, fmt: str = "csv", header: bool = True,
-                     partition_by: list[str] | None = None):
+                     partition_by: list[str] | None = None, run_key: str | None = None):
+    """Land every file of ``inbox`` not seen before into ``out`` (Parquet).
+
+    With ``run_key`` the rows carry ``ingest_run`` and land in that partition, so a run
+    can pick exactly the files it ingested.
+    """
     r = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         r = r.option("header", header)
     if archive is not None:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     df = r.load(inbox)
+    if run_key is not None:
+        from pyspark.sql import functions as F
+        df = df.withColumn("ingest_run", F.lit(run_key))
+        partition_by = ["ingest_run", *(partition_by or [])]
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)
