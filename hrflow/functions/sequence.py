@@ -8,6 +8,12 @@ takes the first row of the next non-empty slice when that row has the same key.
 The slice heads are one row per partition (a bounded table), so they are broadcast.
 
 All order columns are ascending with NULLs first.
+
+The split costs a second exchange, which only pays when one task could not hold a key.
+With ``skew_safe=None`` the choice follows the optimizer's size estimate of the input
+(the same statistic Spark uses for broadcast decisions): below
+``hrflow.lead.skewSafeMinBytes`` (default 256 MB) even a key holding every row fits in
+one task, so the plain window runs; above it, the split path.
 """
 
 from __future__ import annotations
@@ -15,14 +21,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+SKEW_SAFE_MIN_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job runs), or None if unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def _use_skew_safe(df: DataFrame) -> bool:
+    limit = int(df.sparkSession.conf.get("hrflow.lead.skewSafeMinBytes", str(SKEW_SAFE_MIN_BYTES)))
+    est = estimated_bytes(df)
+    return est is None or est > limit
+
+
 def _shuffle_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, skew_safe: bool | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same ``key`` in ``order``."""
+    order_by = [F.col(c).asc_nulls_first() for c in order]
+    if skew_safe is None:
+        skew_safe = _use_skew_safe(df)
+    if not skew_safe:
+        return df.withColumn(out, F.lead(value).over(Window.partitionBy(key).orderBy(*order_by)))
     n = num_partitions or _shuffle_partitions(df)
     sort_cols = [key, *order]
     # Explicit partition count: AQE keeps this exchange as is, so partition ids are stable.

@@ -46,7 +46,7 @@ def dedupe_timeframe(df: DataFrame, keys=("emp_id", "start_date")) -> DataFrame:
 
 
 # J3 / J4 --------------------------------------------------------------------------
-def chain_intervals(df: DataFrame, mode: str = "fill_null") -> DataFrame:
+def chain_intervals(df: DataFrame, mode: str = "fill_null", skew_safe: bool | None = None) -> DataFrame:
     """End each interval at the employee's next start.
 
     ``fill_null`` keeps explicit end dates and fills only missing ones; ``replace``
@@ -55,7 +55,7 @@ def chain_intervals(df: DataFrame, mode: str = "fill_null") -> DataFrame:
     if mode not in ("fill_null", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     order = [c for c in CHAIN_ORDER if c in df.columns]
-    chained = next_in_key(df, "emp_id", order, "start_date", "__next_start")
+    chained = next_in_key(df, "emp_id", order, "start_date", "__next_start", skew_safe=skew_safe)
     end = F.col("__next_start") if mode == "replace" else F.coalesce("end_date", "__next_start")
     return chained.withColumn("end_date", end).drop("__next_start").select(*df.columns)
 

@@ -43,10 +43,11 @@ def test_chain_fill_null_keeps_explicit_end_and_null_start_first(spark):
     df = spark.createDataFrame([("1", "A", None, None, 1.0), ("1", "B", 100, 150, 2.0), ("1", "C", 200, None, 3.0),
                                 ("1", "D", 300, None, 4.0)],
                                "emp_id string, designation string, start_date long, end_date long, salary double")
-    out = rows(H.chain_intervals(df, "fill_null"), "designation", "end_date")
-    assert out == [("A", 100), ("B", 150), ("C", 300), ("D", None)]
-    rep = rows(H.chain_intervals(df, "replace"), "designation", "end_date")
-    assert rep == [("A", 100), ("B", 200), ("C", 300), ("D", None)]
+    for safe in (True, False):
+        out = rows(H.chain_intervals(df, "fill_null", safe), "designation", "end_date")
+        assert out == [("A", 100), ("B", 150), ("C", 300), ("D", None)]
+        rep = rows(H.chain_intervals(df, "replace", safe), "designation", "end_date")
+        assert rep == [("A", 100), ("B", 200), ("C", 300), ("D", None)]
 
 
 def test_chain_across_partitions_hot_key(spark):
@@ -58,7 +59,7 @@ def test_chain_across_partitions_hot_key(spark):
     cold = spark.range(50).select(F.col("id").cast("string").alias("emp_id"), F.lit("Y").alias("designation"),
                                   F.lit(5).cast("long").alias("start_date"), F.lit(None).cast("long").alias("end_date"),
                                   F.lit(1.0).alias("salary"))
-    out = H.chain_intervals(df.unionByName(cold), "replace")
+    out = H.chain_intervals(df.unionByName(cold), "replace", skew_safe=True)
     hot = out.filter(F.col("emp_id") == "hot")
     bad = hot.filter(~((F.col("end_date") == F.col("start_date") + 10)
                        | ((F.col("start_date") == (n - 1) * 10) & F.col("end_date").isNull())))
@@ -66,6 +67,15 @@ def test_chain_across_partitions_hot_key(spark):
     assert out.filter((F.col("emp_id") != "hot") & F.col("end_date").isNotNull()).count() == 0
 
 
+def test_skew_safe_lead_equals_window(spark):
+    from hrflow.functions.sequence import next_in_key
+    df = spark.range(3000).select((F.col("id") % 7).cast("string").alias("k"),
+                                  (F.col("id") * 37 % 1009).alias("o"), F.col("id").alias("v"))
+    a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", num_partitions=13, skew_safe=True))
+    b = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", skew_safe=False))
+    assert a == b
+
+
 def test_replace_mode_intervals_do_not_overlap(spark):
     df = spark.createDataFrame([("1", "A", s, None, 1.0) for s in (10, 30, 20, 50)],
                                "emp_id string, designation string, start_date long, end_date long, salary double")
