@@ -4,6 +4,9 @@ Rounding is done in decimal so that it is exact and engine-independent (SURVEY Q
 ``round(CAST(salary AS DECIMAL(18,2)) * CAST(0.9^i AS DECIMAL(11,10)), 2)`` as double.
 The ten factors 0.9 .. 0.3486784401 have at most ten decimals, so DECIMAL(11,10) holds
 them exactly.
+
+The ladder is written as SQL text: ten columns of nested expressions built call by call
+cost a few hundred round trips to the JVM; as ``selectExpr`` text they cost one.
 """
 
 from decimal import Decimal
@@ -16,17 +19,38 @@ from ..schemas import LADDER_STEPS
 PENALTY_RATE = Decimal("0.9")
 
 
-def ladder_factor(i: int) -> Column:
-    return F.lit(PENALTY_RATE ** i).cast("decimal(11,10)")
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def ladder_factor_sql(i: int) -> str:
+    return f"CAST('{PENALTY_RATE ** i}' AS DECIMAL(11,10))"
 
 
-def ladder_step(salary: Column, count: Column, i: int) -> Column:
+def ladder_value_sql(salary: str, i: int) -> str:
+    """salary * 0.9^i rounded to cents, as double (no count condition)."""
+    return f"CAST(round(CAST({q(salary)} AS DECIMAL(18,2)) * {ladder_factor_sql(i)}, 2) AS DOUBLE)"
+
+
+def ladder_step_sql(salary: str, count: str, i: int) -> str:
     """strike_i: the salary after i cuts, if at least i strikes and the salary is known."""
-    value = F.round(salary.cast("decimal(18,2)") * ladder_factor(i), 2).cast("double")
-    return F.when((count >= i) & salary.isNotNull(), value).otherwise(F.lit(None).cast("double"))
+    return (f"CASE WHEN {q(count)} >= {i} AND {q(salary)} IS NOT NULL "
+            f"THEN {ladder_value_sql(salary, i)} ELSE CAST(NULL AS DOUBLE) END")
+
+
+def ladder_exprs(salary: str = "salary", count: str = "no_of_strikes") -> list[str]:
+    """The ten ladder columns as ``selectExpr`` text."""
+    return [f"{ladder_step_sql(salary, count, i)} AS strike_{i}" for i in range(1, LADDER_STEPS + 1)]
+
+
+def ladder_factor(i: int) -> Column:
+    return F.expr(ladder_factor_sql(i))
+
+
+def ladder_step(salary: str, count: str, i: int) -> Column:
+    return F.expr(ladder_step_sql(salary, count, i))
 
 
-def ladder_columns(salary="salary", count="no_of_strikes") -> list[Column]:
-    s = F.col(salary) if isinstance(salary, str) else salary
-    n = F.col(count) if isinstance(count, str) else count
-    return [ladder_step(s, n, i).alias(f"strike_{i}") for i in range(1, LADDER_STEPS + 1)]
+def ladder_columns(salary: str = "salary", count: str = "no_of_strikes") -> list[Column]:
+    return [F.expr(e) for e in ladder_exprs(salary, count)]

@@ -38,12 +38,18 @@ def normalized_words(words: DataFrame, column: str = "word") -> DataFrame:
     return words.select(F.upper(F.col(column)).alias("word")).filter(F.col("word").isNotNull()).distinct()
 
 
-def _bounded_word_list(words: DataFrame, limit: int):
-    """The word list if it has at most ``limit`` entries, else None (size checked first)."""
-    head = words.limit(limit + 1).collect()
+def _bounded_word_list(words: DataFrame, limit: int, column: str = "word"):
+    """The upper-cased word list if the input has at most ``limit`` rows, else None.
+
+    At most ``limit + 1`` rows are fetched, so the check costs no more than the list;
+    the de-duplication happens on the fetched rows. A local input (a literal list)
+    is read without a job.
+    """
+    up = words.select(F.upper(F.col(column)).alias("word")).filter(F.col("word").isNotNull())
+    head = up.limit(limit + 1).collect()
     if len(head) > limit:
         return None
-    return sorted(r["word"] for r in head)
+    return sorted({r["word"] for r in head})
 
 
 def _with_stable_id(df: DataFrame) -> DataFrame:
@@ -60,8 +66,7 @@ def flag_messages(msgs: DataFrame, words: DataFrame, text: str = "message") -> D
     ``arrays_overlap`` inside whole-stage codegen, with no shuffle. A longer list takes
     the exact join path: tokens are exploded once per message and semi-joined.
     """
-    w = normalized_words(words)
-    listed = _bounded_word_list(w, INLINE_WORDS_MAX)
+    listed = _bounded_word_list(words, INLINE_WORDS_MAX)
     if listed is not None:
         if not listed:
             return msgs.limit(0)
@@ -69,7 +74,7 @@ def flag_messages(msgs: DataFrame, words: DataFrame, text: str = "message") -> D
         return msgs.filter(F.coalesce(F.arrays_overlap(word_tokens(text), marked), F.lit(False)))
     ided = _with_stable_id(msgs)
     hits = (ided.select("__mid", F.explode(F.array_distinct(word_tokens(text))).alias("word"))
-                .join(w, "word", "left_semi").select("__mid").distinct())
+                .join(normalized_words(words), "word", "left_semi").select("__mid").distinct())
     return ided.join(hits, "__mid", "left_semi").drop("__mid")
 
 

@@ -13,7 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import keep_max, ladder_columns
+from ..functions import keep_max, ladder_exprs, ladder_step_sql, q
 from ..schemas import LADDER_COLUMNS
 
 # Fixed value: ten strikes make an employee inactive.
@@ -24,8 +24,7 @@ TABLE_COLUMNS = ["employee_id", "salary", *LADDER_COLUMNS, "no_of_strikes", "is_
 STAGING_COLUMNS = ["employee_id", "salary", *LADDER_COLUMNS, "no_of_strikes"]
 
 
-def _null_ladder():
-    return [F.lit(None).cast("double").alias(c) for c in LADDER_COLUMNS]
+NULL_LADDER = [f"CAST(NULL AS DOUBLE) AS {c}" for c in LADDER_COLUMNS]
 
 
 def current_salaries(timeframe: DataFrame) -> DataFrame:
@@ -40,9 +39,9 @@ def current_salaries(timeframe: DataFrame) -> DataFrame:
 def apply_penalties(df: DataFrame, count: str = "no_of_strikes") -> DataFrame:
     """strike_i = round(salary * 0.9^i, 2) where the count reaches i, else NULL."""
     keep = [c for c in df.columns if c not in LADDER_COLUMNS]
-    out = df.select(*keep, *ladder_columns("salary", count))
-    order = [c for c in TABLE_COLUMNS if c in out.columns] + [c for c in out.columns if c not in TABLE_COLUMNS]
-    return out.select(*order)
+    ladder = dict(zip(LADDER_COLUMNS, ladder_exprs("salary", count)))
+    names = [c for c in TABLE_COLUMNS if c in keep or c in ladder] + [c for c in keep if c not in TABLE_COLUMNS]
+    return df.selectExpr(*[ladder.get(c, q(c)) for c in names])
 
 
 # J30 + J31 + J32 ------------------------------------------------------------------
@@ -59,29 +58,25 @@ def upsert_strikes(stored: DataFrame, counts: DataFrame, salaries: DataFrame | N
         inc = inc.withColumn("__new_salary", F.lit(None).cast("double"))
     s = stored.alias("s")
     j = s.join(inc.alias("i"), F.col("s.employee_id") == F.col("i.employee_id"), "full_outer")
-    cols = [
-        F.coalesce(F.col("s.employee_id"), F.col("i.employee_id")).alias("employee_id"),
-        F.coalesce(F.col("s.salary"), F.col("i.__new_salary")).alias("salary"),
-        *[F.col(f"s.{c}").alias(c) for c in LADDER_COLUMNS],
-        (F.coalesce(F.col("s.no_of_strikes").cast("bigint"), F.lit(0))
-         + F.coalesce(F.col("i.__inc"), F.lit(0))).cast("int").alias("no_of_strikes"),
-        F.coalesce(F.col("s.is_inactive"), F.lit(False)).alias("is_inactive"),
-        F.col("i.employee_id").isNotNull().alias("__affected"),
-    ]
-    return j.select(*cols)
+    return j.selectExpr(
+        "coalesce(s.employee_id, i.employee_id) AS employee_id",
+        "coalesce(s.salary, i.__new_salary) AS salary",
+        *[f"s.{c} AS {c}" for c in LADDER_COLUMNS],
+        "CAST(coalesce(CAST(s.no_of_strikes AS BIGINT), 0) + coalesce(i.__inc, 0) AS INT) AS no_of_strikes",
+        "coalesce(s.is_inactive, false) AS is_inactive",
+        "i.employee_id IS NOT NULL AS __affected")
 
 
 def penalize_and_deactivate(upserted: DataFrame) -> DataFrame:
     """For the affected employees: recompute the ladder and set ``is_inactive`` at 10+
     strikes (sticky, SURVEY J32). Other rows stay as stored."""
-    a = F.col("__affected")
-    ladder = ladder_columns("salary", "no_of_strikes")
-    cols = [F.col("employee_id"), F.col("salary")]
-    cols += [F.when(a, lad).otherwise(F.col(c)).alias(c) for lad, c in zip(ladder, LADDER_COLUMNS)]
-    cols += [F.col("no_of_strikes"),
-             F.when(a, F.col("is_inactive") | (F.col("no_of_strikes") >= INACTIVE_AT))
-              .otherwise(F.col("is_inactive")).alias("is_inactive")]
-    return upserted.select(*cols)
+    cols = ["employee_id", "salary"]
+    cols += [f"CASE WHEN __affected THEN {ladder_step_sql('salary', 'no_of_strikes', i)} ELSE {c} END AS {c}"
+             for i, c in enumerate(LADDER_COLUMNS, start=1)]
+    cols += ["no_of_strikes",
+             f"CASE WHEN __affected THEN is_inactive OR no_of_strikes >= {INACTIVE_AT} ELSE is_inactive END"
+             " AS is_inactive"]
+    return upserted.selectExpr(*cols)
 
 
 def apply_strike_batch(stored: DataFrame, events: DataFrame, salaries: DataFrame | None = None) -> DataFrame:
@@ -100,30 +95,27 @@ def penalties_frozen(stored: DataFrame, totals: DataFrame) -> DataFrame:
     """Variant: steps already earned keep their stored value, new steps use the current
     salary, steps above the new total become NULL; the count becomes the new total."""
     j = _join_totals(stored, totals)
-    ladder = ladder_columns("salary", "strike_count")
-    cols = [F.col("employee_id"), F.col("salary")]
-    for i, (lad, c) in enumerate(zip(ladder, LADDER_COLUMNS), start=1):
-        cols.append(F.when((F.col("strike_count") >= i) & (F.col("no_of_strikes") < i), lad)
-                     .when(F.col("strike_count") < i, F.lit(None).cast("double"))
-                     .otherwise(F.col(c)).alias(c))
-    cols.append(F.coalesce(F.col("strike_count"), F.lit(0)).cast("int").alias("no_of_strikes"))
-    return j.select(*cols)
+    cols = ["employee_id", "salary"]
+    for i, c in enumerate(LADDER_COLUMNS, start=1):
+        cols.append(f"CASE WHEN strike_count >= {i} AND no_of_strikes < {i} "
+                    f"THEN {ladder_step_sql('salary', 'strike_count', i)} "
+                    f"WHEN strike_count < {i} THEN CAST(NULL AS DOUBLE) ELSE {c} END AS {c}")
+    cols.append("CAST(coalesce(strike_count, 0) AS INT) AS no_of_strikes")
+    return j.selectExpr(*cols)
 
 
 def penalties_replace(stored: DataFrame, totals: DataFrame) -> DataFrame:
     """Variant: the ladder is recomputed from the new total, which replaces the count."""
     j = _join_totals(stored, totals)
-    cols = [F.col("employee_id"), F.col("salary"), *ladder_columns("salary", "strike_count"),
-            F.coalesce(F.col("strike_count"), F.lit(0)).cast("int").alias("no_of_strikes")]
-    return j.select(*cols)
+    return j.selectExpr("employee_id", "salary", *ladder_exprs("salary", "strike_count"),
+                        "CAST(coalesce(strike_count, 0) AS INT) AS no_of_strikes")
 
 
 # J35 - J37 ------------------------------------------------------------------------
 def sync_new(salaries: DataFrame, stored: DataFrame) -> DataFrame:
     """Active employees without a strike row: count 0, empty ladder."""
     return (salaries.join(stored.select("employee_id"), "employee_id", "left_anti")
-                    .select("employee_id", "salary", *_null_ladder(),
-                            F.lit(0).cast("int").alias("no_of_strikes")))
+                    .selectExpr("employee_id", "salary", *NULL_LADDER, "CAST(0 AS INT) AS no_of_strikes"))
 
 
 def sync_changed(salaries: DataFrame, stored: DataFrame, repair_null_salary: bool = False) -> DataFrame:
@@ -137,7 +129,7 @@ def sync_changed(salaries: DataFrame, stored: DataFrame, repair_null_salary: boo
     j = a.join(s, (F.col("a.employee_id") == F.col("s.employee_id")) & differs, "inner")
     base = j.select(F.col("a.employee_id").alias("employee_id"), F.col("a.salary").alias("salary"),
                     F.col("s.no_of_strikes").alias("no_of_strikes"))
-    return base.select("employee_id", "salary", *ladder_columns("salary", "no_of_strikes"), "no_of_strikes")
+    return base.selectExpr("employee_id", "salary", *ladder_exprs("salary", "no_of_strikes"), "no_of_strikes")
 
 
 def sync_strikes(stored: DataFrame, salaries: DataFrame, repair_null_salary: bool = False) -> DataFrame:
@@ -149,28 +141,23 @@ def sync_strikes(stored: DataFrame, salaries: DataFrame, repair_null_salary: boo
     staging = sync_new(salaries, stored).unionByName(sync_changed(salaries, stored, repair_null_salary))
     s, g = stored.alias("s"), staging.alias("g")
     j = s.join(g, F.col("s.employee_id") == F.col("g.employee_id"), "full_outer")
-    hit = F.col("g.employee_id").isNotNull()
-
-    def pick(c):
-        return F.when(hit, F.col(f"g.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
-
-    return j.select(
-        F.coalesce(F.col("s.employee_id"), F.col("g.employee_id")).alias("employee_id"),
-        pick("salary"), *[pick(c) for c in LADDER_COLUMNS],
-        F.coalesce(F.when(hit, F.col("g.no_of_strikes")), F.col("s.no_of_strikes"), F.lit(0))
-         .cast("int").alias("no_of_strikes"),
-        F.when(F.col("s.employee_id").isNull(), F.lit(False)).otherwise(F.col("s.is_inactive")).alias("is_inactive"))
+    hit = "g.employee_id IS NOT NULL"
+    return j.selectExpr(
+        "coalesce(s.employee_id, g.employee_id) AS employee_id",
+        *[f"CASE WHEN {hit} THEN g.{c} ELSE s.{c} END AS {c}" for c in ["salary", *LADDER_COLUMNS]],
+        f"CAST(coalesce(CASE WHEN {hit} THEN g.no_of_strikes END, s.no_of_strikes, 0) AS INT) AS no_of_strikes",
+        "CASE WHEN s.employee_id IS NULL THEN false ELSE s.is_inactive END AS is_inactive")
 
 
 # J38 ------------------------------------------------------------------------------
 def cooldown(stored: DataFrame) -> DataFrame:
     """Monthly reset: count 0 and empty ladder for everyone not inactive (NULL counts as
     not inactive). Salary is left alone (SURVEY Q30)."""
-    keep = F.coalesce(F.col("is_inactive"), F.lit(False))
-    return stored.select(
+    keep = "coalesce(is_inactive, false)"
+    return stored.selectExpr(
         "employee_id", "salary",
-        *[F.when(keep, F.col(c)).otherwise(F.lit(None).cast("double")).alias(c) for c in LADDER_COLUMNS],
-        F.when(keep, F.col("no_of_strikes")).otherwise(F.lit(0)).cast("int").alias("no_of_strikes"),
+        *[f"CASE WHEN {keep} THEN {c} ELSE CAST(NULL AS DOUBLE) END AS {c}" for c in LADDER_COLUMNS],
+        f"CAST(CASE WHEN {keep} THEN no_of_strikes ELSE 0 END AS INT) AS no_of_strikes",
         "is_inactive")
 
 

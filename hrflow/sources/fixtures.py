@@ -17,8 +17,18 @@ from ..operators.strikes import apply_penalties
 SECONDS_90_DAYS = 7776000
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's test table. The test tables are read-only, so the DataFrame (its file
+    listing and footer schema) is kept per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def x_employee(spark, sf_dir) -> DataFrame:
@@ -58,19 +68,19 @@ def x_leave(spark, sf_dir) -> DataFrame:
 
 
 # The holiday calendar of FIXTURES.md, with a header-like row and a duplicate.
-CALENDAR_ROWS = [
-    ("reason", None),
-    ("New Year", dt.date(2024, 1, 1)),
-    ("Mid January", dt.date(2024, 1, 15)),
-    ("Summer", dt.date(2024, 7, 4)),
-    ("Winter", dt.date(2024, 12, 25)),
-    ("Winter", dt.date(2024, 12, 25)),
-]
+CALENDAR_VALUES = """
+  ('reason', CAST(NULL AS DATE)),
+  ('New Year', DATE'2024-01-01'),
+  ('Mid January', DATE'2024-01-15'),
+  ('Summer', DATE'2024-07-04'),
+  ('Winter', DATE'2024-12-25'),
+  ('Winter', DATE'2024-12-25')"""
 
 
 def x_calendar(spark, sf_dir=None) -> DataFrame:
-    """The holiday list (6 rows, independent of scale). Used only together with leave data."""
-    return spark.createDataFrame(CALENDAR_ROWS, "reason string, date date")
+    """The holiday list (6 rows, independent of scale). Used only together with leave data.
+    A VALUES list is a local relation: planning sees its size, no job reads it."""
+    return spark.sql(f"SELECT * FROM VALUES {CALENDAR_VALUES} AS v(reason, date)")
 
 
 def x_calendar_feed(spark, sf_dir) -> DataFrame:
@@ -102,7 +112,8 @@ MARKED_WORDS = ["THAT", "FOR", "IS", "ERED"]
 
 
 def x_marked(spark, sf_dir=None) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in MARKED_WORDS], "word string")
+    values = ", ".join(f"('{w}')" for w in MARKED_WORDS)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS v(word)")
 
 
 def x_vocab(spark, sf_dir, min_messages: int = 2) -> DataFrame:
