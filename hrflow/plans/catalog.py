@@ -23,7 +23,7 @@ from ..sources.spine import date_spine
 from ..sources.stream import stream_json_files
 from ..operators import history as H, leave as L, messages as M, reports as R, strikes as K
 from ..streaming.ingest import ingest_new_files
-from ..streaming.monitor import MonitorConfig, start_monitor
+from ..streaming.monitor import MonitorConfig, init_strike_store, read_strikes, start_monitor
 
 # Fixed run keys and parameters of the registered queries.
 RUN_DATE = "2024-01-02"
@@ -427,7 +427,7 @@ def _message_stream(spark, d, name, strikes=False, enrich=False) -> MonitorConfi
         sink_files.write_partitioned(timeframe_gold(spark, d), cfg.timeframe_path, ["status"])
     if strikes:
         cfg.strikes_root = f"{base}/strikes"
-        snapshot.commit(spark, cfg.strikes_root, fx.x_strikes(spark, d))
+        init_strike_store(spark, cfg, fx.x_strikes(spark, d))
     if enrich:
         cfg.enriched_path = f"{base}/enriched"
     q = start_monitor(spark, stream_json_files(spark, inbox, 1), fx.x_marked(spark), cfg)
@@ -442,7 +442,7 @@ def q_stream_flag_log(spark, d):
 
 def q_stream_strikes(spark, d):
     cfg = _message_stream(spark, d, "t2", strikes=True)
-    return snapshot.read_current(spark, cfg.strikes_root, schemas.STRIKES)
+    return read_strikes(spark, cfg)
 
 
 def q_stream_salary_enrich(spark, d):

@@ -28,6 +28,8 @@ class MonitorConfig:
     trigger_seconds: int | None = 10      # None = availableNow (process what is there, stop)
     name: str = "message-monitor"
     kafka_input: bool = False             # input rows are Kafka records (value bytes)
+    buckets: int = 8                      # hash buckets of the strike table (size to the table)
+    compact_every: int = 16               # fold deltas into a new base after this many
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, words: DataFrame,
@@ -47,14 +49,41 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, words: D
                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                    .partitionBy("batch_id").parquet(cfg.enriched_path))
         if cfg.strikes_root is not None:
-            key = f"{cfg.name}:{cfg.checkpoint}:{batch_id}"
-            if not snapshot.is_applied(spark, cfg.strikes_root, key):
-                stored = snapshot.read_current(spark, cfg.strikes_root, STRIKES)
-                snapshot.commit(spark, cfg.strikes_root, apply_strike_batch(stored, events, salaries), key)
+            apply_to_store(spark, cfg, events, salaries, batch_id)
     finally:
         events.unpersist()
 
 
+def init_strike_store(spark: SparkSession, cfg: MonitorConfig, table: DataFrame | None = None) -> None:
+    """Create the strike store (bucketed base) from ``table`` or empty."""
+    if snapshot.current_version(spark, cfg.strikes_root) is None:
+        t = table if table is not None else spark.createDataFrame([], STRIKES)
+        snapshot.commit_base(spark, cfg.strikes_root, t.select(*STRIKES.fieldNames()), "employee_id", cfg.buckets)
+
+
+def read_strikes(spark: SparkSession, cfg: MonitorConfig) -> DataFrame:
+    return snapshot.read_keyed(spark, cfg.strikes_root, STRIKES, "employee_id", cfg.buckets)
+
+
+def apply_to_store(spark: SparkSession, cfg: MonitorConfig, events: DataFrame, salaries, batch_id: int) -> None:
+    """Apply one batch to the strike store unless its key is in the ledger.
+
+    Only the stored rows of the batch's employees are read (their buckets) and only the
+    changed rows are written, as a delta version.
+    """
+    key = f"{cfg.name}:{cfg.checkpoint}:{batch_id}"
+    if snapshot.is_applied(spark, cfg.strikes_root, key):
+        return
+    init_strike_store(spark, cfg)
+    touched = events.select("employee_id").distinct()
+    stored = snapshot.read_keyed(spark, cfg.strikes_root, STRIKES, "employee_id", cfg.buckets, only=touched)
+    changed = apply_strike_batch(stored, events, salaries)
+    snapshot.commit_delta(spark, cfg.strikes_root, changed, key)
+    _, deltas = snapshot.layout(spark, cfg.strikes_root)
+    if len(deltas) >= cfg.compact_every:
+        snapshot.compact(spark, cfg.strikes_root, STRIKES, "employee_id", cfg.buckets)
+
+
 def start_monitor(spark: SparkSession, source: DataFrame, words: DataFrame, cfg: MonitorConfig):
     """Start the streaming query; ``words`` is the marked-word list (a static frame)."""
     def fn(batch, batch_id):

@@ -6,7 +6,7 @@ from conftest import rows
 from hrflow import schemas
 from hrflow.sinks import files as SF, snapshot
 from hrflow.sources import files as SRC
-from hrflow.streaming.monitor import MonitorConfig, process_batch, start_monitor
+from hrflow.streaming.monitor import MonitorConfig, process_batch, read_strikes, start_monitor
 from hrflow.sources.stream import stream_json_files
 
 MSG = "sender string, receiver string, message string"
@@ -60,6 +60,27 @@ def test_snapshot_commit_and_crash_safety(spark, tmp_dir):
     assert snapshot.commit(spark, root, a.withColumn("n", F.lit(2)), "b1") == 1
 
 
+def test_keyed_store_merge_on_read(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "keyed")
+    sch = "employee_id string, n int"
+    base = spark.createDataFrame([(str(i), i) for i in range(20)], sch)
+    snapshot.commit_base(spark, root, base, "employee_id", 4)
+    snapshot.commit_delta(spark, root, spark.createDataFrame([("3", 30), ("new", 1)], sch), "b1")
+    snapshot.commit_delta(spark, root, spark.createDataFrame([("3", 300)], sch), "b2")
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string(sch)
+    cur = {r.employee_id: r.n for r in snapshot.read_keyed(spark, root, schema, "employee_id", 4).collect()}
+    assert len(cur) == 21 and cur["3"] == 300 and cur["new"] == 1 and cur["5"] == 5
+    only = spark.createDataFrame([("3",), ("5",)], "employee_id string")
+    sub = snapshot.read_keyed(spark, root, schema, "employee_id", 4, only=only)
+    assert rows(sub) == [("3", 300), ("5", 5)]
+    plan = sub._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(__bucket" in plan
+    snapshot.compact(spark, root, schema, "employee_id", 4)
+    assert snapshot.layout(spark, root)[1] == []
+    assert {r.employee_id: r.n for r in snapshot.read_keyed(spark, root, schema, "employee_id", 4).collect()} == cur
+
+
 def _stream_setup(spark, tmp_dir, n_files=3):
     inbox = os.path.join(tmp_dir, "inbox")
     msgs = spark.createDataFrame([(str(i), str(i + 1), "that is it" if i % 2 else "nothing") for i in range(30)], MSG)
@@ -72,14 +93,14 @@ def test_stream_log_and_strikes_equal_batch(spark, tmp_dir):
     from hrflow.operators import messages as M, strikes as K
     inbox, msgs, words = _stream_setup(spark, tmp_dir)
     cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
-                        strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None)
-    snapshot.commit(spark, cfg.strikes_root, spark.createDataFrame([], schemas.STRIKES))
+                        strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None, compact_every=2,
+                        buckets=4)
     start_monitor(spark, stream_json_files(spark, inbox, 1), words, cfg).awaitTermination()
     log = spark.read.parquet(cfg.log_path)
     assert log.select("batch_id").distinct().count() == 3
     ev = M.strike_events(M.flag_messages(msgs, words))
     assert rows(log, "employee_id", "role") == rows(ev)
-    final = snapshot.read_current(spark, cfg.strikes_root, schemas.STRIKES)
+    final = read_strikes(spark, cfg)
     batch = K.apply_strike_batch(spark.createDataFrame([], schemas.STRIKES), ev)
     assert rows(final) == rows(batch)
 
@@ -88,11 +109,10 @@ def test_replayed_batch_changes_nothing(spark, tmp_dir):
     inbox, msgs, words = _stream_setup(spark, tmp_dir, 1)
     cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
                         strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None)
-    snapshot.commit(spark, cfg.strikes_root, spark.createDataFrame([], schemas.STRIKES))
     batch = spark.read.schema(schemas.MESSAGE).json(inbox)
     process_batch(spark, batch, 0, words, cfg)
-    first = rows(snapshot.read_current(spark, cfg.strikes_root, schemas.STRIKES))
+    first = rows(read_strikes(spark, cfg))
     n_log = spark.read.parquet(cfg.log_path).count()
     process_batch(spark, batch, 0, words, cfg)  # replay of batch 0
-    assert rows(snapshot.read_current(spark, cfg.strikes_root, schemas.STRIKES)) == first
+    assert rows(read_strikes(spark, cfg)) == first
     assert spark.read.parquet(cfg.log_path).count() == n_log
