@@ -38,11 +38,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_alert_texts(rendered: DataFrame, path: str) -> None:
+def write_alert_texts(rendered: DataFrame, path: str, num_writers: int | None = None) -> None:
     """K6: one text document per (run_date, emp_id) folder, written by the executors
-    (no driver loop). ``rendered`` has ``run_date``, ``emp_id`` and ``content``."""
-    (rendered.select("run_date", "emp_id", "content").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
+    (no driver loop). ``rendered`` has ``run_date``, ``emp_id`` and ``content``.
+
+    There is one row per employee, so hashing on the folder keys spreads the documents
+    evenly and each folder gets exactly one writer (one file). The partition count is
+    explicit so that AQE does not fold a small alert set into one sequential writer.
+    """
+    n = num_writers or int(rendered.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    (rendered.select("run_date", "emp_id", "content").repartition(n, "run_date", "emp_id")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_date", "emp_id").text(path))
 
 
