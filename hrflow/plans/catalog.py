@@ -8,7 +8,6 @@ Parameters are the reference's defaults (SURVEY Q15) or fixed run keys, never th
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F

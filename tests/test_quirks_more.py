@@ -61,3 +61,15 @@ def test_skew_safe_lead_property(spark, data, parts):
     a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", num_partitions=parts, skew_safe=True))
     b = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", skew_safe=False))
     assert a == b
+
+
+def test_kafka_records_through_the_batch(spark, tmp_dir):
+    # the Kafka path: key/value bytes are parsed inside the batch
+    from hrflow.sinks.kafka import kafka_frame
+    msgs = spark.createDataFrame([("1", "2", "that is it"), ("3", "4", "nothing")], schemas.MESSAGE)
+    kv = kafka_frame(msgs).selectExpr("CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value")
+    cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
+                        trigger_seconds=None, kafka_input=True)
+    process_batch(spark, kv, 7, spark.createDataFrame([("IS",)], "word string"), cfg)
+    log = spark.read.parquet(cfg.log_path)
+    assert rows(log, "employee_id", "role", "batch_id") == [("1", "sender", 7), ("2", "receiver", 7)]
