@@ -148,7 +148,7 @@ def run_daily_reports(spark: SparkSession, lay: Layout, run_date: str,
     if tf is not None:
         SF.write_partitioned(H.active_by_designation(tf).withColumn("run_date", F.lit(run_date)),
                              lay.dept_report, ["run_date"])
-    leave = SRC.read_or_empty(spark, lay.leave_gold, schemas.LEAVE)
+    leave = SRC.read_or_empty(spark, lay.leave_gold, schemas.LEAVE_GOLD)
     cal = SRC.read_or_empty(spark, lay.calendar, schemas.CALENDAR)
     wd = R.working_days(spark, cal, report_start, report_end)
     rep = R.leave_anomaly(leave, wd, report_start).withColumn("run_date", F.lit(run_date))
@@ -170,7 +170,7 @@ def run_monthly(spark: SparkSession, lay: Layout, run_date: str) -> None:
     """J21 -> K3, J22/J23 + K6 alerts, J38 cool-down, J39 log retention."""
     ensure_defaults(spark)
     year, month = _year_of(run_date), int(run_date[5:7])
-    leave = SRC.read_or_empty(spark, lay.leave_gold, schemas.LEAVE)
+    leave = SRC.read_or_empty(spark, lay.leave_gold, schemas.LEAVE_GOLD)
     quota = SRC.read_or_empty(spark, lay.quota, schemas.QUOTA)
     usage = R.leave_usage(leave, quota, year, month)
     SF.write_partitioned(usage.withColumn("run_date", F.lit(run_date)), lay.usage_report, ["run_date"])

@@ -21,6 +21,11 @@ TIMEFRAME_GOLD = T.StructType([
 LEAVE = T.StructType([T.StructField("emp_id", S), T.StructField("date", T.DateType()),
                       T.StructField("status", S)])
 
+LEAVE_GOLD = T.StructType(LEAVE.fields + [
+    T.StructField("ingest_date", T.DateType()), T.StructField("ingest_timestamp", T.TimestampNTZType()),
+    T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
+])
+
 CALENDAR = T.StructType([T.StructField("reason", S), T.StructField("date", T.TimestampNTZType())])
 
 # emp_id is a string everywhere, unlike the reference's int quota schema.
