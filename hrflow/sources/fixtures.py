@@ -17,18 +17,17 @@ from ..operators.strikes import apply_penalties
 SECONDS_90_DAYS = 7776000
 
 
-_TABLES: dict[tuple, DataFrame] = {}
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's test table. The test tables are read-only, so the DataFrame (its file
-    listing and footer schema) is kept per session and path."""
+    listing and footer schema) is kept per path for the session that read it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    hit = _TABLES.get(path)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES[path] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def x_employee(spark, sf_dir) -> DataFrame:

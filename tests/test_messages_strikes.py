@@ -144,3 +144,22 @@ def test_frozen_and_replace_variants(spark):
     assert (fz.strike_1, fz.strike_2, fz.strike_3, fz.strike_4, fz.no_of_strikes) == (90.0, 81.0, 145.8, None, 3)
     rp = K.penalties_replace(st, totals).first()
     assert (rp.strike_1, rp.strike_3, rp.no_of_strikes) == (180.0, 145.8, 3)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "n1", "n2"]), st.integers(0, 3)), min_size=1, max_size=40))
+def test_any_batch_split_gives_the_same_table(spark, tagged):
+    # property: the final state does not depend on how events are cut into batches
+    st0 = stored(spark, [("a", 100.0, 8, False), ("b", None, 0, False), ("c", 50.0, 11, True)])
+    sal = spark.createDataFrame([("n1", 10.0), ("b", 20.0)], "employee_id string, salary double")
+    ev_all = spark.createDataFrame([(e, "sender") for e, _ in tagged], "employee_id string, role string")
+    state = st0
+    for b in range(4):
+        part = [(e, "sender") for e, g in tagged if g == b]
+        if part:
+            state = K.apply_strike_batch(state, spark.createDataFrame(part, "employee_id string, role string"), sal)
+        state = spark.createDataFrame(state.collect(), state.schema)  # cut the plan like a stored version
+    assert rows(state) == rows(K.apply_strike_batch(st0, ev_all, sal))
