@@ -29,6 +29,7 @@ from ..streaming.ingest import ingest_new_files
 @dataclass
 class Layout:
     root: str
+    strike_buckets: int = 8        # hash buckets of the strike table (see sinks.snapshot)
 
     def p(self, rel: str) -> str:
         return f"{self.root.rstrip('/')}/{rel}"
@@ -113,6 +114,8 @@ def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
     if snapshot.current_version(spark, lay.timeframe_gold) is not None and \
             snapshot.is_applied(spark, lay.timeframe_gold, key):
         return
+    if not SRC.exists(spark, f"{lay.timeframe_landed}/ingest_run={run_date}"):
+        return  # no new files in this run
     landed = SRC.read_partition(spark, lay.timeframe_landed, "ingest_run", run_date) \
         .select(*schemas.TIMEFRAME_RAW.fieldNames())
     history = current_timeframe(spark, lay)
@@ -128,8 +131,14 @@ def run_strike_sync(spark: SparkSession, lay: Layout, run_date: str) -> None:
     key = f"sync:{run_date}"
     if snapshot.current_version(spark, lay.strikes) is not None and snapshot.is_applied(spark, lay.strikes, key):
         return
-    stored = snapshot.read_current(spark, lay.strikes, schemas.STRIKES)
-    snapshot.commit(spark, lay.strikes, K.sync_strikes(stored, K.current_salaries(tf)), key)
+    stored = read_strikes(spark, lay)
+    snapshot.commit_base(spark, lay.strikes, K.sync_strikes(stored, K.current_salaries(tf)), "employee_id",
+                         lay.strike_buckets, key)
+
+
+def read_strikes(spark: SparkSession, lay: Layout) -> DataFrame:
+    """The strike table: bucketed base plus the stream's deltas."""
+    return snapshot.read_keyed(spark, lay.strikes, schemas.STRIKES, "employee_id", lay.strike_buckets)
 
 
 def run_leave(spark: SparkSession, lay: Layout, run_date: str, run_ts: str) -> None:
@@ -166,6 +175,14 @@ def run_daily(spark: SparkSession, lay: Layout, run_date: str, run_ts: str | Non
 
 
 # monthly ----------------------------------------------------------------------------------
+def monitor_config(lay: Layout, trigger_seconds: int | None = 10, kafka_input: bool = False):
+    """Stream settings that share this layout's strike store, history and flag log."""
+    from ..streaming.monitor import MonitorConfig
+    return MonitorConfig(log_path=lay.flag_log, checkpoint=f"{lay.checkpoints}/monitor", strikes_root=lay.strikes,
+                         timeframe_path=lay.timeframe_gold, timeframe_is_snapshot=True,
+                         trigger_seconds=trigger_seconds, kafka_input=kafka_input, buckets=lay.strike_buckets)
+
+
 def run_monthly(spark: SparkSession, lay: Layout, run_date: str) -> None:
     """J21 -> K3, J22/J23 + K6 alerts, J38 cool-down, J39 log retention."""
     ensure_defaults(spark)
@@ -185,8 +202,8 @@ def run_monthly(spark: SparkSession, lay: Layout, run_date: str) -> None:
 
     key = f"cooldown:{run_date}"
     if snapshot.current_version(spark, lay.strikes) is not None and not snapshot.is_applied(spark, lay.strikes, key):
-        stored = snapshot.read_current(spark, lay.strikes, schemas.STRIKES)
-        snapshot.commit(spark, lay.strikes, K.cooldown(stored), key)
+        stored = read_strikes(spark, lay)
+        snapshot.commit_base(spark, lay.strikes, K.cooldown(stored), "employee_id", lay.strike_buckets, key)
         log = read_flag_log(spark, lay)
         if log is not None:
             retained = K.retain_flag_log(log, stored, f"{run_date} 00:00:00")

@@ -76,6 +76,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     Only a missing path is caught; any other error (bad schema, no access) is raised,
     unlike the reference's bare ``except``.
     """
+    if not any(ch in path for ch in "*?[{") and not exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         df = spark.read.format(fmt).options(**options).schema(schema).load(path)
         df.schema  # resolve now so that a missing path fails here

@@ -21,6 +21,9 @@ def ingest_new_files(spark: SparkSession, inbox: str, schema: T.StructType, out:
     With ``run_key`` the rows carry ``ingest_run`` and land in that partition, so a run
     can pick exactly the files it ingested.
     """
+    from ..sources.files import exists
+    if not exists(spark, inbox):
+        return None  # nothing was ever delivered: nothing to do
     r = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         r = r.option("header", header)

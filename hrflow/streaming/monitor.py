@@ -24,6 +24,7 @@ class MonitorConfig:
     checkpoint: str                       # streaming checkpoint folder
     strikes_root: str | None = None       # strike snapshot store; None = log only
     timeframe_path: str | None = None     # gold job history (status partition), for salaries
+    timeframe_is_snapshot: bool = False   # the history is a snapshot store (plans.jobs layout)
     enriched_path: str | None = None      # strike events with current salary (T3)
     trigger_seconds: int | None = 10      # None = availableNow (process what is there, stop)
     name: str = "message-monitor"
@@ -42,8 +43,9 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, words: D
                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(cfg.log_path))
         salaries = None
         if cfg.timeframe_path is not None:
-            tf = spark.read.parquet(cfg.timeframe_path)
-            salaries = current_salaries(tf)
+            tf = (snapshot.read_current(spark, cfg.timeframe_path) if cfg.timeframe_is_snapshot
+                  else spark.read.parquet(cfg.timeframe_path))
+            salaries = current_salaries(tf) if tf is not None else None
         if cfg.enriched_path is not None and salaries is not None:
             (events.join(salaries, "employee_id", "left").withColumn("batch_id", F.lit(batch_id))
                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

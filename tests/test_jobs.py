@@ -36,14 +36,24 @@ def test_daily_monthly_yearly_end_to_end(spark, tmp_dir):
     tf = jobs.current_timeframe(spark, lay)
     assert sorted((r.emp_id, r.status) for r in tf.collect()) == [("1", "ACTIVE"), ("2", "ACTIVE"), ("2", "INACTIVE")]
     assert snapshot.current_version(spark, lay.timeframe_gold) == 0
-    strikes = snapshot.read_current(spark, lay.strikes, schemas.STRIKES)
+    strikes = jobs.read_strikes(spark, lay)
     assert sorted((r.employee_id, r.salary, r.no_of_strikes) for r in strikes.collect()) == [("1", 1000.0, 0), ("2", 900.0, 0)]
     dept = spark.read.parquet(lay.dept_report).collect()
     assert sorted((r.designation, r.active_employees) for r in dept) == [("DEV", 1), ("OPS", 1)]
     anomaly = spark.read.parquet(lay.anomaly_report).collect()
     assert [(r.emp_id, str(r.run_date)) for r in anomaly] == [("1", "2024-03-01")]
 
+    # the stream shares the layout: strikes land as deltas on the synced table
+    from hrflow.streaming.monitor import process_batch
+    words = spark.createDataFrame([("IS",)], "word string")
+    cfg = jobs.monitor_config(lay, trigger_seconds=None)
+    process_batch(spark, spark.createDataFrame([("1", "2", "this is bad")], schemas.MESSAGE), 0, words, cfg)
+    s2 = {r.employee_id: (r.salary, r.no_of_strikes) for r in jobs.read_strikes(spark, lay).collect()}
+    assert s2 == {"1": (1000.0, 1), "2": (900.0, 1)}
+
     jobs.run_monthly(spark, lay, "2024-03-01")
+    s3 = {r.employee_id: (r.no_of_strikes, r.strike_1) for r in jobs.read_strikes(spark, lay).collect()}
+    assert s3 == {"1": (0, None), "2": (0, None)}  # cool-down
     usage = spark.read.parquet(lay.usage_report).collect()
     assert [r.emp_id for r in usage] == ["1"]  # 42 working days of leave in Jan-Feb vs quota 20
     assert [r.emp_id for r in snapshot.read_current(spark, lay.alert_tracking, schemas.TRACKING).collect()] == ["1"]
