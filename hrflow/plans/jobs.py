@@ -53,6 +53,8 @@ class Layout:
     @property
     def timeframe_landed(self): return self.p("silver/employee_timeframe_landed")
     @property
+    def timeframe_silver_csv(self): return self.p("silver/employee_timeframe_data")
+    @property
     def timeframe_gold(self): return self.p("gold/employee-timeframe")
     @property
     def leave_gold(self): return self.p("gold/employee_leave_data")
@@ -118,6 +120,9 @@ def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
         return  # no new files in this run
     landed = SRC.read_partition(spark, lay.timeframe_landed, "ingest_run", run_date) \
         .select(*schemas.TIMEFRAME_RAW.fieldNames())
+    # silver: this run's files as dated intervals, CSV with header, one partition per run
+    SF.write_partitioned(H.build_timeframe(landed).withColumn("ingest_run", F.lit(run_date)),
+                         lay.timeframe_silver_csv, ["ingest_run"], fmt="csv", header=True)
     history = current_timeframe(spark, lay)
     merged = H.build_timeframe(landed) if history is None else H.merge_timeframe(history, landed)
     snapshot.commit(spark, lay.timeframe_gold, merged, key, partition_by=["status"])

@@ -36,6 +36,8 @@ def test_daily_monthly_yearly_end_to_end(spark, tmp_dir):
     tf = jobs.current_timeframe(spark, lay)
     assert sorted((r.emp_id, r.status) for r in tf.collect()) == [("1", "ACTIVE"), ("2", "ACTIVE"), ("2", "INACTIVE")]
     assert snapshot.current_version(spark, lay.timeframe_gold) == 0
+    silver = spark.read.option("header", True).csv(lay.timeframe_silver_csv)
+    assert silver.count() == 3 and set(silver.columns) >= {"emp_id", "status", "ingest_run"}
     strikes = jobs.read_strikes(spark, lay)
     assert sorted((r.employee_id, r.salary, r.no_of_strikes) for r in strikes.collect()) == [("1", 1000.0, 0), ("2", 900.0, 0)]
     dept = spark.read.parquet(lay.dept_report).collect()
