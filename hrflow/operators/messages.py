@@ -62,16 +62,17 @@ def _with_stable_id(df: DataFrame) -> DataFrame:
 def flag_messages(msgs: DataFrame, words: DataFrame, text: str = "message") -> DataFrame:
     """Messages in which some upper-cased word token is a marked word.
 
-    A bounded marked-word list becomes an array literal and the test is
-    ``arrays_overlap`` inside whole-stage codegen, with no shuffle. A longer list takes
-    the exact join path: tokens are exploded once per message and semi-joined.
+    A bounded marked-word list becomes a literal set and the test is
+    ``exists(tokens, t -> t IN (...))``, which the optimizer turns into a hash ``InSet``
+    built once per task: no shuffle, O(1) per token whatever the list length. A longer
+    list takes the exact join path: tokens are exploded once per message and
+    semi-joined.
     """
     listed = _bounded_word_list(words, INLINE_WORDS_MAX)
     if listed is not None:
         if not listed:
             return msgs.limit(0)
-        marked = F.array(*[F.lit(x) for x in listed])
-        return msgs.filter(F.coalesce(F.arrays_overlap(word_tokens(text), marked), F.lit(False)))
+        return msgs.filter(F.coalesce(F.exists(word_tokens(text), lambda t: t.isin(*listed)), F.lit(False)))
     ided = _with_stable_id(msgs)
     hits = (ided.select("__mid", F.explode(F.array_distinct(word_tokens(text))).alias("word"))
                 .join(normalized_words(words), "word", "left_semi").select("__mid").distinct())
