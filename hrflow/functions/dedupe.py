@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .money import q
 
-def _pick(df: DataFrame, keys, order_cols, fn, nulls_last: bool) -> DataFrame:
+
+def _pick(df: DataFrame, keys, order_cols, fn: str, nulls_last: bool) -> DataFrame:
     keys = list(keys)
     order_cols = list(order_cols)
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
@@ -20,19 +22,19 @@ def _pick(df: DataFrame, keys, order_cols, fn, nulls_last: bool) -> DataFrame:
     for c in order_cols:
         if nulls_last:
             # a NULL must lose to every value: lead with an is-not-null flag
-            fields.append(F.col(c).isNotNull().alias(f"__nn_{c}"))
-        fields.append(F.col(c).alias(c))
-    fields += [F.col(c).alias(c) for c in rest]
-    picked = df.groupBy(*keys).agg(fn(F.struct(*fields)).alias("__pick"))
-    return picked.select(*keys, *[F.col(f"__pick.{c}").alias(c) for c in order_cols + rest]) \
-        .select(*df.columns)
+            fields.append(f"{q(c)} IS NOT NULL AS {q('__nn_' + c)}")
+        fields.append(f"{q(c)} AS {q(c)}")
+    fields += [f"{q(c)} AS {q(c)}" for c in rest]
+    # built as SQL text: one call into the JVM instead of one per column
+    picked = df.groupBy(*keys).agg(F.expr(f"{fn}(struct({', '.join(fields)}))").alias("__pick"))
+    return picked.selectExpr(*[q(c) if c in keys else f"__pick.{q(c)} AS {q(c)}" for c in df.columns])
 
 
 def keep_max(df: DataFrame, keys, order_cols=()) -> DataFrame:
     """Per key, the row that is largest by ``order_cols`` (NULLs last), then by the other columns."""
-    return _pick(df, keys, order_cols, F.max, nulls_last=True)
+    return _pick(df, keys, order_cols, "max", nulls_last=True)
 
 
 def keep_min(df: DataFrame, keys, order_cols=()) -> DataFrame:
     """Per key, the row that is smallest by ``order_cols`` then by the other columns (NULLs first)."""
-    return _pick(df, keys, order_cols, F.min, nulls_last=False)
+    return _pick(df, keys, order_cols, "min", nulls_last=False)

@@ -29,12 +29,12 @@ def clean_employees(df: DataFrame) -> DataFrame:
 # J2 -------------------------------------------------------------------------------
 def normalize_timeframe(df: DataFrame) -> DataFrame:
     """Text or numeric bronze columns -> epoch seconds (bigint) and salary (double)."""
-    return df.select(
-        F.col("emp_id").cast("string").alias("emp_id"),
-        F.col("designation").cast("string").alias("designation"),
-        lenient_long("start_date").alias("start_date"),
-        lenient_long("end_date").alias("end_date"),
-        lenient_double("salary").alias("salary"),
+    return df.selectExpr(
+        "CAST(emp_id AS STRING) AS emp_id",
+        "CAST(designation AS STRING) AS designation",
+        "try_cast(try_cast(start_date AS DOUBLE) AS BIGINT) AS start_date",   # = lenient_long
+        "try_cast(try_cast(end_date AS DOUBLE) AS BIGINT) AS end_date",
+        "try_cast(salary AS DOUBLE) AS salary",                                # = lenient_double
     )
 
 
@@ -67,8 +67,7 @@ def with_status(df: DataFrame) -> DataFrame:
 
 
 def epochs_to_dates(df: DataFrame) -> DataFrame:
-    return df.withColumn("start_date", epoch_to_date("start_date")) \
-             .withColumn("end_date", epoch_to_date("end_date"))
+    return df.withColumns({"start_date": epoch_to_date("start_date"), "end_date": epoch_to_date("end_date")})
 
 
 def derive_status(df: DataFrame) -> DataFrame:
