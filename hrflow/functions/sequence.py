@@ -57,9 +57,16 @@ def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in sort_cols]) \
         .withColumn("__pid", F.spark_partition_id())
 
-    w = Window.partitionBy(key, "__pid").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    local = ranged.withColumn("__next", F.lead(value).over(w)) \
-        .withColumn("__is_last", F.lead(F.lit(True)).over(w).isNull())
+    # Each slice goes to a task of its own: range partitioning on the slice id maps the n
+    # distinct ids one to one (a hash would let slices of a hot key collide), and the
+    # window over the slice then needs no further exchange.
+    slices = ranged.repartitionByRange(n, "__pid")
+    w = Window.partitionBy("__pid").orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
+    nxt_row = F.lead(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))).over(w)
+    local = slices.withColumn("__nr", nxt_row) \
+        .withColumn("__same", F.col("__nr").isNotNull() & F.col("__nr.k").eqNullSafe(F.col(key))) \
+        .withColumn("__next", F.when(F.col("__same"), F.col("__nr.v"))) \
+        .withColumn("__is_last", ~F.col("__same")).drop("__nr", "__same")
 
     heads = ranged.groupBy("__pid").agg(
         F.min(F.struct(*[F.col(c) for c in sort_cols], F.col(value).alias("__v"))).alias("__h"))
@@ -72,5 +79,5 @@ def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
 
     joined = local.join(F.broadcast(boundary), "__pid", "left")
     nxt = F.when(F.col("__is_last"),
-                 F.when(F.col("__nk") == F.col(key), F.col("__nv"))).otherwise(F.col("__next"))
+                 F.when(F.col("__nk").eqNullSafe(F.col(key)), F.col("__nv"))).otherwise(F.col("__next"))
     return joined.withColumn(out, nxt).drop("__pid", "__next", "__is_last", "__nk", "__nv")

@@ -7,9 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULTS = {
-    # Every date derived from a clock or an epoch is read in UTC.
+# Pinned on every session the operators run in: time stamps are read in UTC.
+REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
+}
+
+# Defaults of sessions built here (Spark 4's own defaults too); never forced on a
+# session someone else configured.
+DEFAULTS = {
+    **REQUIRED,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -33,8 +39,8 @@ def build_session(master: str = "local[8]", app: str = "hrflow", shuffle_partiti
 
 
 def ensure_defaults(spark: SparkSession) -> SparkSession:
-    """Pin the settings the operators depend on (idempotent, runtime-settable only)."""
-    for k, v in DEFAULTS.items():
+    """Pin the settings the operators depend on (idempotent) and the checkpoint folder."""
+    for k, v in REQUIRED.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     checkpoint_root(spark)
