@@ -54,10 +54,11 @@ def test_snapshot_commit_and_crash_safety(spark, tmp_dir):
     a = spark.createDataFrame([("1", 1)], "employee_id string, n int")
     assert snapshot.commit(spark, root, a, "b0") == 0
     assert snapshot.is_applied(spark, root, "b0")
-    # a version without a completed ledger does not count
+    # a version without a completed ledger does not count, and its folder is not reused
     a.write.parquet(os.path.join(root, "v=1", "data"))
     assert snapshot.current_version(spark, root) == 0
-    assert snapshot.commit(spark, root, a.withColumn("n", F.lit(2)), "b1") == 1
+    assert snapshot.commit(spark, root, a.withColumn("n", F.lit(2)), "b1") == 2
+    assert snapshot.read_current(spark, root).first().n == 2
 
 
 def test_keyed_store_merge_on_read(spark, tmp_dir):
