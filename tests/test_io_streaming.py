@@ -117,3 +117,15 @@ def test_replayed_batch_changes_nothing(spark, tmp_dir):
     process_batch(spark, batch, 0, words, cfg)  # replay of batch 0
     assert rows(read_strikes(spark, cfg)) == first
     assert spark.read.parquet(cfg.log_path).count() == n_log
+
+
+def test_ledger_high_water_mark(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "led")
+    a = spark.createDataFrame([("1", 1)], "employee_id string, n int")
+    snapshot.commit(spark, root, a, "mon:ck:0")
+    snapshot.commit(spark, root, a, "mon:ck:1")
+    snapshot.commit(spark, root, a, "sync:2024-03-01")
+    assert snapshot.is_applied(spark, root, "mon:ck:0") and snapshot.is_applied(spark, root, "mon:ck:1")
+    assert not snapshot.is_applied(spark, root, "mon:ck:2") and not snapshot.is_applied(spark, root, "mon:other:0")
+    assert snapshot.is_applied(spark, root, "sync:2024-03-01") and not snapshot.is_applied(spark, root, "sync:2024-03-02")
+    assert snapshot.read_ledger(spark, root) == {"keys": ["sync:2024-03-01"], "high": {"mon:ck": 1}}
