@@ -36,7 +36,8 @@ def test_oracles_match_at_smoke_scale(spark, entry_mod):
     for t in ("customer", "orders", "events", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     sqls = entry_mod.oracle_sql()
-    bad = []
+    bad, risky = [], []
+    forbidden = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
     for k, q in entry_mod.queries().items():
         df = q(spark, SMOKE)
         s = digest(df.columns, [tuple(r) for r in df.collect()])
@@ -44,7 +45,11 @@ def test_oracles_match_at_smoke_scale(spark, entry_mod):
         d = digest([x[0] for x in res.description], res.fetchall())
         if s != d:
             bad.append(k)
+        # plan shape: no nested-loop or cartesian join, no Python evaluation, anywhere
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        risky += [(k, f) for f in forbidden if f in plan]
     assert bad == []
+    assert risky == []
 
 
 def test_partition_filter_reaches_scan(spark, tmp_dir):
