@@ -52,12 +52,13 @@ def write_alert_texts(rendered: DataFrame, path: str, num_writers: int | None =
              .partitionBy("run_date", "emp_id").text(path))
 
 
-def write_json_arrays(df: DataFrame, path: str, value: str | None = None) -> None:
-    """Write each input partition as one file holding one JSON array.
+def write_json_arrays(df: DataFrame, path: str, value: str | None = None, max_items: int = 10_000) -> None:
+    """Write files that each hold one JSON array of at most ``max_items`` items.
 
     ``value`` names a string column to write as an array of strings; without it each
-    row becomes a JSON object. A file never holds more than one input partition, so its
-    size is bounded by the partition size, not by the data.
+    row becomes a JSON object. Rows are chunked by their position inside their input
+    partition (the partition index and row index packed in ``monotonically_increasing_id``),
+    so no array grows with the data and no shuffle key can be hot.
     """
     if value:
         # a JSON string literal: to_json of a one-element array without its brackets
@@ -66,7 +67,9 @@ def write_json_arrays(df: DataFrame, path: str, value: str | None = None) -> Non
         df = df.withColumn("__one", one)
     else:
         item = F.to_json(F.struct(*df.columns))
-    parts = (df.select(F.spark_partition_id().alias("part"), item.alias("j"))
+    rid = F.monotonically_increasing_id()
+    chunk = F.concat_ws("-", F.shiftright(rid, 33), F.floor((rid % F.lit(1 << 33)) / F.lit(max_items)))
+    parts = (df.select(chunk.alias("part"), item.alias("j"))
                .groupBy("part")
                .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]")).alias("value")))
     parts.write.mode("overwrite").partitionBy("part").text(path)
