@@ -93,16 +93,32 @@ def build_timeframe_chained(raw: DataFrame) -> DataFrame:
 MERGE_KEYS = ["emp_id", "designation", "start_date", "salary"]
 
 
-def merge_timeframe(history: DataFrame, batch_raw: DataFrame) -> DataFrame:
+def merge_timeframe(history: DataFrame, batch_raw: DataFrame, history_is_chained: bool = False) -> DataFrame:
     """Add a new bronze batch to the stored gold history and re-chain every employee.
 
     Rows equal on (emp_id, designation, start_date, salary) are kept once, so that a
     re-sent file does not create zero-length intervals (SURVEY Q8).
+
+    ``history_is_chained=True`` states that ``history`` is itself an output of this
+    function (every interval already ends at the next start). Re-chaining changes nothing
+    for employees absent from the batch then, so only the batch's employees are picked
+    (NULL-safe semi join on the batch's employee set) and re-chained; every other row
+    passes through untouched, so the bulk of the history is neither shuffled nor
+    re-sorted. The job order keeps its history that way from the first run.
     """
     batch = build_timeframe_chained(batch_raw)
-    combined = history.select(*MERGE_KEYS).unionByName(batch.select(*MERGE_KEYS)).dropDuplicates(MERGE_KEYS)
+    if not history_is_chained:
+        combined = history.select(*MERGE_KEYS).unionByName(batch.select(*MERGE_KEYS)).dropDuplicates(MERGE_KEYS)
+        chained = chain_intervals(combined.withColumn("end_date", F.lit(None).cast("date")), "replace")
+        return with_status(chained).select(*HISTORY_COLUMNS, "status")
+    ids = batch.select(F.col("emp_id").alias("__id")).distinct()
+    on = history["emp_id"].eqNullSafe(ids["__id"])
+    touched = history.join(ids, on, "left_semi")
+    untouched = history.join(ids, on, "left_anti")
+    combined = touched.select(*MERGE_KEYS).unionByName(batch.select(*MERGE_KEYS)).dropDuplicates(MERGE_KEYS)
     chained = chain_intervals(combined.withColumn("end_date", F.lit(None).cast("date")), "replace")
-    return with_status(chained).select(*HISTORY_COLUMNS, "status")
+    merged = with_status(chained).select(*HISTORY_COLUMNS, "status")
+    return untouched.select(*HISTORY_COLUMNS, "status").unionByName(merged)
 
 
 # J8 -------------------------------------------------------------------------------

@@ -124,7 +124,11 @@ def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
     SF.write_partitioned(H.build_timeframe(landed).withColumn("ingest_run", F.lit(run_date)),
                          lay.timeframe_silver_csv, ["ingest_run"], fmt="csv", header=True)
     history = current_timeframe(spark, lay)
-    merged = H.build_timeframe(landed) if history is None else H.merge_timeframe(history, landed)
+    if history is None:
+        history = spark.createDataFrame([], schemas.TIMEFRAME_GOLD)
+    # the stored history is always an output of merge_timeframe, so only the employees of
+    # this run's files are re-chained
+    merged = H.merge_timeframe(history, landed, history_is_chained=True)
     snapshot.commit(spark, lay.timeframe_gold, merged, key, partition_by=["status"])
 
 

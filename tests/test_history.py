@@ -124,3 +124,20 @@ def test_upsert_report_keeps_target_only_key(spark):
     t = spark.createDataFrame([("A", 1), ("OLD", 5)], "designation string, active_employees long")
     s = spark.createDataFrame([("A", 3), ("NEW", 2)], "designation string, active_employees long")
     assert rows(H.upsert_report(t, s)) == [("A", 3), ("NEW", 2), ("OLD", 5)]
+
+
+def test_incremental_merge_equals_full_on_chained_history(spark):
+    def tf(rows_):
+        return spark.createDataFrame(rows_, "emp_id string, designation string, start_date long, end_date long, "
+                                            "salary double")
+    first = tf([("1", "A", 0, None, 1.0), ("1", "B", 86400 * 5, 86400 * 6, 2.0), ("2", "A", 0, None, 3.0),
+                (None, "Z", 86400, None, 4.0)])
+    empty = spark.createDataFrame([], "emp_id string, designation string, start_date date, end_date date, "
+                                      "salary double, status string")
+    hist = H.merge_timeframe(empty, first, history_is_chained=True)
+    assert rows(hist) == rows(H.merge_timeframe(empty, first))
+    nxt = tf([("1", "C", 86400 * 9, None, 5.0), (None, "Y", 86400 * 3, None, 6.0)])
+    inc = rows(H.merge_timeframe(hist, nxt, history_is_chained=True))
+    full = rows(H.merge_timeframe(hist, nxt))
+    assert inc == full
+    assert ("2", "A", D(1970, 1, 1), None, 3.0, "ACTIVE") in inc
