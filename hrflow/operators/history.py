@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import epoch_to_date, keep_max, keep_min, lenient_double, lenient_int, lenient_long, next_in_key
+from ..functions import epoch_to_date, keep_max, keep_min, lenient_int, next_in_key
 
 EMPLOYEE_KEYS = ["emp_id", "name", "age"]
 HISTORY_COLUMNS = ["emp_id", "designation", "start_date", "end_date", "salary"]
