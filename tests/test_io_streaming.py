@@ -129,3 +129,19 @@ def test_ledger_high_water_mark(spark, tmp_dir):
     assert not snapshot.is_applied(spark, root, "mon:ck:2") and not snapshot.is_applied(spark, root, "mon:other:0")
     assert snapshot.is_applied(spark, root, "sync:2024-03-01") and not snapshot.is_applied(spark, root, "sync:2024-03-02")
     assert snapshot.read_ledger(spark, root) == {"keys": ["sync:2024-03-01"], "high": {"mon:ck": 1}}
+
+
+def test_vacuum_keeps_previous_generation(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "vac")
+    sch = "employee_id string, n int"
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string(sch)
+    snapshot.commit_base(spark, root, spark.createDataFrame([("1", 1)], sch), "employee_id", 2)   # v0
+    snapshot.commit_delta(spark, root, spark.createDataFrame([("1", 2)], sch), "a:0")            # v1
+    snapshot.compact(spark, root, schema, "employee_id", 2)                                        # v2
+    assert snapshot.versions(spark, root) == [0, 1, 2]          # only one newer base: nothing goes
+    snapshot.commit_delta(spark, root, spark.createDataFrame([("2", 5)], sch), "a:1")            # v3
+    snapshot.compact(spark, root, schema, "employee_id", 2)                                        # v4
+    assert snapshot.versions(spark, root) == [2, 3, 4]
+    assert rows(snapshot.read_keyed(spark, root, schema, "employee_id", 2)) == [("1", 2), ("2", 5)]
+    assert snapshot.is_applied(spark, root, "a:1")
