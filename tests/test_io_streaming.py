@@ -145,3 +145,12 @@ def test_vacuum_keeps_previous_generation(spark, tmp_dir):
     assert snapshot.versions(spark, root) == [2, 3, 4]
     assert rows(snapshot.read_keyed(spark, root, schema, "employee_id", 2)) == [("1", 2), ("2", 5)]
     assert snapshot.is_applied(spark, root, "a:1")
+
+
+def test_read_or_empty_raises_other_errors(spark, tmp_dir):
+    import pytest
+    p = os.path.join(tmp_dir, "q")
+    spark.createDataFrame([("1", 20, 2024)], schemas.QUOTA).write.parquet(p)
+    with pytest.raises(Exception) as e:
+        SRC.read_or_empty(spark, p, schemas.QUOTA, fmt="no.such.format").collect()
+    assert "PATH_NOT_FOUND" not in str(e.value)
