@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 19
+PIECE = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -44,19 +44,6 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_cache: dict[str, np.ndarray] = {}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "pow" not in _cache or len(_cache["pow"]) < n:
-        size = max(n, PIECE + 4096)
-        up, down = _powers(_BASE, size), _powers(_INVERSE, size)
-        if size > 4 * PIECE:
-            return up, down
-        _cache["pow"], _cache["inv"] = up, down
-    return _cache["pow"], _cache["inv"]
-
-
 @dataclass
 class Words:
     """Words of a batch in order: byte spans in ``buf``, row number, hash, hashes of leading bytes."""
@@ -103,12 +90,14 @@ def words(column: pa.Array, leads: tuple[int, ...] = ()) -> Words:
     doc = np.searchsorted(off, start, side="right") - 1
     out = np.zeros(len(start), np.uint64)
     lead = {k: np.zeros(len(start), np.uint64) for k in leads}
+    up, down = _powers(_BASE, 2 * PIECE), _powers(_INVERSE, 2 * PIECE)
     i = 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + PIECE, side="right")))
         base = start[i]
         piece = buf[base:end[j - 1]]
-        up, down = _tables(len(piece))
+        if len(piece) > len(up):  # one very long word
+            up, down = _powers(_BASE, len(piece)), _powers(_INVERSE, len(piece))
         total = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(_CODE[piece] * up[:len(piece)], out=total[1:])
         s, e = start[i:j] - base, end[i:j] - base
