@@ -12,8 +12,8 @@ group of copies:
    a size block, sizes that differ by more than the threshold allows are two blocks or
    more apart and are skipped unread; inside a block the position bound
    ``1 + min(rest of x, rest of y) >= needed overlap`` skips entries.
-3. Answers by set relation. In each list one set is the pivot; the others are compared
-   with it alone and remember their distance to it. Sets that link get one component, and
+3. Answers by set relation. Lists of up to ``SHORT`` sets are compared pair by pair. In a
+   longer list one set is the pivot; the others are compared with it alone and remember their distance to it. Sets that link get one component, and
    the answers of a member then hold for its whole component: later passes compare only
    sets of different components that share a list, and by the triangle inequality of the
    Jaccard distance only those whose distances to their common pivot differ by no more
@@ -41,7 +41,8 @@ from .tables import connected_components, drop_table, materialise
 SKETCH_CELLS = 1 << 19
 SLICES = 32
 MAP_WORDS = 16
-PASSES = 6
+PASSES = 3
+SHORT = 8
 
 
 def _needed(n: str, m: str, percent: int) -> str:
@@ -209,39 +210,39 @@ def _component_of_classes(text: DataFrame, scanned: DataFrame, classes: DataFram
     levels[some] = np.minimum(63, np.log2(counts[some]).astype(np.uint8) + 1)
     sent = spark.sparkContext.broadcast(zlib.compress(levels.tobytes(), 1))  # SKETCH_CELLS bytes at most
     scan, schema = _scan_index(k, percent, sent)
-    index = materialise(text.mapInArrow(scan, schema), "index")
-    one = classes.select("cid", F.col("n_shingles").alias("n"))
-    index = index.withColumnRenamed("doc_id", "cid").join(one, ["cid", "n"])
+    index = materialise(text.mapInArrow(scan, schema), "index").withColumnRenamed("doc_id", "cid")
     if _repeats(scanned):
         index = index.dropDuplicates(["cid", "n"])
-    entries = index.select("cid", "n", F.posexplode("head").alias("pos", "tok"))
-    shared = entries.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1").select("tok")
+    one = classes.select("cid", F.col("n_shingles").alias("n"))
+    entries = index.select("cid", "n", "head").join(one, ["cid", "n"]).select(
+        "cid", "n", F.posexplode("head").alias("pos", "tok"))
+    shared = entries.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     entries = materialise(entries.join(shared, "tok"), "entries")
-    maps = materialise(index.join(entries.select("cid").distinct(), "cid", "left_semi").select("cid", "n", "map"), "maps")
-
-    component = entries.select(F.col("cid").alias("id"), F.col("cid").alias("component")).limit(0)
-    tested = links = sets = first_found = None
-    for turn in range(PASSES + 1):
-        live = _live_entries(entries, component)
-        todo = live.agg(F.coalesce(F.sum("cross"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
-        if not todo[0]:
-            break
-        last = turn == PASSES or (turn and todo[0] <= 8 * todo[1])
-        lists = materialise(_members(entries, live, component), f"lists{turn}")
-        pairs = _all_pairs(lists, first_found, percent) if last else _pivot_pairs(lists, percent, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(_possible(pairs, maps, percent), f"pairs{turn}")
+    short = entries.where(f"df <= {SHORT}").withColumn("comp", F.col("cid"))
+    lists = entries.where(f"df > {SHORT}").select("tok", "cid", "n", "pos", F.col("cid").alias("comp"))
+    pairs = _pivot_pairs(lists, percent, 0).unionByName(_short_pairs(short, percent)).distinct()
+    links = tested = sets = first_found = None
+    for turn in range(PASSES):
+        pairs = materialise(_possible(pairs, index, percent), f"pairs{turn}")
         sets = _sets_of(text, pairs, sets, k)
         found = materialise(_overlap(pairs, sets), f"overlap{turn}")
         first_found = found if first_found is None else first_found
         hit = found.where(f"100 * overlap >= {percent} * (n + m - overlap)").select("a", "b")
         links = hit if links is None else links.unionByName(hit)
         component = connected_components(links, f"join-cc{turn}")
-        if last:
+        if turn and last:
+            break
+        lists = materialise(_live(lists, component), f"lists{turn + 1}")
+        members, cross = lists.groupBy("tok").agg(F.first("m").alias("m"), F.first("cross").alias("c")).agg(
+            F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0))).first()
+        if not cross:
             break
         seen = pairs.select("a", "b")
         tested = seen if tested is None else tested.unionByName(seen)
+        few = cross <= 64 * members
+        last = few or turn + 2 == PASSES
+        pairs = _all_pairs(lists, None if few else first_found, percent) if last else _pivot_pairs(lists, percent, turn + 1)
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
     return component
 
 
@@ -251,20 +252,14 @@ def _repeats(scanned: DataFrame) -> bool:
     return not ids.where("count > 1").isEmpty()
 
 
-def _labelled(entries: DataFrame, component: DataFrame) -> DataFrame:
-    return entries.join(component, entries.cid == component.id, "left").select(
+def _live(lists: DataFrame, component: DataFrame) -> DataFrame:
+    """Lists that still hold several components, with members ``m`` and pairs ``cross`` across components."""
+    rows = lists.select("tok", "cid", "n", "pos").join(component, F.col("cid") == F.col("id"), "left").select(
         "tok", "cid", "n", "pos", F.coalesce("component", "cid").alias("comp"))
-
-
-def _live_entries(entries: DataFrame, component: DataFrame) -> DataFrame:
-    """Lists that still hold several components: members and pairs across components."""
-    per = _labelled(entries, component).groupBy("tok", "comp").agg(F.count("*").alias("c"))
-    return (per.groupBy("tok").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"))
+    per = rows.groupBy("tok", "comp").agg(F.count("*").alias("c"))
+    live = (per.groupBy("tok").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"))
             .select("tok", "m", F.expr("(m * m - sq) / 2").alias("cross")).where("cross > 0"))
-
-
-def _members(entries: DataFrame, live: DataFrame, component: DataFrame) -> DataFrame:
-    return _labelled(entries.join(live.select("tok"), "tok"), component)
+    return rows.join(live, "tok")
 
 
 def _pair_columns(percent: int) -> str:
@@ -288,16 +283,29 @@ def _pivot_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
     return _as_pairs(lists.alias("p").join(pivot.alias("q"), "tok").where(_pair_columns(percent)))
 
 
-def _all_pairs(lists: DataFrame, first_found: DataFrame, percent: int) -> DataFrame:
+def _short_pairs(short: DataFrame, percent: int) -> DataFrame:
+    """All pairs of lists with few members."""
+    return _as_pairs(short.alias("p").join(short.alias("q"), "tok")
+                     .where(f"p.cid < q.cid and ({_pair_columns(percent)})"))
+
+
+def _all_pairs(lists: DataFrame, first_found: DataFrame | None, percent: int) -> DataFrame:
     """All pairs across components: a size block meets itself and the next one, and distances
     to the list's first pivot (where measured) must not differ by more than the threshold."""
     width = -1.0001 * math.log(percent / 100)
+    if first_found is None:
+        none = lists.withColumns({"d": F.lit(None).cast("double"), "block": F.expr(f"cast(floor(ln(n) / {width}) as int)")})
+        return _block_pairs(none, percent)
     pivot = lists.groupBy("tok").agg(F.min("cid").alias("pivot"))
     far = first_found.select("a", "b", F.expr("1 - overlap / (n + m - overlap)").alias("d"))
     p = (lists.join(pivot, "tok")
          .withColumns({"a": F.least("cid", "pivot"), "b": F.greatest("cid", "pivot"),
                        "block": F.expr(f"cast(floor(ln(n) / {width}) as int)")})
          .join(far, ["a", "b"], "left").drop("a", "b"))
+    return _block_pairs(p, percent)
+
+
+def _block_pairs(p: DataFrame, percent: int) -> DataFrame:
     q = p.withColumn("own", F.col("block")).withColumn("block", F.explode(F.expr("array(block, block - 1)")))
     return _as_pairs(p.alias("p").join(q.alias("q"), ["tok", "block"]).where(
         f"({_pair_columns(percent)}) and (p.block < q.own or p.cid < q.cid) and "
