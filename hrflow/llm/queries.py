@@ -5,9 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .mixing import mixed
+from .pii import pseudonymise
+from .quality import quality_scores
 from .set_join import jaccard_classes
 from .tables import read_table
+from .toxicity import toxic_documents
+
+#: Key of the registered query and of the pipeline; a real corpus needs a secret one.
+DEMO_KEY = b"hrflow-demo-key"
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learnt from the labels outside the held-out fold."""
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +29,24 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources."""
+    return mixed(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents, learnt from the labels outside the held-out fold."""
+    return toxic_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by pseudonyms."""
+    docs = pseudonymise(read_table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
+    return docs.select("doc_id", "text", F.size("pii").alias("n_pii"),
+                       F.array_join(F.array_sort(F.array_distinct("pii.kind")), ",").alias("kinds"))
+
+
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP4_SQL = f"""
@@ -23,7 +54,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 sh AS (
   SELECT doc_id, CASE WHEN len(w) >= 4
-      THEN list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')))
+      THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
 e AS (SELECT doc_id, unnest(s) AS g FROM sh),
 n AS (SELECT doc_id, len(s)::BIGINT AS n_shingles FROM sh),
@@ -38,9 +69,30 @@ JOIN (SELECT doc_id, min(other)::BIGINT AS component_id FROM reach GROUP BY 1) c
 """
 
 
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+    coalesce(greatest(0.05::DOUBLE, 1 - 2 * (length(text) - length(regexp_replace(text, '[0-9!-/:-@\[-`{-~]', '', 'g')))::DOUBLE
+      / greatest(length(text), 1)), 0.05::DOUBLE) AS quality FROM documents),
+k AS (SELECT doc_id, source, size, round(-ln(u) / quality, 12) AS key FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM k GROUP BY source),
+w AS (SELECT *, [5, 2, 1][((rank - 1) % 3 + 1)::INT] AS w, 2 * source_size AS cap FROM s),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+    - (sum(cap) OVER (ORDER BY cap::DOUBLE / w, rank) - cap)::DOUBLE)
+    / (sum(w) OVER () - (sum(w) OVER (ORDER BY cap::DOUBLE / w, rank) - w))::DOUBLE AS level FROM w),
+t AS (SELECT source, source_size, least(cap::DOUBLE, w * max(level) OVER ()) AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS epochs FROM t),
+r AS (SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs, round(p.target)::BIGINT - p.epochs * p.source_size AS rest,
+    coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM k JOIN p ON k.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_jaccard_join": op4_jaccard_join}
+    return {f.__name__: f for f in (op1_quality, op4_jaccard_join, op8_mixing, op9_toxicity, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4_SQL}
+    return {"op4_jaccard_join": OP4_SQL, "op8_mixing": OP8_SQL}
