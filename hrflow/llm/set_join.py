@@ -20,8 +20,8 @@ group of copies:
    than the threshold. Passes repeat with other pivots while lists with several components
    would give many pairs; a last pass compares every pair that is left.
 
-A pair reaches the exact comparison only if fixed-size bit maps of its two sets allow the
-overlap (the bound is exact: a bit that differs is an element that differs).
+A pair reaches the exact comparison only if bit maps of its two sets (two to four bits per
+element) allow the overlap (the bound is exact: a bit that differs is an element that differs).
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ from .tables import connected_components, drop_table, materialise
 
 SKETCH_CELLS = 1 << 19
 SLICES = 32
-MAP_WORDS = 16
 PASSES = 3
 SHORT = 8
 
@@ -126,9 +125,9 @@ def _scan_index(k: int, percent: int, levels):
                 key = s >> np.uint64(6)
                 key |= level[(s % np.uint64(SKETCH_CELLS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
                 heads.append(s[np.argsort(key, kind="stable")[:p]].view(np.int64))
-                bits = np.zeros(MAP_WORDS * 64, np.uint8)
-                bits[(s >> np.uint64(20)) % np.uint64(MAP_WORDS * 64)] = 1
-                maps.append(np.packbits(bits).view(np.int64))
+                bits = np.zeros(_map_bits(n), np.uint8)
+                bits[s & np.uint64(len(bits) - 1)] = 1
+                maps.append(np.packbits(bits, bitorder="little").tobytes())
                 rows.append(row)
                 sizes.append(n)
             if rows:
@@ -137,9 +136,35 @@ def _scan_index(k: int, percent: int, levels):
                     "n": pa.array(sizes, pa.int64()),
                     "head": pa.ListArray.from_arrays(np.cumsum([0, *map(len, heads)]).astype(np.int32),
                                                      pa.array(np.concatenate(heads))),
-                    "map": pa.ListArray.from_arrays(np.arange(0, MAP_WORDS * (len(rows) + 1), MAP_WORDS, dtype=np.int32),
-                                                    pa.array(np.concatenate(maps)))})
-    return scan, "doc_id long, n long, head array<long>, map array<long>"
+                    "map": pa.array(maps, pa.binary())})
+    return scan, "doc_id long, n long, head array<long>, map binary"
+
+
+def _map_bits(n: int) -> int:
+    """Bits of the map of a set: a power of two, two to four per element, 512 at least."""
+    return max(512, 1 << (2 * n - 1).bit_length())
+
+
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """Map of ``size`` bits from a larger one."""
+    return np.bitwise_or.reduce(bits.reshape(-1, size // 8), axis=0)
+
+
+def _map_filter(percent: int):
+    """Pairs whose maps allow the needed overlap: a bit that differs is an element that differs."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.array([i.bit_count() for i in range(256)], np.int64)
+        for b in batches:
+            n, m = b.column("n").to_numpy(), b.column("m").to_numpy()
+            most = n + m - 2 * -(-percent * (n + m) // (100 + percent))
+            ok = np.zeros(b.num_rows, bool)
+            for i in range(b.num_rows):
+                x = np.frombuffer(b.column("x")[i].as_buffer(), np.uint8)
+                y = np.frombuffer(b.column("y")[i].as_buffer(), np.uint8)
+                size = 8 * min(len(x), len(y))
+                ok[i] = count[_fold(x, size) ^ _fold(y, size)].sum() <= most[i]
+            yield b.select(["a", "b", "n", "m"]).filter(pa.array(ok))
+    return keep
 
 
 def _scan_sets(k: int):
@@ -221,11 +246,10 @@ def _component_of_classes(text: DataFrame, scanned: DataFrame, classes: DataFram
     short = entries.where(f"df <= {SHORT}").withColumn("comp", F.col("cid"))
     lists = entries.where(f"df > {SHORT}").select("tok", "cid", "n", "pos", F.col("cid").alias("comp"))
     pairs = _pivot_pairs(lists, percent, 0).unionByName(_short_pairs(short, percent)).distinct()
-    links = tested = sets = first_found = None
+    links = tested = first_found = None
     for turn in range(PASSES):
         pairs = materialise(_possible(pairs, index, percent), f"pairs{turn}")
-        sets = _sets_of(text, pairs, sets, k)
-        found = materialise(_overlap(pairs, sets), f"overlap{turn}")
+        found = materialise(_overlap(pairs, text, k), f"overlap{turn}")
         first_found = found if first_found is None else first_found
         hit = found.where(f"100 * overlap >= {percent} * (n + m - overlap)").select("a", "b")
         links = hit if links is None else links.unionByName(hit)
@@ -316,22 +340,15 @@ def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """Pairs whose bit maps allow the needed overlap."""
     x = maps.select(F.col("cid").alias("a"), "n", F.col("map").alias("x"))
     y = maps.select(F.col("cid").alias("b"), F.col("n").alias("m"), F.col("map").alias("y"))
-    differ = "aggregate(zip_with(x, y, (u, v) -> bit_count(u ^ v)), 0, (s, t) -> s + t)"
-    return (pairs.join(x, ["a", "n"]).join(y, ["b", "m"]).where(f"{differ} <= n + m - 2 * {_needed('n', 'm', percent)}")
-            .select("a", "b", "n", "m"))
+    return pairs.join(x, ["a", "n"]).join(y, ["b", "m"]).select("a", "b", "n", "m", "x", "y").mapInArrow(
+        _map_filter(percent), "a long, b long, n long, m long")
 
 
-def _sets_of(text: DataFrame, pairs: DataFrame, sets: DataFrame | None, k: int) -> DataFrame:
-    """Whole sets of the documents in ``pairs`` (those made before are kept)."""
+def _overlap(pairs: DataFrame, text: DataFrame, k: int) -> DataFrame:
+    """Exact overlaps of the pairs, from the whole sets of their documents."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    if sets is not None:
-        ids = ids.join(sets, ids.doc_id == sets.cid, "left_anti")
     scan, schema = _scan_sets(k)
-    more = materialise(text.join(ids, "doc_id", "left_semi").mapInArrow(scan, schema), "elements")
-    return more if sets is None else sets.unionByName(more)
-
-
-def _overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    sets = materialise(text.join(ids, "doc_id", "left_semi").mapInArrow(scan, schema), "elements")
     x = sets.select(F.col("cid").alias("a"), "n", F.col("elements").alias("x"))
     y = sets.select(F.col("cid").alias("b"), F.col("n").alias("m"), F.col("elements").alias("y"))
     return pairs.join(x, ["a", "n"]).join(y, ["b", "m"]).mapInArrow(_overlaps, "a long, b long, n long, m long, overlap long")

@@ -32,6 +32,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_MARKS = _SPACE.copy()
+_MARKS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[_LOWER]
@@ -69,14 +71,22 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return buf[off[0]:off[-1]], off - off[0]
 
 
-def words(column: pa.Array, leads: tuple[int, ...] = ()) -> Words:
+def words(column: pa.Array, leads: tuple[int, ...] = (), plain: bool = False) -> Words:
     """Words of a string column. ``leads``: also hash the first k bytes of words that have more
-    than k (0 for the others)."""
+    than k (0 for the others). ``plain``: ASCII marks part words too, and Latin-1 capitals are
+    lower-cased."""
     buf, off = buffers(column)
+    space = _SPACE
+    if plain:
+        space = _MARKS
+        second = np.flatnonzero(buf[:-1] == 0xC3) + 1  # two-byte characters U+00C0 to U+00DE
+        second = second[(buf[second] < 0x9F) & (buf[second] >= 0x80) & (buf[second] != 0x97)]
+        buf = buf.copy()
+        buf[second] += 0x20
     if not len(buf):
         none = np.zeros(0, np.int64)
         return Words(buf, off, none, none, none, np.zeros(0, np.uint64), {k: np.zeros(0, np.uint64) for k in leads})
-    solid = ~_SPACE[buf]
+    solid = ~space[buf]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     begins = off[:-1][off[1:] > off[:-1]]

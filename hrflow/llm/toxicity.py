@@ -1,6 +1,6 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Two tags (clean, toxic) over the words of a whole text. Emission features of a word are its
+Two tags (clean, toxic) over the words of a whole text (lower-cased, without marks). Emission features of a word are its
 hash and the hashes of its first 4, 5 and 6 bytes; transitions are free. Only document
 labels exist, so token labels are derived first: among sampled labelled documents, a
 feature that is pure and significantly frequent in toxic ones (Dunning's G2) marks its
@@ -183,7 +183,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         label = b.column(1).to_numpy(zero_copy_only=False)
         weight = b.column(2).to_numpy(zero_copy_only=False)
         for lo, hi in tokens.pieces_of_rows(b.column(0)):
-            w = tokens.words(b.column(0).slice(lo, hi - lo), LEADS)
+            w = tokens.words(b.column(0).slice(lo, hi - lo), LEADS, plain=True)
             f = _features(w).reshape(-1)
             doc = np.tile(w.doc, KINDS)
             keep = f != 0
@@ -208,7 +208,7 @@ def _windows(seeds, width: int):
         for b in batches:
             label = b.column(1).to_numpy(zero_copy_only=False)
             for lo, hi in tokens.pieces_of_rows(b.column(0)):
-                w = tokens.words(b.column(0).slice(lo, hi - lo), LEADS)
+                w = tokens.words(b.column(0).slice(lo, hi - lo), LEADS, plain=True)
                 if not len(w.start):
                     continue
                 f = _features(w)
@@ -351,7 +351,7 @@ def _tag(field, floor: float = 0.05, carry: tuple[str, ...] = ()):
         for b in batches:
             for lo, hi in tokens.pieces_of_rows(b.column(1)):
                 n = hi - lo
-                w = tokens.words(b.column(1).slice(lo, n), LEADS)
+                w = tokens.words(b.column(1).slice(lo, n), LEADS, plain=True)
                 expected, top = np.zeros(n), np.zeros(n)
                 spans: list[list[dict]] = [[] for _ in range(n)]
                 if len(w.start):
