@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling, in DataFrame operations only.
 
-Sizes are words (``[^\\x20\\x09-\\x0D]+``). Sources share ``share`` times all words by weight; no
+Sizes are words (``[^\\x20\\x09-\\x0D]+``, which is what ``\\S+`` means here). Sources share ``share`` times all words by weight; no
 source gets more than ``cap`` times its own size, and what a capped source leaves is shared
 again by weight (closed form over one row per source). A source whose target holds e whole
 epochs takes every document e times; the rest of the target goes to documents in the order of
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .tables import materialise
 
-WORD = r"[^\x20\x09-\x0D]+"
+WORD = r"\S+"
 BINS = 4096
 #: Weights of the sources in code point order, repeating.
 SOURCE_WEIGHTS = (5, 2, 1)
@@ -28,7 +28,7 @@ SOURCE_WEIGHTS = (5, 2, 1)
 def quality_weight(text):
     """Document quality weight: 1 less twice the share of digits and ASCII marks, 0.05 at least."""
     n = F.greatest(F.length(text), F.lit(1))
-    marks = F.length(text) - F.length(F.regexp_replace(text, r"[0-9!-/:-@\[-`{-~]", ""))
+    marks = F.length(text) - F.length(F.regexp_replace(text, r"[\d\p{Punct}]+", ""))
     return F.coalesce(F.greatest(F.lit(0.05), 1 - 2 * marks / n), F.lit(0.05))
 
 

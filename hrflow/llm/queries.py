@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontam import contaminated
+from .embed_dedup import near_duplicates
+from .html_text import extract
+from .license import scan
 from .mixing import mixed
 from .pii import pseudonymise
 from .quality import quality_scores
 from .set_join import jaccard_classes
 from .tables import read_table
 from .toxicity import toxic_documents
+from .warc import archive_round_trip
 
 #: Key of the registered query and of the pipeline; a real corpus needs a secret one.
 DEMO_KEY = b"hrflow-demo-key"
@@ -23,12 +28,44 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked at cosine 0.95."""
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"), 0.95)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents searched for passages of the benchmark."""
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-word shingle sets of all documents, linked at Jaccard similarity 0.85."""
     return jaccard_classes(read_table(spark, sf_dir, "documents"), k=4, percent=85).select(
         "doc_id", "n_shingles", "component_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    return archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, as files ``<source>/<lang>/<doc_id>.txt``."""
+    docs = read_table(spark, sf_dir, "documents")
+    files = docs.select(F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
+                                    F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"), "text")
+    own = F.regexp_extract("path", r"(-?\d+)\.txt$", 1)
+    at = F.regexp_extract("inherited_from", r"(-?\d+)\.txt$", 1)
+    return scan(files).select(own.cast("long").alias("doc_id"), "own_license", F.round("similarity", 6).alias("similarity"),
+                              "license", F.when(at != "", at.cast("long")).alias("inherited_from"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
     return mixed(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -49,6 +86,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP2_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, e FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM ok UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, coalesce(c.component_id, v.vec_id)::BIGINT AS component_id,
+  v.vec_id IS NOT DISTINCT FROM coalesce(c.component_id, v.vec_id) AS kept
+FROM v LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1) n USING (vec_id)
+LEFT JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1) c USING (vec_id)
+"""
+
 OP4_SQL = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -69,6 +123,23 @@ JOIN (SELECT doc_id, min(other)::BIGINT AS component_id FROM reach GROUP BY 1) c
 """
 
 
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
+w AS (SELECT hex, max(page_id) AS winner FROM p GROUP BY hex),
+d AS (
+  SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, hex, winner,
+    list_transform(range(0, 8), lambda i: ('0x' || substr(hex, (5 * i + 1)::BIGINT, 5))::BIGINT) AS g FROM p JOIN w USING (hex))
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(g, lambda x:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((x >> 15) & 31) + 1] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((x >> 10) & 31) + 1] ||
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((x >> 5) & 31) + 1] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(x & 31) + 1]),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM winner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM winner THEN NULL ELSE winner END AS refers_to
+FROM d
+"""
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -91,8 +162,9 @@ SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(siz
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_jaccard_join, op8_mixing, op9_toxicity, op10_pii)}
+    return {f.__name__: f for f in (op1_quality, op2_embedding_dedup, op3_decontamination, op4_jaccard_join, op5_warc, op6_main_text,
+                                    op7_licenses, op8_mixing, op9_toxicity, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_embedding_dedup": OP2_SQL, "op4_jaccard_join": OP4_SQL, "op5_warc": OP5_SQL, "op8_mixing": OP8_SQL}

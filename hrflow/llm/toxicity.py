@@ -378,13 +378,26 @@ def _tag(field, floor: float = 0.05, carry: tuple[str, ...] = ()):
     return run
 
 
+def _score_sql(field: Field) -> str:
+    z = " + ".join([repr(field.doc[0]), *(f"{w!r}D * {x}" for w, x in zip(field.doc[1:], STATS))])
+    return f"round(if(n_words = 0, 0D, 1 / (1 + exp(-({z})))), 6)"
+
+
 def score(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id, score, spans`` of every row; a NULL, empty or blank text has score 0 and no spans."""
     sent = docs.sparkSession.sparkContext.broadcast(field)  # bounded by FitBounds.features
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    z = " + ".join([repr(field.doc[0]), *(f"{w!r}D * {x}" for w, x in zip(field.doc[1:], STATS))])
-    return text.mapInArrow(_tag(sent), TAGGED).selectExpr(
-        "doc_id", f"if(n_words = 0, 0D, 1 / (1 + exp(-({z})))) AS score", "spans")
+    return text.mapInArrow(_tag(sent), TAGGED).selectExpr("doc_id", f"{_score_sql(field)} AS score", "spans")
+
+
+def without_toxic(docs: DataFrame, field: Field, threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, with all their columns and without a shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(field)
+    rows = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    kept = rows.mapInArrow(_tag(sent, carry=("row",)), f"{TAGGED}, row {kind}")
+    return kept.where(f"{_score_sql(field)} < {threshold}").select("row.*")
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
@@ -395,5 +408,4 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     table are ignored; an empty table of labels gives low scores, an empty ``docs`` no rows.
     """
     return score(docs, fit(docs, labels, bounds)).select(
-        "doc_id", held_out().alias("held_out"), F.round("score", 6).alias("score"),
-        (F.round("score", 6) >= threshold).cast("int").alias("predicted"), "spans")
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
