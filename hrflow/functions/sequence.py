@@ -1,83 +1,61 @@
-"""``lead`` within a key that stays correct and balanced when one key is huge.
-
-A plain ``lead().over(Window.partitionBy(key))`` sends every row of a key to one
-task. Here the rows are range-partitioned on ``(key, order...)`` instead, so a key
-holding a third of all rows is spread over many tasks, each holding a contiguous
-slice of the global order. ``lead`` runs inside each slice; the last row of a slice
-takes the first row of the next non-empty slice when that row has the same key.
-The slice heads are one row per partition (a bounded table), so they are broadcast.
-
-All order columns are ascending with NULLs first.
-
-The split costs a second exchange, which only pays when one task could not hold a key.
-With ``skew_safe=None`` the choice follows the optimizer's size estimate of the input
-(the same statistic Spark uses for broadcast decisions): below
-``hrflow.lead.skewSafeMinBytes`` (default 256 MB) even a key holding every row fits in
-one task, so the plain window runs; above it, the split path.
+"""``lead`` within a key that stays balanced when one key is huge.
+
+A plain ``lead().over(Window.partitionBy(key))`` sends every row of a key to one task.
+Here a key with more than ``hrflow.lead.rowsPerSlice`` rows is cut into slices: its count,
+smallest and largest position (the first order column as a number) are aggregated once,
+map-side first, and a row's slice follows from its own position and those three numbers
+alone, so every part of the plan agrees on it however often it is computed. ``lead`` runs
+within (key, slice); the last row of a slice takes the head of the key's next slice. Keys
+below the limit have one slice, so every input runs through the same plan.
+
+All order columns are ascending with NULLs first. Rows that tie in the whole order share
+their place; an order that starts with text is not cut.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
-
-SKEW_SAFE_MIN_BYTES = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job runs), or None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+ROWS_PER_SLICE = 100_000
 
 
-def _use_skew_safe(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get("hrflow.lead.skewSafeMinBytes", str(SKEW_SAFE_MIN_BYTES)))
-    est = estimated_bytes(df)
-    return est is None or est > limit
-
-
-def _shuffle_partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def _position(df: DataFrame, column: str):
+    """The column as a double that rises with it, or NULL for types without such a number."""
+    kind = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.when(~F.isnan(c.cast("double")), c.cast("double"))
+    return F.lit(None).cast("double")
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                num_partitions: int | None = None, skew_safe: bool | None = None) -> DataFrame:
+                rows_per_slice: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same ``key`` in ``order``."""
-    order_by = [F.col(c).asc_nulls_first() for c in order]
-    if skew_safe is None:
-        skew_safe = _use_skew_safe(df)
-    if not skew_safe:
-        return df.withColumn(out, F.lead(value).over(Window.partitionBy(key).orderBy(*order_by)))
-    n = num_partitions or _shuffle_partitions(df)
-    sort_cols = [key, *order]
-    # Explicit partition count: AQE keeps this exchange as is, so partition ids are stable.
-    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in sort_cols]) \
-        .withColumn("__pid", F.spark_partition_id())
-
-    # Each slice goes to a task of its own: range partitioning on the slice id maps the n
-    # distinct ids one to one (a hash would let slices of a hot key collide), and the
-    # window over the slice then needs no further exchange.
-    slices = ranged.repartitionByRange(n, "__pid")
-    w = Window.partitionBy("__pid").orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
-    nxt_row = F.lead(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))).over(w)
-    local = slices.withColumn("__nr", nxt_row) \
-        .withColumn("__same", F.col("__nr").isNotNull() & F.col("__nr.k").eqNullSafe(F.col(key))) \
-        .withColumn("__next", F.when(F.col("__same"), F.col("__nr.v"))) \
-        .withColumn("__is_last", ~F.col("__same")).drop("__nr", "__same")
-
-    heads = ranged.groupBy("__pid").agg(
-        F.min(F.struct(*[F.col(c) for c in sort_cols], F.col(value).alias("__v"))).alias("__h"))
-    # One row per non-empty partition: the following partition's head, found by pid order.
-    wp = Window.orderBy("__pid")
-    boundary = heads.select(
-        "__pid",
-        F.lead(F.col(f"__h.{key}")).over(wp).alias("__nk"),
-        F.lead(F.col("__h.__v")).over(wp).alias("__nv"))
-
-    joined = local.join(F.broadcast(boundary), "__pid", "left")
-    nxt = F.when(F.col("__is_last"),
-                 F.when(F.col("__nk").eqNullSafe(F.col(key)), F.col("__nv"))).otherwise(F.col("__next"))
-    return joined.withColumn(out, nxt).drop("__pid", "__next", "__is_last", "__nk", "__nv")
+    limit = rows_per_slice or int(df.sparkSession.conf.get("hrflow.lead.rowsPerSlice", str(ROWS_PER_SLICE)))
+    at = _position(df, order[0])
+    large = (df.groupBy(F.col(key).alias("__key"))
+               .agg(F.count(F.lit(1)).alias("__n"), F.min(at).alias("__low"), F.max(at).alias("__high"))
+               .filter(F.col("__n") > limit))
+    # four slices per limit, since rows seldom spread evenly; NULL positions sort first
+    slices = F.ceil(4 * F.col("__n") / limit)
+    place = F.floor((at - F.col("__low")) / (F.col("__high") - F.col("__low") + 1) * slices)
+    cut = (df.join(large, F.col(key).eqNullSafe(F.col("__key")), "left")
+             .withColumn("__slice", F.when(F.col("__n").isNull(), F.lit(0))
+                                     .otherwise(F.coalesce(place, F.lit(-1))).cast("long"))
+             .withColumn("__cut", F.col("__n").isNotNull()).drop("__key", "__n", "__low", "__high"))
+    sort_cols = [F.col(c).asc_nulls_first() for c in [*order, *([value] if value not in order else [])]]
+    within = Window.partitionBy(key, "__slice").orderBy(*sort_cols)
+    local = cut.withColumn("__next", F.lead(F.struct(F.col(value).alias("v"))).over(within))
+    heads = (cut.filter("__cut").groupBy(F.col(key).alias("__key"), F.col("__slice").alias("__from"))
+                .agg(F.min(F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"))).alias("__head")))
+    # one row per slice of a large key
+    after = heads.select("__key", "__from", F.lead("__head.__v").over(
+        Window.partitionBy("__key").orderBy("__from")).alias("__after"))
+    joined = local.join(after, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__from")), "left")
+    nxt = F.when(F.col("__next").isNotNull(), F.col("__next.v")).otherwise(F.col("__after"))
+    return joined.withColumn(out, nxt).drop("__slice", "__cut", "__next", "__key", "__from", "__after")

@@ -46,7 +46,7 @@ def dedupe_timeframe(df: DataFrame, keys=("emp_id", "start_date")) -> DataFrame:
 
 
 # J3 / J4 --------------------------------------------------------------------------
-def chain_intervals(df: DataFrame, mode: str = "fill_null", skew_safe: bool | None = None) -> DataFrame:
+def chain_intervals(df: DataFrame, mode: str = "fill_null") -> DataFrame:
     """End each interval at the employee's next start.
 
     ``fill_null`` keeps explicit end dates and fills only missing ones; ``replace``
@@ -55,7 +55,7 @@ def chain_intervals(df: DataFrame, mode: str = "fill_null", skew_safe: bool | No
     if mode not in ("fill_null", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     order = [c for c in CHAIN_ORDER if c in df.columns]
-    chained = next_in_key(df, "emp_id", order, "start_date", "__next_start", skew_safe=skew_safe)
+    chained = next_in_key(df, "emp_id", order, "start_date", "__next_start")
     end = F.col("__next_start") if mode == "replace" else F.coalesce("end_date", "__next_start")
     return chained.withColumn("end_date", end).drop("__next_start").select(*df.columns)
 
@@ -91,34 +91,41 @@ def build_timeframe_chained(raw: DataFrame) -> DataFrame:
 
 # J7 -------------------------------------------------------------------------------
 MERGE_KEYS = ["emp_id", "designation", "start_date", "salary"]
+# The stored history also keeps the seconds each record came with.
+STORED_COLUMNS = [*HISTORY_COLUMNS, "status", "given_start", "given_end"]
 
 
-def merge_timeframe(history: DataFrame, batch_raw: DataFrame, history_is_chained: bool = False) -> DataFrame:
-    """Add a new bronze batch to the stored gold history and re-chain every employee.
+def merge_timeframe(history: DataFrame, batch_raw: DataFrame) -> DataFrame:
+    """Variant merge: add a bronze batch to the gold history, then every interval ends at
+    the employee's next start (explicit end dates are not kept).
 
     Rows equal on (emp_id, designation, start_date, salary) are kept once, so that a
     re-sent file does not create zero-length intervals (SURVEY Q8).
-
-    ``history_is_chained=True`` states that ``history`` is itself an output of this
-    function (every interval already ends at the next start). Re-chaining changes nothing
-    for employees absent from the batch then, so only the batch's employees are picked
-    (NULL-safe semi join on the batch's employee set) and re-chained; every other row
-    passes through untouched, so the bulk of the history is neither shuffled nor
-    re-sorted. The job order keeps its history that way from the first run.
     """
     batch = build_timeframe_chained(batch_raw)
-    if not history_is_chained:
-        combined = history.select(*MERGE_KEYS).unionByName(batch.select(*MERGE_KEYS)).dropDuplicates(MERGE_KEYS)
-        chained = chain_intervals(combined.withColumn("end_date", F.lit(None).cast("date")), "replace")
-        return with_status(chained).select(*HISTORY_COLUMNS, "status")
-    ids = batch.select(F.col("emp_id").alias("__id")).distinct()
-    on = history["emp_id"].eqNullSafe(ids["__id"])
-    touched = history.join(ids, on, "left_semi")
-    untouched = history.join(ids, on, "left_anti")
-    combined = touched.select(*MERGE_KEYS).unionByName(batch.select(*MERGE_KEYS)).dropDuplicates(MERGE_KEYS)
+    combined = history.select(*MERGE_KEYS).unionByName(batch.select(*MERGE_KEYS)).dropDuplicates(MERGE_KEYS)
     chained = chain_intervals(combined.withColumn("end_date", F.lit(None).cast("date")), "replace")
-    merged = with_status(chained).select(*HISTORY_COLUMNS, "status")
-    return untouched.select(*HISTORY_COLUMNS, "status").unionByName(merged)
+    return with_status(chained).select(*HISTORY_COLUMNS, "status")
+
+
+def accumulate_timeframe(history: DataFrame, batch_raw: DataFrame) -> DataFrame:
+    """The daily job's merge: the history of all batches so far, as ``build_timeframe`` would
+    make it from all their rows at once (explicit end dates stay, open ones are filled).
+
+    ``history`` is a former result (``STORED_COLUMNS``) or empty. Choosing one row per
+    (emp_id, start_date) is associative, so the order of batches and a file sent twice make
+    no difference. One left join marks the employees of the batch; only they are chained
+    again, every other row passes through.
+    """
+    batch = dedupe_timeframe(normalize_timeframe(batch_raw))
+    ids = batch.select(F.col("emp_id").alias("__id")).distinct().withColumn("__hit", F.lit(True))
+    marked = history.select(*STORED_COLUMNS).join(ids, F.col("emp_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    given = marked.filter("__hit").select("emp_id", "designation", F.col("given_start").alias("start_date"),
+                                          F.col("given_end").alias("end_date"), "salary")
+    merged = dedupe_timeframe(given.unionByName(batch.select(*given.columns)))
+    as_given = merged.withColumns({"given_start": F.col("start_date"), "given_end": F.col("end_date")})
+    chained = derive_status(chain_intervals(as_given, "fill_null")).select(*STORED_COLUMNS)
+    return marked.filter("__hit is null").select(*STORED_COLUMNS).unionByName(chained)
 
 
 # J8 -------------------------------------------------------------------------------

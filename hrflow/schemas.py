@@ -18,6 +18,10 @@ TIMEFRAME_GOLD = T.StructType([
     T.StructField("salary", T.DoubleType()), T.StructField("status", S),
 ])
 
+# The stored history keeps the seconds each record came with beside the derived dates.
+TIMEFRAME_STORED = T.StructType(TIMEFRAME_GOLD.fields + [
+    T.StructField("given_start", T.LongType()), T.StructField("given_end", T.LongType())])
+
 LEAVE = T.StructType([T.StructField("emp_id", S), T.StructField("date", T.DateType()),
                       T.StructField("status", S)])
 

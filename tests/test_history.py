@@ -1,11 +1,14 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import Window, functions as F
 
 from conftest import rows
+from hrflow import schemas
 from hrflow.operators import history as H
 
 D = dt.date
+DAY = 86400
 
 
 def test_employee_age_rules(spark):
@@ -43,10 +46,12 @@ def test_chain_fill_null_keeps_explicit_end_and_null_start_first(spark):
     df = spark.createDataFrame([("1", "A", None, None, 1.0), ("1", "B", 100, 150, 2.0), ("1", "C", 200, None, 3.0),
                                 ("1", "D", 300, None, 4.0)],
                                "emp_id string, designation string, start_date long, end_date long, salary double")
-    for safe in (True, False):
-        out = rows(H.chain_intervals(df, "fill_null", safe), "designation", "end_date")
+    for limit in ("1", "100"):
+        spark.conf.set("hrflow.lead.rowsPerSlice", limit)
+        out = rows(H.chain_intervals(df, "fill_null"), "designation", "end_date")
+        spark.conf.unset("hrflow.lead.rowsPerSlice")
         assert out == [("A", 100), ("B", 150), ("C", 300), ("D", None)]
-        rep = rows(H.chain_intervals(df, "replace", safe), "designation", "end_date")
+        rep = rows(H.chain_intervals(df, "replace"), "designation", "end_date")
         assert rep == [("A", 100), ("B", 200), ("C", 300), ("D", None)]
 
 
@@ -59,7 +64,12 @@ def test_chain_across_partitions_hot_key(spark):
     cold = spark.range(50).select(F.col("id").cast("string").alias("emp_id"), F.lit("Y").alias("designation"),
                                   F.lit(5).cast("long").alias("start_date"), F.lit(None).cast("long").alias("end_date"),
                                   F.lit(1.0).alias("salary"))
-    out = H.chain_intervals(df.unionByName(cold), "replace", skew_safe=True)
+    spark.conf.set("hrflow.lead.rowsPerSlice", "400")
+    try:
+        out = H.chain_intervals(df.unionByName(cold), "replace").cache()
+        out.count()
+    finally:
+        spark.conf.unset("hrflow.lead.rowsPerSlice")
     hot = out.filter(F.col("emp_id") == "hot")
     bad = hot.filter(~((F.col("end_date") == F.col("start_date") + 10)
                        | ((F.col("start_date") == (n - 1) * 10) & F.col("end_date").isNull())))
@@ -67,13 +77,31 @@ def test_chain_across_partitions_hot_key(spark):
     assert out.filter((F.col("emp_id") != "hot") & F.col("end_date").isNotNull()).count() == 0
 
 
-def test_skew_safe_lead_equals_window(spark):
+def _plain_lead(df, key, order, value):
+    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn("nxt", F.lead(value).over(w))
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_sliced_lead_equals_window_with_an_extra_column(spark, reuse, aqe):
+    """400 000 rows, one key with a third of them, a column outside the order."""
     from hrflow.functions.sequence import next_in_key
-    df = spark.range(3000).select((F.col("id") % 7).cast("string").alias("k"),
-                                  (F.col("id") * 37 % 1009).alias("o"), F.col("id").alias("v"))
-    a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", num_partitions=13, skew_safe=True))
-    b = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", skew_safe=False))
-    assert a == b
+    df = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 97).cast("string")).alias("k"),
+        F.when(F.col("id") % 501 != 0, F.col("id") * 37 % 100_003).alias("o"), F.col("id").alias("v"),
+        F.xxhash64("id").alias("extra"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        a = next_in_key(df, "k", ["o", "v"], "v", "nxt", rows_per_slice=5_000).cache()
+        assert a.count() == 400_000
+        assert a.exceptAll(_plain_lead(df, "k", ["o", "v"], "v")).count() == 0
+    finally:
+        a.unpersist()
+        for c, v in old.items():
+            spark.conf.set(c, v)
 
 
 def test_replace_mode_intervals_do_not_overlap(spark):
@@ -126,18 +154,30 @@ def test_upsert_report_keeps_target_only_key(spark):
     assert rows(H.upsert_report(t, s)) == [("A", 3), ("NEW", 2), ("OLD", 5)]
 
 
-def test_incremental_merge_equals_full_on_chained_history(spark):
-    def tf(rows_):
-        return spark.createDataFrame(rows_, "emp_id string, designation string, start_date long, end_date long, "
-                                            "salary double")
-    first = tf([("1", "A", 0, None, 1.0), ("1", "B", 86400 * 5, 86400 * 6, 2.0), ("2", "A", 0, None, 3.0),
-                (None, "Z", 86400, None, 4.0)])
-    empty = spark.createDataFrame([], "emp_id string, designation string, start_date date, end_date date, "
-                                      "salary double, status string")
-    hist = H.merge_timeframe(empty, first, history_is_chained=True)
-    assert rows(hist) == rows(H.merge_timeframe(empty, first))
-    nxt = tf([("1", "C", 86400 * 9, None, 5.0), (None, "Y", 86400 * 3, None, 6.0)])
-    inc = rows(H.merge_timeframe(hist, nxt, history_is_chained=True))
-    full = rows(H.merge_timeframe(hist, nxt))
-    assert inc == full
-    assert ("2", "A", D(1970, 1, 1), None, 3.0, "ACTIVE") in inc
+def _tf(spark, rows_):
+    return spark.createDataFrame(rows_, "emp_id string, designation string, start_date long, end_date long, "
+                                        "salary double")
+
+
+def test_accumulated_history_equals_one_build(spark):
+    first = [("1", "A", 0, None, 1.0), ("1", "B", DAY * 5, DAY * 6, 2.0), ("2", "A", 0, None, 3.0),
+             (None, "Z", DAY, None, 4.0), ("3", "X", DAY, DAY * 2, 9.0)]
+    second = [("1", "C", DAY * 9, None, 5.0), ("1", "D", DAY * 5, None, 7.0), (None, "Y", DAY * 3, None, 6.0),
+              ("2", "A", 0, DAY * 4, 3.0)]
+    empty = spark.createDataFrame([], schemas.TIMEFRAME_STORED)
+    cols = [*H.HISTORY_COLUMNS, "status"]
+    whole = rows(H.build_timeframe(_tf(spark, first + second)), *cols)
+    for one, two in ((first, second), (second, first), (first + second, second)):
+        hist = H.accumulate_timeframe(empty, _tf(spark, one))
+        assert rows(H.accumulate_timeframe(hist, _tf(spark, two)), *cols) == whole
+    # a leaver keeps the given end and stays inactive
+    assert ("3", "X", D(1970, 1, 2), D(1970, 1, 3), 9.0, "INACTIVE") in whole
+
+
+def test_replace_merge_drops_resent_rows(spark):
+    first = _tf(spark, [("1", "A", 0, None, 1.0)])
+    empty = spark.createDataFrame([], schemas.TIMEFRAME_GOLD)
+    hist = H.merge_timeframe(empty, first)
+    both = _tf(spark, [("1", "A", 0, None, 1.0), ("1", "B", DAY * 2, None, 2.0)])
+    assert rows(H.merge_timeframe(hist, both)) == [("1", "A", D(1970, 1, 1), D(1970, 1, 3), 1.0, "INACTIVE"),
+                                                   ("1", "B", D(1970, 1, 3), None, 2.0, "ACTIVE")]

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from conftest import rows
 from hrflow import schemas
@@ -56,11 +56,11 @@ def test_salary_read_per_batch(spark, tmp_dir):
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 50))), min_size=1, max_size=60),
        st.integers(1, 9))
-def test_skew_safe_lead_property(spark, data, parts):
+def test_sliced_lead_property(spark, data, limit):
     df = spark.createDataFrame([(str(k), o, i) for i, (k, o) in enumerate(data)], "k string, o int, v int")
-    a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", num_partitions=parts, skew_safe=True))
-    b = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", skew_safe=False))
-    assert a == b
+    a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", rows_per_slice=limit))
+    w = Window.partitionBy("k").orderBy(F.col("o").asc_nulls_first(), "v")
+    assert a == rows(df.withColumn("nxt", F.lead("v").over(w)))
 
 
 def test_kafka_records_through_the_batch(spark, tmp_dir):
