@@ -3,13 +3,12 @@
 from .casts import lenient_double, lenient_int, lenient_long, epoch_to_date
 from .calendar import is_weekend, date_sequence
 from .text import WORD_PATTERN, word_tokens
-from .money import ladder_factor, ladder_step, ladder_columns, ladder_exprs, ladder_step_sql, ladder_value_sql, q
+from .money import ladder_exprs, ladder_step_sql, ladder_value_sql, q
 from .dedupe import keep_max, keep_min
 from .sequence import next_in_key
 
 __all__ = [
     "lenient_double", "lenient_int", "lenient_long", "epoch_to_date",
     "is_weekend", "date_sequence", "WORD_PATTERN", "word_tokens",
-    "ladder_factor", "ladder_step", "ladder_columns", "ladder_exprs", "ladder_step_sql",
-    "ladder_value_sql", "q", "keep_max", "keep_min", "next_in_key",
+    "ladder_exprs", "ladder_step_sql", "ladder_value_sql", "q", "keep_max", "keep_min", "next_in_key",
 ]

@@ -1,8 +1,8 @@
 """Salary penalty ladder: every strike cuts 10 %, compounding (strike_i = salary * 0.9^i).
 
 Rounding is done in decimal so that it is exact and engine-independent (SURVEY Q22):
-``round(CAST(salary AS DECIMAL(18,2)) * CAST(0.9^i AS DECIMAL(11,10)), 2)`` as double.
-The ten factors 0.9 .. 0.3486784401 have at most ten decimals, so DECIMAL(11,10) holds
+``round(CAST(salary AS DECIMAL(24,8)) * CAST(0.9^i AS DECIMAL(11,10)), 2)`` as double, so
+it happens once, after the product. The ten factors 0.9 .. 0.3486784401 have at most ten decimals, so DECIMAL(11,10) holds
 them exactly.
 
 The ladder is written as SQL text: ten columns of nested expressions built call by call
@@ -11,8 +11,6 @@ cost a few hundred round trips to the JVM; as ``selectExpr`` text they cost one.
 
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
-
 from ..schemas import LADDER_STEPS
 
 # 10 % cut per strike, ten steps.
@@ -30,7 +28,7 @@ def ladder_factor_sql(i: int) -> str:
 
 def ladder_value_sql(salary: str, i: int) -> str:
     """salary * 0.9^i rounded to cents, as double (no count condition)."""
-    return f"CAST(round(CAST({q(salary)} AS DECIMAL(18,2)) * {ladder_factor_sql(i)}, 2) AS DOUBLE)"
+    return f"CAST(round(CAST({q(salary)} AS DECIMAL(24,8)) * {ladder_factor_sql(i)}, 2) AS DOUBLE)"
 
 
 def ladder_step_sql(salary: str, count: str, i: int) -> str:
@@ -43,14 +41,3 @@ def ladder_exprs(salary: str = "salary", count: str = "no_of_strikes") -> list[s
     """The ten ladder columns as ``selectExpr`` text."""
     return [f"{ladder_step_sql(salary, count, i)} AS strike_{i}" for i in range(1, LADDER_STEPS + 1)]
 
-
-def ladder_factor(i: int) -> Column:
-    return F.expr(ladder_factor_sql(i))
-
-
-def ladder_step(salary: str, count: str, i: int) -> Column:
-    return F.expr(ladder_step_sql(salary, count, i))
-
-
-def ladder_columns(salary: str = "salary", count: str = "no_of_strikes") -> list[Column]:
-    return [F.expr(e) for e in ladder_exprs(salary, count)]

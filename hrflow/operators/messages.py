@@ -6,13 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import word_tokens
 from ..schemas import MESSAGE
-from ..session import checkpoint_root
 
 MESSAGE_FIELDS = ["sender", "receiver", "message"]
-# A word list up to this size is inlined into the plan as an array literal; above it
-# the exact join path is taken. The list is counted before it is collected.
-INLINE_WORDS_MAX = 10_000
-
 
 # J24 ------------------------------------------------------------------------------
 def validate_messages(df: DataFrame) -> DataFrame:
@@ -20,12 +15,6 @@ def validate_messages(df: DataFrame) -> DataFrame:
     return df.filter(F.col("sender").isNotNull() & F.col("receiver").isNotNull() & F.col("message").isNotNull())
 
 
-def rejected_count(df: DataFrame) -> DataFrame:
-    """Number of messages the validation drops, as a one-row metric."""
-    bad = ~(F.col("sender").isNotNull() & F.col("receiver").isNotNull() & F.col("message").isNotNull())
-    return df.agg(F.count_if(bad).alias("rejected"))
-
-
 # J25 ------------------------------------------------------------------------------
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """Kafka bytes -> text -> struct -> columns. Malformed JSON gives NULL fields."""
@@ -38,58 +27,37 @@ def normalized_words(words: DataFrame, column: str = "word") -> DataFrame:
     return words.select(F.upper(F.col(column)).alias("word")).filter(F.col("word").isNotNull()).distinct()
 
 
-def _bounded_word_list(words: DataFrame, limit: int, column: str = "word"):
-    """The upper-cased word list if the input has at most ``limit`` rows, else None.
-
-    At most ``limit + 1`` rows are fetched, so the check costs no more than the list;
-    the de-duplication happens on the fetched rows. A local input (a literal list)
-    is read without a job.
-    """
-    up = words.select(F.upper(F.col(column)).alias("word")).filter(F.col("word").isNotNull())
-    head = up.limit(limit + 1).collect()
-    if len(head) > limit:
-        return None
-    return sorted({r["word"] for r in head})
+def _text_tokens(msgs: DataFrame, text: str) -> DataFrame:
+    """Distinct word tokens of each distinct text: the verdict depends on the text alone, so equal
+    messages are looked at once and no row id is needed."""
+    return msgs.select(F.col(text).alias("__text")).distinct().select(
+        "__text", F.explode(F.array_distinct(word_tokens("__text"))).alias("word"))
 
 
-def _with_stable_id(df: DataFrame) -> DataFrame:
-    """Row ids that survive recomputation: ids are assigned once and the frame is
-    checkpointed to the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+def _with_text_in(msgs: DataFrame, texts: DataFrame, text: str, how: str) -> DataFrame:
+    return msgs.join(texts.select("__text"), F.col(text) == F.col("__text"), how)
 
 
 def flag_messages(msgs: DataFrame, words: DataFrame, text: str = "message") -> DataFrame:
     """Messages in which some upper-cased word token is a marked word.
 
-    A bounded marked-word list becomes a literal set and the test is
-    ``exists(tokens, t -> t IN (...))``, which the optimizer turns into a hash ``InSet``
-    built once per task: no shuffle, O(1) per token whatever the list length. A longer
-    list takes the exact join path: tokens are exploded once per message and
-    semi-joined.
+    Tokens are semi-joined to the marked words (Spark broadcasts a list that is small
+    enough) and the texts that hold one are semi-joined back; one path for any list length.
     """
-    listed = _bounded_word_list(words, INLINE_WORDS_MAX)
-    if listed is not None:
-        if not listed:
-            return msgs.limit(0)
-        return msgs.filter(F.coalesce(F.exists(word_tokens(text), lambda t: t.isin(*listed)), F.lit(False)))
-    ided = _with_stable_id(msgs)
-    hits = (ided.select("__mid", F.explode(F.array_distinct(word_tokens(text))).alias("word"))
-                .join(normalized_words(words), "word", "left_semi").select("__mid").distinct())
-    return ided.join(hits, "__mid", "left_semi").drop("__mid")
+    hits = _text_tokens(msgs, text).join(normalized_words(words), "word", "left_semi").select("__text").distinct()
+    return _with_text_in(msgs, hits, text, "left_semi")
 
 
 def flag_messages_in_vocab(msgs: DataFrame, words: DataFrame, vocab: DataFrame,
                            text: str = "message") -> DataFrame:
     """Variant: some token is marked and every token is in the vocabulary.
 
-    The vocabulary can be large, so out-of-vocabulary tokens are found with an anti
-    join on the exploded distinct tokens; a message with any such token drops out.
+    Tokens outside the vocabulary come from an anti join; a text with any such token drops out.
     """
-    flagged = _with_stable_id(flag_messages(msgs, words, text))
-    tokens = flagged.select("__mid", F.explode(F.array_distinct(word_tokens(text))).alias("word"))
-    oov = tokens.join(normalized_words(vocab), "word", "left_anti").select("__mid").distinct()
-    return flagged.join(oov, "__mid", "left_anti").drop("__mid")
+    flagged = flag_messages(msgs, words, text)
+    foreign = (_text_tokens(flagged, text).join(normalized_words(vocab), "word", "left_anti")
+               .select("__text").distinct())
+    return _with_text_in(flagged, foreign, text, "left_anti")
 
 
 # J28 ------------------------------------------------------------------------------

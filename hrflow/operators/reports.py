@@ -39,26 +39,27 @@ def working_days(spark, calendar: DataFrame | None, start=REPORT_START, end=REPO
 
 
 # J20 ------------------------------------------------------------------------------
-def leave_anomaly(leave: DataFrame, workdays: DataFrame, start=REPORT_START,
+def leave_anomaly(leave: DataFrame, workdays: DataFrame, start=REPORT_START, end=REPORT_END,
                   threshold_pct: float = ANOMALY_THRESHOLD_PCT) -> DataFrame:
     """Employees whose distinct ACTIVE leave days on working days exceed ``threshold_pct``
     of all working days (strict, on the unrounded share; SURVEY Q16).
 
     The number of working days is a scalar subquery inside the same plan (no driver
     ``count()``); ``try_divide`` gives NULL instead of an error for zero working days.
-    The working-day table is bounded by the report range (at most 366 rows a year),
-    so broadcasting it is safe at any data size.
+    The working-day table has one row per day of the report range; Spark broadcasts it by its
+    measured size.
     """
     s = dt.date.fromisoformat(start) if isinstance(start, str) else start
+    e = dt.date.fromisoformat(end) if isinstance(end, str) else end
     total = workdays.select(F.count(F.lit(1))).scalar()
     if "year" in leave.columns:
         # the gold table is partitioned by year: the same bound on the partition column
-        # lets the scan skip earlier years entirely
-        leave = leave.filter(F.col("year") >= s.year)
-    days = (leave.filter((F.col("status") == "ACTIVE") & (F.to_date("date") >= F.lit(s)))
+        # lets the scan skip other years entirely
+        leave = leave.filter(F.col("year").between(s.year, e.year))
+    days = (leave.filter((F.col("status") == "ACTIVE") & F.to_date("date").between(F.lit(s), F.lit(e)))
                  .select("emp_id", F.to_date("date").alias("date"))
                  .dropDuplicates(["emp_id", "date"])
-                 .join(F.broadcast(workdays.select("date")), "date", "inner"))
+                 .join(workdays.select("date"), "date", "inner"))
     counts = days.groupBy("emp_id").agg(F.count(F.lit(1)).alias("upcoming_leaves_count"))
     share = F.try_divide(F.col("upcoming_leaves_count"), total) * 100
     return counts.filter(share > threshold_pct).select("emp_id", "upcoming_leaves_count")
@@ -133,10 +134,6 @@ def strike_leaderboard(strikes: DataFrame, n: int = 20, only_with_strikes: bool
                       "strike_4", "strike_5", "is_inactive"))
 
 
-def strike_lookup(strikes: DataFrame, employee_id: str) -> DataFrame:
-    return strikes.filter(F.col("employee_id") == employee_id)
-
-
 def strike_stats(strikes: DataFrame) -> DataFrame:
     """Totals in one pass instead of four scans."""
     return strikes.agg(

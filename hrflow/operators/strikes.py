@@ -27,10 +27,13 @@ STAGING_COLUMNS = ["employee_id", "salary", *LADDER_COLUMNS, "no_of_strikes"]
 NULL_LADDER = [f"CAST(NULL AS DOUBLE) AS {c}" for c in LADDER_COLUMNS]
 
 
-def current_salaries(timeframe: DataFrame) -> DataFrame:
+def current_salaries(timeframe: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """Salary of each ACTIVE employee; with several open intervals the latest start wins
-    (SURVEY Q31). A partial aggregate, so a hot employee costs one row per map task."""
+    (SURVEY Q31). A partial aggregate, so a hot employee costs one row per map task.
+    ``only`` (a frame with ``employee_id``) limits the work to those employees."""
     active = timeframe.filter(F.col("status") == "ACTIVE").select("emp_id", "start_date", "salary")
+    if only is not None:
+        active = active.join(only.select(F.col("employee_id").alias("emp_id")).distinct(), "emp_id", "left_semi")
     latest = keep_max(active, ["emp_id"], ["start_date", "salary"])
     return latest.select(F.col("emp_id").alias("employee_id"), "salary")
 
@@ -133,20 +136,24 @@ def sync_changed(salaries: DataFrame, stored: DataFrame, repair_null_salary: boo
 
 
 def sync_strikes(stored: DataFrame, salaries: DataFrame, repair_null_salary: bool = False) -> DataFrame:
-    """Merge new and changed active employees into the strike table.
+    """New and changed active employees merged into the strike table, in one full join.
 
-    Salary, ladder and count come from the staging row (count falls back to the stored
-    one, then 0); ``is_inactive`` is untouched, FALSE for new rows; NULL counts become 0.
+    A new employee gets count 0 and an empty ladder; a changed salary (``sync_changed``) gives
+    the ladder on the stored count; other rows stay. ``is_inactive`` is untouched, FALSE for new
+    rows; NULL counts become 0.
     """
-    staging = sync_new(salaries, stored).unionByName(sync_changed(salaries, stored, repair_null_salary))
-    s, g = stored.alias("s"), staging.alias("g")
-    j = s.join(g, F.col("s.employee_id") == F.col("g.employee_id"), "full_outer")
-    hit = "g.employee_id IS NOT NULL"
-    return j.selectExpr(
-        "coalesce(s.employee_id, g.employee_id) AS employee_id",
-        *[f"CASE WHEN {hit} THEN g.{c} ELSE s.{c} END AS {c}" for c in ["salary", *LADDER_COLUMNS]],
-        f"CAST(coalesce(CASE WHEN {hit} THEN g.no_of_strikes END, s.no_of_strikes, 0) AS INT) AS no_of_strikes",
-        "CASE WHEN s.employee_id IS NULL THEN false ELSE s.is_inactive END AS is_inactive")
+    a, s = salaries.select("employee_id", F.col("salary").alias("__salary")).alias("a"), stored.alias("s")
+    differs = "NOT (__salary <=> s.salary)" if repair_null_salary else "__salary != s.salary"
+    joined = s.join(a, F.col("s.employee_id") == F.col("a.employee_id"), "full_outer").withColumns({
+        "__new": F.col("s.employee_id").isNull(),
+        "__changed": F.expr(f"a.employee_id IS NOT NULL AND s.employee_id IS NOT NULL AND coalesce({differs}, false)")})
+    return joined.selectExpr(
+        "CASE WHEN __new THEN a.employee_id ELSE s.employee_id END AS employee_id",
+        "CASE WHEN __new OR __changed THEN __salary ELSE s.salary END AS salary",
+        *[f"CASE WHEN __changed THEN {ladder_step_sql('__salary', 'no_of_strikes', i)} WHEN NOT __new THEN s.{c} END AS {c}"
+          for i, c in enumerate(LADDER_COLUMNS, start=1)],
+        "CAST(coalesce(s.no_of_strikes, 0) AS INT) AS no_of_strikes",
+        "CASE WHEN __new THEN false ELSE s.is_inactive END AS is_inactive")
 
 
 # J38 ------------------------------------------------------------------------------

@@ -33,14 +33,22 @@ def test_flag_native_plan_has_no_python(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_flag_join_path_equals_literal_path(spark, monkeypatch):
+def test_flag_keeps_multiplicity_and_runs_no_job_while_planning(spark):
     msgs = spark.createDataFrame([("a", "b", "one two"), ("a", "b", "one two"), ("c", "d", "three"),
-                                  ("e", "f", "four five")], MSG)
-    w = words(spark, "TWO", "FIVE")
-    lit = rows(M.flag_messages(msgs, w))
-    monkeypatch.setattr(M, "INLINE_WORDS_MAX", 1)
-    assert rows(M.flag_messages(msgs, w)) == lit
-    assert len(lit) == 3  # duplicates keep their multiplicity
+                                  ("e", "f", "four five"), ("g", "h", None)], MSG)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("flag-plan", "flag")
+    try:
+        flagged = M.flag_messages(msgs, words(spark, "TWO", "FIVE"))
+        assert tracker.getJobIdsForGroup("flag-plan") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(flagged, "message") == [("four five",), ("one two",), ("one two",)]
+
+
+def test_ladder_rounds_once(spark):
+    df = spark.createDataFrame([("1", 1000.005, 1)], "employee_id string, salary double, no_of_strikes int")
+    assert K.apply_penalties(df).first().strike_1 == 900.00
 
 
 def test_flag_vocab_requires_all_words_known(spark):
