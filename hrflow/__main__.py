@@ -31,7 +31,7 @@ def main(argv=None):
     ap.add_argument("--topic", default="employee-messages")
     ap.add_argument("--inbox", help="folder of JSON-lines message files (stream, instead of Kafka)")
     ap.add_argument("--trigger-seconds", type=int, default=10)
-    ap.add_argument("--max-offsets", type=int, default=500)
+    ap.add_argument("--max-offsets", type=int, help="intake limit per trigger, default none")
     a = ap.parse_args(argv)
 
     spark = ensure_defaults(SparkSession.builder.appName(f"hrflow-{a.job}").getOrCreate())

@@ -7,8 +7,8 @@ and the log retention. The stream runs on its own (``streaming.monitor``).
 
 Storage follows the bronze/silver/gold layout. Tables the reference read and then
 overwrote in place (job history, alert tracking, strike table) are versioned snapshots
-here (``sinks.snapshot``): a run writes a new version and a crash leaves the old one
-current. Reports are partitioned by run date and overwritten per partition, so a
+here (``sinks.snapshot``), and so is the leave table, which each run derives anew from all
+records: a run writes a new version and a crash leaves the old one current. Reports are partitioned by run date and overwritten per partition, so a
 re-run replaces its own output and keeps the other dates.
 """
 
@@ -23,7 +23,7 @@ from ..operators import history as H, leave as L, reports as R, strikes as K
 from ..session import ensure_defaults
 from ..sinks import files as SF, snapshot
 from ..sources import files as SRC
-from ..streaming.ingest import ingest_new_files
+from ..streaming.ingest import ingest_new_files, landed_batches, numbered_folders, read_landed
 
 
 @dataclass
@@ -108,55 +108,76 @@ def run_employee_master(spark: SparkSession, lay: Layout, run_date: str) -> None
 
 
 def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
-    """K8 -> J7: land only new inbox files (archived afterwards), merge this run's files
-    into the stored history and commit it as a new version, partitioned by status."""
+    """K8 -> J7: land only new inbox files (archived afterwards), merge every landed batch
+    that the stored history does not hold yet and commit it as a new version, partitioned
+    by status. A late file of a past run, or one landed by a run that died before its commit,
+    is merged by the next run."""
     ingest_new_files(spark, lay.timeframe_inbox, schemas.TIMEFRAME_RAW, lay.timeframe_landed,
                      f"{lay.checkpoints}/timeframe", archive=lay.timeframe_processed, run_key=run_date)
-    key = f"timeframe:{run_date}"
-    if snapshot.current_version(spark, lay.timeframe_gold) is not None and \
-            snapshot.is_applied(spark, lay.timeframe_gold, key):
-        return
-    if not SRC.exists(spark, f"{lay.timeframe_landed}/ingest_run={run_date}"):
-        return  # no new files in this run
-    landed = SRC.read_partition(spark, lay.timeframe_landed, "ingest_run", run_date) \
-        .select(*schemas.TIMEFRAME_RAW.fieldNames())
-    # silver: this run's files as dated intervals, CSV with header, one partition per run
-    SF.write_partitioned(H.build_timeframe(landed).withColumn("ingest_run", F.lit(run_date)),
-                         lay.timeframe_silver_csv, ["ingest_run"], fmt="csv", header=True)
-    history = current_timeframe(spark, lay)
-    if history is None:
-        history = spark.createDataFrame([], schemas.TIMEFRAME_GOLD)
-    # the stored history is always an output of merge_timeframe, so only the employees of
-    # this run's files are re-chained
-    merged = H.merge_timeframe(history, landed, history_is_chained=True)
-    snapshot.commit(spark, lay.timeframe_gold, merged, key, partition_by=["status"])
+
+    def once():
+        parent = snapshot.current_version(spark, lay.timeframe_gold)
+        landed = landed_batches(spark, lay.timeframe_landed)
+        waiting = [(f"landed:{q}:{n}", path) for q, n, path in landed
+                   if not snapshot.is_applied(spark, lay.timeframe_gold, f"landed:{q}:{n}")]
+        if not waiting:
+            return parent
+        # silver: the files of each run concerned as dated intervals, CSV with header, one partition per run
+        run_of = lambda path: path.split("/ingest_run=", 1)[1].split("/", 1)[0]
+        for run in sorted({run_of(path) for _, path in waiting}):
+            own = read_landed(spark, [path for _, _, path in landed if run_of(path) == run], schemas.TIMEFRAME_RAW)
+            SF.write_partitioned(H.build_timeframe(own).withColumn("ingest_run", F.lit(run)),
+                                 lay.timeframe_silver_csv, ["ingest_run"], fmt="csv", header=True)
+        history = snapshot.read_current(spark, lay.timeframe_gold, schemas.TIMEFRAME_STORED)
+        batch = read_landed(spark, [path for _, path in waiting], schemas.TIMEFRAME_RAW)
+        return snapshot.commit(spark, lay.timeframe_gold, H.accumulate_timeframe(history, batch),
+                               [key for key, _ in waiting], partition_by=["status"], parent=parent)
+
+    snapshot.retrying(once)
 
 
 def run_strike_sync(spark: SparkSession, lay: Layout, run_date: str) -> None:
-    """J37: active salaries into the strike table (new version)."""
+    """J37: active salaries into the strike table (new version; folds the stream's deltas in)."""
     tf = current_timeframe(spark, lay)
     if tf is None:
         return
-    key = f"sync:{run_date}"
-    if snapshot.current_version(spark, lay.strikes) is not None and snapshot.is_applied(spark, lay.strikes, key):
-        return
-    stored = read_strikes(spark, lay)
-    snapshot.commit_base(spark, lay.strikes, K.sync_strikes(stored, K.current_salaries(tf)), "employee_id",
-                         lay.strike_buckets, key)
+    _rewrite_strikes(spark, lay, f"sync:{run_date}", lambda stored: K.sync_strikes(stored, K.current_salaries(tf)))
+
+
+def _rewrite_strikes(spark: SparkSession, lay: Layout, key: str, change) -> None:
+    """Commit ``change(strike table)`` as a whole table, unless ``key`` was applied; taken up again on
+    what the stream has committed meanwhile."""
+    def once():
+        parent = snapshot.current_version(spark, lay.strikes)
+        if snapshot.is_applied(spark, lay.strikes, key):
+            return parent
+        return snapshot.commit_base(spark, lay.strikes, change(read_strikes(spark, lay)), "employee_id",
+                                    lay.strike_buckets, key, parent)
+
+    snapshot.retrying(once)
 
 
 def read_strikes(spark: SparkSession, lay: Layout) -> DataFrame:
     """The strike table: bucketed base plus the stream's deltas."""
-    return snapshot.read_keyed(spark, lay.strikes, schemas.STRIKES, "employee_id", lay.strike_buckets)
+    return snapshot.read_keyed(spark, lay.strikes, schemas.STRIKES, "employee_id")
 
 
 def run_leave(spark: SparkSession, lay: Layout, run_date: str, run_ts: str) -> None:
-    """J18 -> K2: gold leave table, year/month partitions overwritten dynamically."""
+    """J18 -> K2: the gold leave table of all records as a new version, by year and month; what left
+    the input leaves the table."""
     raw = SRC.read_or_empty(spark, lay.leave_in, schemas.LEAVE, fmt="csv", header=True)
     cal = SRC.read_or_empty(spark, lay.calendar, schemas.CALENDAR)
     tf = current_timeframe(spark, lay)
     gold = L.clean_leave(raw, cal, tf, run_date, run_ts)
-    SF.write_partitioned(gold, lay.leave_gold, ["year", "month"])
+    snapshot.commit(spark, lay.leave_gold, gold, partition_by=["year", "month"])
+
+
+def _write_report(df: DataFrame, root: str, run_date: str) -> str:
+    """Write a report as the partition of its run (an empty one too, so that a re-run leaves nothing
+    stale); the partition's path."""
+    path = f"{root}/run_date={run_date}"
+    SF.write_parquet(df, path)
+    return path
 
 
 def run_daily_reports(spark: SparkSession, lay: Layout, run_date: str,
@@ -164,13 +185,11 @@ def run_daily_reports(spark: SparkSession, lay: Layout, run_date: str,
     """J8 and J20, each in its ``run_date`` partition."""
     tf = current_timeframe(spark, lay)
     if tf is not None:
-        SF.write_partitioned(H.active_by_designation(tf).withColumn("run_date", F.lit(run_date)),
-                             lay.dept_report, ["run_date"])
-    leave = SRC.read_or_empty(spark, lay.leave_gold, schemas.LEAVE_GOLD)
+        _write_report(H.active_by_designation(tf), lay.dept_report, run_date)
+    leave = snapshot.read_current(spark, lay.leave_gold, schemas.LEAVE_GOLD)
     cal = SRC.read_or_empty(spark, lay.calendar, schemas.CALENDAR)
     wd = R.working_days(spark, cal, report_start, report_end)
-    rep = R.leave_anomaly(leave, wd, report_start).withColumn("run_date", F.lit(run_date))
-    SF.write_partitioned(rep, lay.anomaly_report, ["run_date"])
+    _write_report(R.leave_anomaly(leave, wd, report_start, report_end), lay.anomaly_report, run_date)
 
 
 def run_daily(spark: SparkSession, lay: Layout, run_date: str, run_ts: str | None = None) -> None:
@@ -196,39 +215,54 @@ def run_monthly(spark: SparkSession, lay: Layout, run_date: str) -> None:
     """J21 -> K3, J22/J23 + K6 alerts, J38 cool-down, J39 log retention."""
     ensure_defaults(spark)
     year, month = _year_of(run_date), int(run_date[5:7])
-    leave = SRC.read_or_empty(spark, lay.leave_gold, schemas.LEAVE_GOLD)
+    leave = snapshot.read_current(spark, lay.leave_gold, schemas.LEAVE_GOLD)
     quota = SRC.read_or_empty(spark, lay.quota, schemas.QUOTA)
     usage = R.leave_usage(leave, quota, year, month)
-    SF.write_partitioned(usage.withColumn("run_date", F.lit(run_date)), lay.usage_report, ["run_date"])
+    # the alerts read the written report instead of deriving it again
+    usage = spark.read.schema(usage.schema).parquet(_write_report(usage, lay.usage_report, run_date))
 
     key = f"alerts:{run_date}"
     tracking = snapshot.read_current(spark, lay.alert_tracking, schemas.TRACKING)
-    if not (snapshot.current_version(spark, lay.alert_tracking) is not None
-            and snapshot.is_applied(spark, lay.alert_tracking, key)):
+    if not snapshot.is_applied(spark, lay.alert_tracking, key):
         new = R.new_alerts(usage, tracking)
         SF.write_alert_texts(R.render_alert_text(new, run_date), lay.alert_texts)
         snapshot.commit(spark, lay.alert_tracking, R.update_tracking(tracking, new), key)
 
-    key = f"cooldown:{run_date}"
-    if snapshot.current_version(spark, lay.strikes) is not None and not snapshot.is_applied(spark, lay.strikes, key):
-        stored = read_strikes(spark, lay)
-        snapshot.commit_base(spark, lay.strikes, K.cooldown(stored), "employee_id", lay.strike_buckets, key)
-        log = read_flag_log(spark, lay)
-        if log is not None:
-            retained = K.retain_flag_log(log, stored, f"{run_date} 00:00:00")
-            snapshot.commit(spark, lay.flag_log_retained, retained, key)
-
-
-def read_flag_log(spark: SparkSession, lay: Layout) -> DataFrame | None:
-    """The flag log as of now: the last retained version plus the stream's batches
-    written after it."""
-    from ..sources.files import exists
-    kept = snapshot.read_current(spark, lay.flag_log_retained)
-    if not exists(spark, lay.flag_log):
-        return kept
-    live = spark.read.parquet(lay.flag_log)
-    if kept is None:
-        return live
-    last = kept.agg(F.max("batch_id").alias("m"))
-    newer = live.filter(F.col("batch_id") > last.select(F.coalesce(F.col("m"), F.lit(-1))).scalar())
-    return kept.unionByName(newer)
+    if snapshot.current_version(spark, lay.strikes) is not None:
+        _rewrite_strikes(spark, lay, f"cooldown:{run_date}", K.cooldown)
+        run_log_retention(spark, lay, run_date)
+
+
+def _live_log(spark: SparkSession, lay: Layout) -> list[tuple[str, int, str]]:
+    """Batches of the stream's log that the retained log does not hold yet."""
+    return [(q, n, path) for q, n, path in numbered_folders(spark, f"{lay.flag_log}/query_id=*/batch_id=*")
+            if not snapshot.is_applied(spark, lay.flag_log_retained, f"log:{q}:{n}")]
+
+
+def run_log_retention(spark: SparkSession, lay: Layout, run_date: str) -> None:
+    """J39: the retained log takes over the stream's batches, drops expired rows and remembers how
+    far it got; the batches taken over are then deleted. The key is its own, so a run that died
+    after the cool-down still retains."""
+    key = f"retention:{run_date}"
+
+    def once():
+        parent = snapshot.current_version(spark, lay.flag_log_retained)
+        live = _live_log(spark, lay)
+        if snapshot.is_applied(spark, lay.flag_log_retained, key) or (parent is None and not live):
+            return parent
+        kept = K.retain_flag_log(read_flag_log(spark, lay), read_strikes(spark, lay), f"{run_date} 00:00:00")
+        return snapshot.commit(spark, lay.flag_log_retained, kept, [key, *(f"log:{q}:{n}" for q, n, _ in live)],
+                               parent=parent)
+
+    snapshot.retrying(once)
+    for q, n, path in numbered_folders(spark, f"{lay.flag_log}/query_id=*/batch_id=*"):
+        if snapshot.is_applied(spark, lay.flag_log_retained, f"log:{q}:{n}"):
+            SF.delete_folder(spark, path)
+
+
+def read_flag_log(spark: SparkSession, lay: Layout) -> DataFrame:
+    """The flag log as of now: the last retained version plus the stream's batches that it has not
+    taken over."""
+    kept = snapshot.read_current(spark, lay.flag_log_retained, schemas.FLAG_LOG)
+    live = [path for _, _, path in _live_log(spark, lay)]
+    return kept.unionByName(read_landed(spark, live, schemas.FLAG_LOG)) if live else kept

@@ -51,7 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable folder
-    there). Only when it is unset, as in tests, a fresh local folder is taken.
+    there). Where it is unset a fresh local folder is taken on a local master, as in tests;
+    on a cluster that folder would be invisible to the executors, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="hrflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

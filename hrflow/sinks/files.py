@@ -73,3 +73,9 @@ def write_json_arrays(df: DataFrame, path: str, value: str | None = None, max_it
                .groupBy("part")
                .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]")).alias("value")))
     parts.write.mode("overwrite").partitionBy("part").text(path)
+
+
+def delete_folder(spark, path: str) -> None:
+    """Delete a folder on whatever store it is in."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

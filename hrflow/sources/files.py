@@ -64,10 +64,6 @@ def read_json_objects(spark: SparkSession, path: str, schema: T.StructType | str
     return df
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
 # S9 -------------------------------------------------------------------------------
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                   **options) -> DataFrame:

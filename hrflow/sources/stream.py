@@ -13,19 +13,17 @@ from ..schemas import MESSAGE
 
 
 def stream_kafka(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
-                 max_offsets_per_trigger: int = 500) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Raw Kafka records (``key``, ``value`` bytes, ...); parse with ``parse_messages``."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-            .load())
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting_offsets))
+    return (r if max_offsets_per_trigger is None else r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)).load()
 
 
-def stream_json_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
+def stream_json_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                       schema=MESSAGE) -> DataFrame:
     """Parsed messages from JSON-lines files arriving in ``path``."""
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .json(path))
+    r = spark.readStream.schema(schema)
+    return (r if max_files_per_trigger is None else r.option("maxFilesPerTrigger", max_files_per_trigger)).json(path)

@@ -1,9 +1,11 @@
 """Message monitoring stream.
 
 Each micro-batch: parse -> flag -> one strike event per participant -> write the log
-partition ``batch_id=N`` (overwrite, so a replay replaces instead of doubling) ->
-apply the batch to the strike snapshot unless its key is already in the ledger.
-Salaries are read per batch, so salary changes reach the stream (SURVEY Q27).
+partition ``query_id=Q/batch_id=N`` (overwrite, so a replay replaces instead of doubling) ->
+apply the batch to the strike snapshot unless its key is already in the ledger. A batch
+without hits ends there. Log and ledger are keyed by the streaming query, which a checkpoint
+reset renews, so batch numbers that start again meet nothing. Salaries are read per batch and
+for its employees, so salary changes reach the stream (SURVEY Q27).
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ from ..operators.messages import flag_messages, parse_messages, strike_events
 from ..operators.strikes import apply_strike_batch, current_salaries
 from ..schemas import STRIKES
 from ..sinks import snapshot
+from .ingest import query_id
 
 
 @dataclass
 class MonitorConfig:
-    log_path: str                         # flag log, partitioned by batch_id
+    log_path: str                         # flag log, by query_id and batch_id
     checkpoint: str                       # streaming checkpoint folder
     strikes_root: str | None = None       # strike snapshot store; None = log only
     timeframe_path: str | None = None     # gold job history (status partition), for salaries
@@ -29,8 +32,7 @@ class MonitorConfig:
     trigger_seconds: int | None = 10      # None = availableNow (process what is there, stop)
     name: str = "message-monitor"
     kafka_input: bool = False             # input rows are Kafka records (value bytes)
-    buckets: int = 8                      # hash buckets of the strike table (size to the table)
-    compact_every: int = 16               # fold deltas into a new base after this many
+    buckets: int = 8                      # hash buckets of a strike table created here
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, words: DataFrame,
@@ -39,19 +41,21 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, words: D
     ts = flagged_at if flagged_at is not None else F.current_timestamp().cast("timestamp_ntz")
     events = strike_events(flag_messages(msgs, words), ts).persist()
     try:
-        (events.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(cfg.log_path))
+        if events.isEmpty():
+            return
+        query = query_id(spark, cfg.checkpoint)
+        part = f"query_id={query}/batch_id={batch_id}"
+        events.write.mode("overwrite").parquet(f"{cfg.log_path}/{part}")
+        touched = events.select("employee_id").distinct()
         salaries = None
         if cfg.timeframe_path is not None:
             tf = (snapshot.read_current(spark, cfg.timeframe_path) if cfg.timeframe_is_snapshot
                   else spark.read.parquet(cfg.timeframe_path))
-            salaries = current_salaries(tf) if tf is not None else None
+            salaries = current_salaries(tf, touched) if tf is not None else None
         if cfg.enriched_path is not None and salaries is not None:
-            (events.join(salaries, "employee_id", "left").withColumn("batch_id", F.lit(batch_id))
-                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("batch_id").parquet(cfg.enriched_path))
+            events.join(salaries, "employee_id", "left").write.mode("overwrite").parquet(f"{cfg.enriched_path}/{part}")
         if cfg.strikes_root is not None:
-            apply_to_store(spark, cfg, events, salaries, batch_id)
+            apply_to_store(spark, cfg, events, salaries, batch_id, query)
     finally:
         events.unpersist()
 
@@ -64,26 +68,30 @@ def init_strike_store(spark: SparkSession, cfg: MonitorConfig, table: DataFrame
 
 
 def read_strikes(spark: SparkSession, cfg: MonitorConfig) -> DataFrame:
-    return snapshot.read_keyed(spark, cfg.strikes_root, STRIKES, "employee_id", cfg.buckets)
+    return snapshot.read_keyed(spark, cfg.strikes_root, STRIKES, "employee_id")
 
 
-def apply_to_store(spark: SparkSession, cfg: MonitorConfig, events: DataFrame, salaries, batch_id: int) -> None:
+def apply_to_store(spark: SparkSession, cfg: MonitorConfig, events: DataFrame, salaries, batch_id: int,
+                   query: str = "manual") -> None:
     """Apply one batch to the strike store unless its key is in the ledger.
 
     Only the stored rows of the batch's employees are read (their buckets) and only the
-    changed rows are written, as a delta version.
+    changed rows are written, as a delta version on the version read; if a job has committed
+    in between, the batch is applied again to what it wrote. Jobs that rewrite the table
+    (salary sync, cool-down) fold the deltas in.
     """
-    key = f"{cfg.name}:{cfg.checkpoint}:{batch_id}"
-    if snapshot.is_applied(spark, cfg.strikes_root, key):
-        return
+    key = f"{cfg.name}:{query}:{batch_id}"
     init_strike_store(spark, cfg)
     touched = events.select("employee_id").distinct()
-    stored = snapshot.read_keyed(spark, cfg.strikes_root, STRIKES, "employee_id", cfg.buckets, only=touched)
-    changed = apply_strike_batch(stored, events, salaries)
-    snapshot.commit_delta(spark, cfg.strikes_root, changed, key)
-    _, deltas = snapshot.layout(spark, cfg.strikes_root)
-    if len(deltas) >= cfg.compact_every:
-        snapshot.compact(spark, cfg.strikes_root, STRIKES, "employee_id", cfg.buckets)
+
+    def once():
+        parent = snapshot.current_version(spark, cfg.strikes_root)
+        if snapshot.is_applied(spark, cfg.strikes_root, key):
+            return parent
+        stored = snapshot.read_keyed(spark, cfg.strikes_root, STRIKES, "employee_id", only=touched)
+        return snapshot.commit_delta(spark, cfg.strikes_root, apply_strike_batch(stored, events, salaries), key, parent)
+
+    snapshot.retrying(once)
 
 
 def start_monitor(spark: SparkSession, source: DataFrame, words: DataFrame, cfg: MonitorConfig):
