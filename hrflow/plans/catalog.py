@@ -66,8 +66,8 @@ def events(spark, d) -> DataFrame:
     return M.strike_events(flagged(spark, d))
 
 
-def salaries(spark, d) -> DataFrame:
-    return K.current_salaries(timeframe_gold(spark, d))
+def salaries(spark, d, only=None) -> DataFrame:
+    return K.current_salaries(timeframe_gold(spark, d), only)
 
 
 def batch_totals(spark, d) -> DataFrame:
@@ -121,7 +121,7 @@ def q_scan_partition(spark, d):
 def q_scan_jdbc(spark, d):
     """The strike table read with the active employees as membership filter."""
     root = _out(spark, "s6")
-    snapshot.commit(spark, root, fx.x_strikes(spark, d))
+    snapshot.commit(spark, root, fx.x_strikes(spark, d, whole=True))
     stored = snapshot.read_current(spark, root, schemas.STRIKES)
     active = timeframe_gold(spark, d).filter(F.col("status") == "ACTIVE")
     return restrict_to(stored, active)
@@ -199,7 +199,7 @@ def q_sink_jdbc(spark, d):
     sal = salaries(spark, d)
     staging = K.sync_new(sal, stored).unionByName(K.sync_changed(sal, stored))
     snapshot.commit(spark, root, staging)
-    return spark.read.parquet(f"{root}/v={snapshot.current_version(spark, root)}/data")
+    return snapshot.read_current(spark, root)
 
 
 def q_sink_text_alerts(spark, d):
@@ -223,7 +223,7 @@ def q_stream_file_ingest(spark, d):
     # a second run finds nothing new
     ingest_new_files(spark, inbox, schemas.TIMEFRAME_RAW, f"{base}/out", f"{base}/checkpoint",
                      archive=f"{base}/processed")
-    return spark.read.schema(schemas.TIMEFRAME_RAW).parquet(f"{base}/out")
+    return spark.read.schema(schemas.TIMEFRAME_RAW).parquet(f"{base}/out").select(*schemas.TIMEFRAME_RAW.fieldNames())
 
 
 # employee master and job history --------------------------------------------------
@@ -252,6 +252,16 @@ def q_timeframe_history(spark, d):
 
 
 def q_timeframe_merge(spark, d):
+    """The daily job's merge: two batches on an empty history."""
+    raw = fx.x_timeframe(spark, d)
+    history = spark.createDataFrame([], schemas.TIMEFRAME_STORED)
+    old = F.col("start_date") < MERGE_SPLIT_EPOCH
+    history = H.accumulate_timeframe(history, raw.filter(old))
+    return H.accumulate_timeframe(history, raw.filter(~old | F.col("start_date").isNull())).select(
+        *H.HISTORY_COLUMNS, "status")
+
+
+def q_timeframe_merge_replace(spark, d):
     raw = fx.x_timeframe(spark, d)
     old = H.build_timeframe(raw.filter(F.col("start_date") < MERGE_SPLIT_EPOCH))
     new = raw.filter(~(F.col("start_date") < MERGE_SPLIT_EPOCH) | F.col("start_date").isNull())
@@ -359,16 +369,18 @@ def q_strike_counts(spark, d):
 
 # strikes ----------------------------------------------------------------------------
 def q_strike_upsert(spark, d):
-    up = K.upsert_strikes(fx.x_strikes(spark, d), M.strike_counts(events(spark, d)), salaries(spark, d))
+    counts = M.strike_counts(events(spark, d))
+    up = K.upsert_strikes(fx.x_strikes(spark, d), counts, salaries(spark, d, counts))
     return up.select("employee_id", "salary", "no_of_strikes", "is_inactive")
 
 
 def q_strike_penalties(spark, d):
-    return K.apply_penalties(fx.x_strikes_base(spark, d))
+    return K.apply_penalties(fx.x_strikes_base(spark, d, whole=True))
 
 
 def q_strike_deactivate(spark, d):
-    return K.apply_strike_batch(fx.x_strikes(spark, d), events(spark, d), salaries(spark, d))
+    batch = events(spark, d)
+    return K.apply_strike_batch(fx.x_strikes(spark, d), batch, salaries(spark, d, batch))
 
 
 def q_strike_penalties_frozen(spark, d):
@@ -392,19 +404,19 @@ def q_strikes_sync(spark, d):
 
 
 def q_strike_cooldown(spark, d):
-    return K.cooldown(fx.x_strikes(spark, d))
+    return K.cooldown(fx.x_strikes(spark, d, whole=True))
 
 
 def q_flag_log_retention(spark, d):
-    return K.retain_flag_log(fx.x_flag_log(spark, d), fx.x_strikes(spark, d), RETENTION_AS_OF)
+    return K.retain_flag_log(fx.x_flag_log(spark, d), fx.x_strikes(spark, d, whole=True), RETENTION_AS_OF)
 
 
 def q_strike_leaderboard(spark, d):
-    return R.strike_leaderboard(fx.x_strikes(spark, d), 20)
+    return R.strike_leaderboard(fx.x_strikes(spark, d, whole=True), 20)
 
 
 def q_strike_stats(spark, d):
-    return R.strike_stats(fx.x_strikes(spark, d))
+    return R.strike_stats(fx.x_strikes(spark, d, whole=True))
 
 
 def q_flag_log_recent(spark, d):
@@ -412,7 +424,7 @@ def q_flag_log_recent(spark, d):
 
 
 def q_suspended_report(spark, d):
-    return R.suspended_report(fx.x_strikes(spark, d), 10)
+    return R.suspended_report(fx.x_strikes(spark, d, whole=True), 10)
 
 
 # streaming --------------------------------------------------------------------------
@@ -459,7 +471,7 @@ KEYS = [
     "sink_text_alerts", "sink_kafka_messages", "stream_file_ingest",
     # history
     "employee_clean", "timeframe_dedupe", "timeframe_intervals", "timeframe_chain", "timeframe_status",
-    "timeframe_history", "timeframe_merge", "dept_active_report", "dept_report_upsert",
+    "timeframe_history", "timeframe_merge", "timeframe_merge_replace", "dept_active_report", "dept_report_upsert",
     # leave
     "leave_calendar", "leave_quota", "leave_prefilter", "leave_drop_holidays", "leave_known_employees",
     "leave_stamp", "leave_resolve_status", "leave_latest", "leave_clean", "working_days",

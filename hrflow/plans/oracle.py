@@ -28,7 +28,7 @@ def epoch_date(x: str) -> str:
 
 def ladder_step(salary: str, count: str, i: int) -> str:
     f = Decimal("0.9") ** i
-    return (f"CASE WHEN {count} >= {i} AND {salary} IS NOT NULL THEN CAST(round(CAST({salary} AS DECIMAL(18,2)) "
+    return (f"CASE WHEN {count} >= {i} AND {salary} IS NOT NULL THEN CAST(round(CAST({salary} AS DECIMAL(24,8)) "
             f"* CAST('{f}' AS DECIMAL(11,10)), 2) AS DOUBLE) END")
 
 
@@ -76,7 +76,7 @@ ADAPTERS = {
   SELECT word FROM (SELECT unnest(list_distinct({tok('message')})) AS word
                     FROM (SELECT DISTINCT sender, receiver, message FROM x_message) m) t
   GROUP BY word HAVING count(*) >= 2""",
-    "x_strikes_base": """
+    "x_strikes_whole_base": """
   SELECT CAST(c_custkey AS VARCHAR) AS employee_id,
          CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN coalesce(l.price, CAST(1 AS DOUBLE))
               ELSE CAST(1000 + c_custkey AS DOUBLE) END AS salary,
@@ -84,8 +84,11 @@ ADAPTERS = {
   FROM customer LEFT JOIN (
     SELECT o_custkey, max(o_totalprice) AS price
     FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS rk FROM orders) z
-    WHERE rk = 1 GROUP BY o_custkey) l ON l.o_custkey = c_custkey
-  WHERE c_custkey % 3 <> 0""",
+    WHERE rk = 1 GROUP BY o_custkey) l ON l.o_custkey = c_custkey""",
+    "x_strikes_base": "SELECT * FROM x_strikes_whole_base WHERE CAST(employee_id AS BIGINT) % 3 <> 0",
+    "x_strikes_whole": f"""
+  SELECT employee_id, salary, {ladder('salary', 'no_of_strikes')}, no_of_strikes, is_inactive
+  FROM x_strikes_whole_base""",
     "x_strikes": f"""
   SELECT employee_id, salary, {ladder('salary', 'no_of_strikes')}, no_of_strikes, is_inactive
   FROM x_strikes_base""",
@@ -270,7 +273,7 @@ FINAL = {
     "scan_csv_headerless": "SELECT * FROM x_calendar_feed",
     "scan_parquet": "SELECT * FROM leave_gold",
     "scan_partition": "SELECT * FROM gold WHERE status = 'ACTIVE'",
-    "scan_jdbc": "SELECT * FROM x_strikes WHERE employee_id IN (SELECT emp_id FROM gold WHERE status = 'ACTIVE')",
+    "scan_jdbc": "SELECT * FROM x_strikes_whole WHERE employee_id IN (SELECT emp_id FROM gold WHERE status = 'ACTIVE')",
     "scan_json_array": "SELECT word FROM x_vocab",
     "scan_json_objects": "SELECT * FROM x_message",
     "scan_optional": "SELECT * FROM x_quota",
@@ -306,7 +309,8 @@ WHERE emp_id IS NOT NULL AND name IS NOT NULL AND age IS NOT NULL AND trunc(try_
     "timeframe_chain": "SELECT * FROM (" + j4("x_timeframe") + ") z",
     "timeframe_status": "SELECT * FROM (" + j5("x_timeframe") + ") z",
     "timeframe_history": "SELECT * FROM gold",
-    "timeframe_merge": "SELECT * FROM merged",
+    "timeframe_merge": "SELECT * FROM gold",
+    "timeframe_merge_replace": "SELECT * FROM merged",
     "dept_active_report": "SELECT * FROM (" + j8("gold") + ") z",
     "dept_report_upsert": f"""
 SELECT coalesce(s.designation, t.designation) AS designation,
@@ -350,7 +354,7 @@ WHERE f.mid NOT IN (
     "strike_counts": "SELECT * FROM cnt",
     # strikes
     "strike_upsert": "SELECT employee_id, salary, no_of_strikes, is_inactive FROM upserted",
-    "strike_penalties": "SELECT * FROM x_strikes",
+    "strike_penalties": "SELECT * FROM x_strikes_whole",
     "strike_deactivate": "SELECT * FROM batch_applied",
     "strike_penalties_frozen": "SELECT employee_id, salary, " + ", ".join(
         f"CASE WHEN strike_count >= {i} AND no_of_strikes < {i} THEN {ladder_step('salary', 'strike_count', i)} "
@@ -375,24 +379,24 @@ SELECT employee_id, salary,
        {", ".join(f"CASE WHEN coalesce(is_inactive, false) THEN {c} END AS {c}" for c in LADDER)},
        CAST(CASE WHEN coalesce(is_inactive, false) THEN no_of_strikes ELSE 0 END AS INTEGER) AS no_of_strikes,
        is_inactive
-FROM x_strikes""",
+FROM x_strikes_whole""",
     "flag_log_retention": """
 SELECT employee_id, start_date FROM x_flag_log l
 WHERE (l.start_date < TIMESTAMP '2024-01-11 00:00:00'
-       AND l.employee_id IN (SELECT employee_id FROM x_strikes WHERE NOT coalesce(is_inactive, false))) IS NOT TRUE""",
+       AND l.employee_id IN (SELECT employee_id FROM x_strikes_whole WHERE NOT coalesce(is_inactive, false))) IS NOT TRUE""",
     "strike_leaderboard": """
 SELECT employee_id, salary, no_of_strikes, strike_1, strike_2, strike_3, strike_4, strike_5, is_inactive
-FROM x_strikes ORDER BY no_of_strikes DESC NULLS LAST, employee_id ASC NULLS LAST LIMIT 20""",
+FROM x_strikes_whole ORDER BY no_of_strikes DESC NULLS LAST, employee_id ASC NULLS LAST LIMIT 20""",
     "strike_stats": """
 SELECT count(*) AS total_employees, count(*) FILTER (WHERE no_of_strikes > 0) AS with_strikes,
        count(*) FILTER (WHERE is_inactive = true) AS suspended,
        coalesce(max(no_of_strikes), 0) AS max_strikes
-FROM x_strikes""",
+FROM x_strikes_whole""",
     "flag_log_recent": """
 SELECT employee_id, start_date FROM x_flag_log
 ORDER BY start_date DESC NULLS LAST, employee_id ASC NULLS LAST LIMIT 10""",
     "suspended_report": """
-SELECT employee_id, salary, no_of_strikes, strike_10 FROM x_strikes WHERE is_inactive = true
+SELECT employee_id, salary, no_of_strikes, strike_10 FROM x_strikes_whole WHERE is_inactive = true
 ORDER BY no_of_strikes DESC NULLS LAST, employee_id ASC NULLS LAST LIMIT 10""",
     # streaming
     "stream_flag_log": "SELECT * FROM ev",

@@ -125,15 +125,16 @@ def x_vocab(spark, sf_dir, min_messages: int = 2) -> DataFrame:
     return df.filter(F.col("n") >= min_messages).select("word")
 
 
-def x_strikes_base(spark, sf_dir) -> DataFrame:
-    """Stored strike rows: unchanged, changed and NULL salaries."""
+def x_strikes_base(spark, sf_dir, whole: bool = False) -> DataFrame:
+    """Stored strike rows: unchanged, changed and NULL salaries. Every third customer has no row
+    yet, which upsert and sync need; ``whole`` gives all of them one."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     # latest order per customer, highest price among same-day orders
     latest = o.groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", "o_totalprice")).alias("m")) \
               .select("o_custkey", F.col("m.o_totalprice").alias("price"))
     k = F.col("c_custkey")
-    j = c.filter(k % 3 != 0).join(latest, k == F.col("o_custkey"), "left")
+    j = (c if whole else c.filter(k % 3 != 0)).join(latest, k == F.col("o_custkey"), "left")
     salary = (F.when(k % 10 == 0, F.lit(None).cast("double"))
                .when(k % 7 == 0, F.coalesce(F.col("price"), F.lit(1.0)))
                .otherwise((F.lit(1000) + k).cast("double")))
@@ -141,9 +142,9 @@ def x_strikes_base(spark, sf_dir) -> DataFrame:
                     (k % 13).cast("int").alias("no_of_strikes"), (k % 13 >= 10).alias("is_inactive"))
 
 
-def x_strikes(spark, sf_dir) -> DataFrame:
+def x_strikes(spark, sf_dir, whole: bool = False) -> DataFrame:
     """Stored strike table with its ladder derived by the penalties operator."""
-    return apply_penalties(x_strikes_base(spark, sf_dir))
+    return apply_penalties(x_strikes_base(spark, sf_dir, whole))
 
 
 def x_flag_log(spark, sf_dir) -> DataFrame:
