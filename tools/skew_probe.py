@@ -4,7 +4,7 @@
 
 The input is derived from ``orders``: every third order is re-assigned to employee "HOT"
 (start dates kept distinct), the rest keep their customer. The chain (J3, replace mode)
-runs twice, with the plain window and with the skew-safe range path, under Spark's event
+runs twice, with one slice per key and with a limit that cuts the hot key, under Spark's event
 log written to a fresh scratch folder, with AQE partition coalescing off so that the 16
 shuffle partitions stay visible. For every stage the script reports the number of tasks
 and the largest and median shuffle-read records per task.
@@ -73,10 +73,11 @@ def main():
         F.col("o_totalprice").alias("salary"))
     n_hot = df.filter(F.col("emp_id") == "HOT").count()
     print(f"rows={df.count()} hot-key rows={n_hot}")
-    for safe in (False, True):
-        spark.sparkContext.setJobGroup(f"safe={safe}", f"safe={safe}")
-        spark.sparkContext.setLocalProperty("callSite.short", f"chain safe={safe}")
-        H.chain_intervals(df, "replace", skew_safe=safe).write.format("noop").mode("overwrite").save()
+    for limit in (1_000_000_000, 5_000):
+        spark.conf.set("hrflow.lead.rowsPerSlice", str(limit))
+        spark.sparkContext.setJobGroup(f"rowsPerSlice={limit}", f"rowsPerSlice={limit}")
+        spark.sparkContext.setLocalProperty("callSite.short", f"chain rowsPerSlice={limit}")
+        H.chain_intervals(df, "replace").write.format("noop").mode("overwrite").save()
     spark.stop()
     log = glob.glob(os.path.join(logdir, "*"))[0]
     for g, stages in stage_stats(log).items():
