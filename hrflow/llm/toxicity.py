@@ -360,7 +360,7 @@ def _tag(field, floor: float = 0.05, carry: tuple[str, ...] = ()):
                     at = np.flatnonzero(first)
                     top[w.doc[at]] = np.maximum.reduceat(p, at)
                     high = np.flatnonzero(p >= floor)
-                    expected = np.bincount(w.doc[high], p[high], minlength=n)
+                    expected = np.bincount(w.doc[high], p[high], minlength=n).astype(float)
                     hot = np.flatnonzero(p >= 0.5)
                     cuts = np.flatnonzero((np.diff(hot) != 1) | first[hot[1:]]) + 1 if len(hot) else []
                     chars = lambda u, v: int(np.count_nonzero((w.buf[u:v] & 0xC0) != 0x80))
