@@ -143,7 +143,8 @@ def fit(stats: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float =
         return None
     total = m.sum(0)
     center = total[0, 1:] / n.sum()
-    scale = np.sqrt(np.maximum(np.diag(total)[1:] / n.sum() - center ** 2, 1e-12))
+    spread = np.diag(total)[1:] / n.sum() - center ** 2
+    scale = np.sqrt(np.where(spread > 1e-9, spread, 1.0))  # a constant statistic stays near 0
     mean = m[:, 0, 1:] / n[:, None]
     cov = np.stack([m[k, 1:, 1:] / n[k] - np.outer(mean[k], mean[k]) for k in (0, 1)]) / np.outer(scale, scale)
     mean = (mean - center) / scale
