@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by a random-projection tree forest.
 
-A tree splits at the median of projections on random directions, level by level; vectors
-within a margin of a split spill into both children, so close pairs are seldom parted, and
-several trees make up for those that are. Splits are fitted on a bounded sample of vectors;
+A tree splits projections on random directions, level by level, near the median where few
+vectors lie; vectors within a margin of a split spill into both children, so close pairs are
+seldom parted, and several trees make up for those that are. A node that can't be split without
+much spill stays a leaf. Splits are fitted on a bounded sample of vectors;
 every vector is routed. Pairs are compared within leaves, exactly and in double precision.
 
 Equal vectors are one class with a count. A leaf of any size is cut into blocks and compared
@@ -25,10 +26,14 @@ from .tables import connected_components, materialise
 
 @dataclass(frozen=True)
 class ForestBounds:
-    """Trees, spill (share of a node's sample in the margin), leaf and block size, sample of vectors."""
+    """Trees, directions tried per node, largest share of a node that may spill, leaf and block size,
+    sample of vectors. The margin is ``margin`` times the spread of the projected difference of two
+    vectors at the threshold."""
 
     trees: int = 6
-    spill: float = 0.10
+    tries: int = 3
+    spill: float = 0.35
+    margin: float = 0.5
     leaf: int = 256
     block: int = 1024
     sample: int = 20_000
@@ -36,45 +41,66 @@ class ForestBounds:
 
 @dataclass
 class Forest:
-    """Complete binary trees: directions and thresholds per tree and node, margins, depth."""
+    """Binary trees with heap-numbered nodes: directions per tree, level and try; per node the try
+    (-1: a leaf) and threshold."""
 
-    directions: np.ndarray  # (trees, depth, dim): one direction per level
-    thresholds: np.ndarray  # (trees, nodes)
-    margins: np.ndarray
-    depth: int
+    directions: np.ndarray
+    choice: np.ndarray
+    thresholds: np.ndarray
+    margin: float
 
 
-def fit_forest(x: np.ndarray, total: int, bounds: ForestBounds, seed: int = 7) -> Forest:
-    """Fit on sampled unit vectors; ``total``: vectors to be indexed. A node keeps 16 sampled vectors at least."""
+def fit_forest(x: np.ndarray, total: int, threshold: float, bounds: ForestBounds, seed: int = 7) -> Forest:
+    """Fit on sampled unit vectors of one dimension; ``total``: vectors to be indexed.
+
+    A split goes where least of the node's sample lies within the margin, near the median if it
+    can; a node whose sample can't be cut without much spill (a dense group) stays a leaf.
+    """
     rng = np.random.default_rng(seed)
     depth = max(0, int(np.ceil(np.log2(max(1.0, total / bounds.leaf)))))
-    depth = min(depth, max(0, int(np.log2(max(1, len(x)) / 16))))
-    dim = x.shape[1] if x.ndim == 2 else 1
-    g = rng.normal(size=(bounds.trees, max(depth, 1), dim))
-    g /= np.linalg.norm(g, axis=2, keepdims=True)
-    thr = np.zeros((bounds.trees, 1 << depth))
-    margin = np.zeros((bounds.trees, 1 << depth))
+    dim = x.shape[1]
+    g = rng.normal(size=(bounds.trees, max(depth, 1), bounds.tries, dim))
+    g /= np.linalg.norm(g, axis=3, keepdims=True)
+    choice = np.full((bounds.trees, 2 << depth), -1, np.int64)
+    thr = np.zeros((bounds.trees, 2 << depth))
+    margin = bounds.margin * np.sqrt((2 - 2 * threshold) / dim)
     for t in range(bounds.trees):
         node = np.ones(len(x), np.int64)
         for level in range(depth):
-            p = x @ g[t, level]
+            p = x @ g[t, level].T
             for k in range(1 << level, 2 << level):
                 own = p[node == k]
-                if len(own):
-                    thr[t, k] = np.median(own)
-                    margin[t, k] = np.quantile(np.abs(own - thr[t, k]), bounds.spill)
-            node = 2 * node + (p > thr[t, node])
-    return Forest(g, thr, margin, depth)
-
-
-def route(x: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
-    """(row, code) of every leaf membership; a code holds tree and leaf."""
+                if len(own) < 32:
+                    continue
+                for near in (0.25, 0.05):  # quantiles near the median first
+                    cuts = np.quantile(own, np.linspace(near, 1 - near, 15), axis=0)
+                    spill = (np.abs(own[:, None, :] - cuts[None]) <= margin).mean(0)
+                    q, r = np.unravel_index(np.argmin(spill), spill.shape)
+                    if spill[q, r] <= bounds.spill:
+                        choice[t, k], thr[t, k] = r, cuts[q, r]
+                        break
+            cut = choice[t, node] >= 0
+            d = p[np.arange(len(x)), np.maximum(choice[t, node], 0)] > thr[t, node]
+            node = np.where(cut, 2 * node + d, 0)  # rows in a leaf are done
+    return Forest(g, choice, thr, margin)
+
+
+def route(x: np.ndarray, forest: Forest | None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code) of every leaf membership; a code holds tree and leaf. Without a forest: one leaf."""
+    if forest is None:
+        return np.arange(len(x)), np.ones(len(x), np.int64)
     rows, codes = [], []
     for t in range(len(forest.directions)):
         row, node = np.arange(len(x)), np.ones(len(x), np.int64)
-        for level in range(forest.depth):
-            d = (x @ forest.directions[t, level][:x.shape[1]])[row] - forest.thresholds[t, node]
-            both = np.abs(d) <= forest.margins[t, node]
+        for level in range(forest.directions.shape[1]):
+            live = forest.choice[t, node] >= 0
+            rows.append(row[~live])
+            codes.append((t << 40) + node[~live])
+            row, node = row[live], node[live]
+            if not len(row):
+                break
+            d = (x @ forest.directions[t, level].T)[row, forest.choice[t, node]] - forest.thresholds[t, node]
+            both = np.abs(d) <= forest.margin
             row, node = (np.concatenate([row, row[both]]),
                          np.concatenate([2 * node + (d > 0), 2 * node[both] + (d[both] <= 0)]))
         rows.append(row)
@@ -83,7 +109,7 @@ def route(x: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _unit(b: pa.RecordBatch, name: str = "v") -> tuple[np.ndarray, np.ndarray]:
-    """Rows of one batch grouped by dimension are not needed: returns flat values and offsets."""
+    """Flat values and offsets of a list column."""
     col = b.column(name)
     return col.flatten().to_numpy(), np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy())])
 
@@ -101,12 +127,11 @@ def _by_dim(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _route_batches(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest: Forest = sent.value
+        forests: dict[int, Forest] = sent.value
         for b in batches:
             for rows, x in _by_dim(b):
                 dim = x.shape[1]
-                fit = x[:, :forest.directions.shape[2]]
-                at, code = route(fit, forest)
+                at, code = route(x, forests.get(dim))
                 order = np.lexsort((code, at))
                 at, code = at[order], code[order]
                 n = np.bincount(at, minlength=len(rows))
@@ -181,12 +206,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bounds: ForestB
         one = one.dropDuplicates(["cid"])
     one = materialise(one, "vec-one")
     sample = one.orderBy(F.xxhash64("cid"), "cid").limit(bounds.sample).select("v").collect()
-    dim = max((len(r["v"]) for r in sample), default=1)
-    x = np.array([r["v"] for r in sample if len(r["v"]) == dim], float).reshape(-1, dim)
-    x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300) if len(x) else x
-    forest = fit_forest(x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x, total, bounds)
-    # directions of the largest sampled dimension; shorter vectors use the first coordinates
-    sent = spark.sparkContext.broadcast(forest)
+    forests = {}
+    for dim in {len(r["v"]) for r in sample}:  # a dimension that is not in the sample is one leaf
+        x = np.array([r["v"] for r in sample if len(r["v"]) == dim], float)
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        forests[dim] = fit_forest(x / np.linalg.norm(x, axis=1, keepdims=True), total * len(x) // len(sample), threshold, bounds)
+    sent = spark.sparkContext.broadcast(forests)
     member = materialise(one.mapInArrow(_route_batches(sent), "cid long, c long, dim int, u array<double>, codes array<long>"),
                          "vec-routed")
     placed = member.withColumn("code", F.explode("codes"))
