@@ -173,10 +173,11 @@ DETECTORS: list[tuple[str, str, str, Callable[[str, bytes], str | None]]] = [
     ("date", "", r"(?<![\w./-])(?P<v>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./-])[0-9]{2}\2[0-9]{4})(?![\w/-]|\.[0-9])", _date),
     ("ssn", "-", r"(?<![\w-])(?P<v>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])", _ssn),
     ("ip", ".", r"(?<![\w.])(?P<v>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])", _ip),
-    ("card", "", r"(?<![\w.-])(?P<v>[0-9](?:[ -]?[0-9]){12,18})(?!\w|[ -][0-9])", _card),
-    ("phone", "", r"(?<![\w.])(?P<v>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}"
+    ("phone", "", r"(?<![\w.])(?P<v>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}"
                   r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\w|[.-][0-9])", _phone),
 ]
+#: Digits with single separators: a run may hold several numbers side by side.
+_RUN = r"(?<![0-9A-Za-z_])(?<![0-9]\.)[0-9]+(?:[ -][0-9]+)*(?![0-9A-Za-z_])"
 _LOCAL = r"[A-Za-z0-9._%+-]{1,64}$"
 _DOMAIN = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 
@@ -187,6 +188,8 @@ class Scanner:
     def __init__(self, key: bytes, kinds: tuple[str, ...] | None = None):
         self.key, self.known = key, {}
         self.email = kinds is None or "email" in kinds
+        self.run = re.compile(_RUN) if kinds is None or "card" in kinds else None
+        self.long = re.compile("[0-9](?:[ -]?[0-9]){12}")
         self.rest = [(k, need, re.compile(p), f) for k, need, p, f in DETECTORS if kinds is None or k in kinds]
         self.digit, self.local, self.domain = re.compile("[0-9]"), re.compile(_LOCAL), re.compile(_DOMAIN)
 
@@ -207,6 +210,8 @@ class Scanner:
             at = text.find("@", at + 1)
         if not self.digit.search(text) and not any(c in text for c in "=:"):
             return
+        if self.run and self.long.search(text):
+            yield from self._cards(text)
         for order, (kind, need, pattern, f) in enumerate(self.rest):
             if need and not (any(c in text for c in need) if need == "=:" else need in text):
                 continue
@@ -215,6 +220,25 @@ class Scanner:
                 if new is not None:
                     yield m.start("v"), -m.end("v"), order, kind, new
 
+    def _cards(self, text: str) -> Iterator[tuple[int, int, int, str, str]]:
+        """Card numbers: in a run of digit groups, the fewest groups from the left that are valid together."""
+        for m in self.run.finditer(text):
+            groups = [g.span() for g in re.finditer("[0-9]+", m[0])]
+            i = 0
+            while i < len(groups):
+                step, digits = 1, 0
+                for j in range(i, len(groups)):
+                    digits += groups[j][1] - groups[j][0]
+                    if digits > 19:
+                        break
+                    s, e = m.start() + groups[i][0], m.start() + groups[j][1]
+                    new = self._new("card", text[s:e], _card) if digits >= 13 else None
+                    if new is not None:
+                        yield s, -e, len(self.rest), "card", new
+                        step = j - i + 1
+                        break
+                i += step
+
     def replace(self, text: str) -> tuple[str, list[dict]]:
         """The new text, and kind, start and end of each value (code points; equal in both texts)."""
         out, spans, end = [], [], 0
