@@ -19,6 +19,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from . import tokens
 from .tables import materialise
 
 LEADS = (4, 5, 6)
+FLOOR = 0.05  # marginals below it don't count as expected toxic words
 KINDS = 1 + len(LEADS)
 
 
@@ -344,40 +346,67 @@ SPANS = "array<struct<start:int,end:int,prob:double>>"
 TAGGED = f"doc_id long, n_words long, expected double, top double, spans {SPANS}"
 
 
-def _tag(field, floor: float = 0.05, carry: tuple[str, ...] = ()):
+def _tag(field, floor: float = FLOOR, carry: tuple[str, ...] = ()):
     """Sums of the marginals and spans (character offsets, end exclusive) of a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Field = field.value
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("prob", pa.float64())]))
         for b in batches:
-            for lo, hi in tokens.pieces_of_rows(b.column(1)):
-                n = hi - lo
-                w = tokens.words(b.column(1).slice(lo, n), LEADS, plain=True)
-                expected, top = np.zeros(n), np.zeros(n)
-                spans: list[list[dict]] = [[] for _ in range(n)]
-                if len(w.start):
-                    first = np.concatenate([[True], w.doc[1:] != w.doc[:-1]])
-                    p = forward_backward(np.exp(_weights_of(_features(w), model)), first, model.trans, model.start)
-                    at = np.flatnonzero(first)
-                    top[w.doc[at]] = np.maximum.reduceat(p, at)
-                    high = np.flatnonzero(p >= floor)
-                    expected = np.bincount(w.doc[high], p[high], minlength=n).astype(float)
-                    hot = np.flatnonzero(p >= 0.5)
-                    cuts = np.flatnonzero((np.diff(hot) != 1) | first[hot[1:]]) + 1 if len(hot) else []
-                    chars = lambda u, v: int(np.count_nonzero((w.buf[u:v] & 0xC0) != 0x80))
-                    for part in np.split(hot, cuts) if len(hot) else []:
-                        d, s, e = int(w.doc[part[0]]), w.start[part[0]], w.end[part[-1]]
-                        done = spans[d][-1] if spans[d] else {"end": 0, "at": w.offsets[d]}
-                        c = done["end"] + chars(done["at"], s)
-                        spans[d].append({"start": c, "end": c + chars(s, e), "prob": float(p[part].max()), "at": e})
-                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("prob", pa.float64())]))
+            for lo, hi in tokens.pieces_of_rows(b.column(1), 1 << 20):
+                n_words, expected, top, spans = _tag_piece(b.column(1).slice(lo, hi - lo), hi - lo, model, floor)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, n), pa.array(np.bincount(w.doc, minlength=n)), pa.array(expected),
-                     pa.array(top), pa.array([[{k: x[k] for k in ("start", "end", "prob")} for x in r] for r in spans], kind),
-                     *(b.column(c).slice(lo, n) for c in carry)],
+                    [b.column(0).slice(lo, hi - lo), pa.array(n_words), pa.array(expected), pa.array(top),
+                     pa.array(spans, kind), *(b.column(c).slice(lo, hi - lo) for c in carry)],
                     names=["doc_id", "n_words", "expected", "top", "spans", *carry])
     return run
 
 
+def _tag_piece(column: pa.Array, n: int, model: Field, floor: float):
+    """Words, expected toxic words, largest marginal and spans of n texts."""
+    w = tokens.words(column, LEADS, plain=True)
+    expected, top = np.zeros(n), np.zeros(n)
+    spans: list[list[dict]] = [[] for _ in range(n)]
+    if len(w.start):
+        first = np.concatenate([[True], w.doc[1:] != w.doc[:-1]])
+        p = forward_backward(np.exp(_weights_of(_features(w), model)), first, model.trans, model.start)
+        at = np.flatnonzero(first)
+        top[w.doc[at]] = np.maximum.reduceat(p, at)
+        high = np.flatnonzero(p >= floor)
+        expected = np.bincount(w.doc[high], p[high], minlength=n).astype(float)
+        hot = np.flatnonzero(p >= 0.5)
+        cuts = np.flatnonzero((np.diff(hot) != 1) | first[hot[1:]]) + 1 if len(hot) else []
+        chars = lambda u, v: int(np.count_nonzero((w.buf[u:v] & 0xC0) != 0x80))
+        ends = {}
+        for part in np.split(hot, cuts) if len(hot) else []:
+            d, s, e = int(w.doc[part[0]]), w.start[part[0]], w.end[part[-1]]
+            done, at_byte = ends.get(d, (0, w.offsets[d]))
+            c = done + chars(at_byte, s)
+            ends[d] = (c + chars(s, e), e)
+            spans[d].append({"start": c, "end": ends[d][0], "prob": float(p[part].max())})
+    return np.bincount(w.doc, minlength=n), expected, top, spans
+
+
+def _keep(field, column: str, threshold: float):
+    """Rows (structs with the text in ``column``) that score below the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Field = field.value
+        for b in batches:
+            text = pc.struct_field(b.column(0), column).cast(pa.string())
+            for lo, hi in tokens.pieces_of_rows(text, 1 << 20):
+                words, expected, top, _ = _tag_piece(text.slice(lo, hi - lo), hi - lo, model, FLOOR)
+                clean = _doc_scores(words, expected, top, model) < threshold
+                yield b.slice(lo, hi - lo).filter(pa.array(clean))
+    return run
+
+
+def _doc_scores(words: np.ndarray, expected: np.ndarray, top: np.ndarray, field: Field) -> np.ndarray:
+    """Scores as ``_score_sql`` gives them."""
+    n = np.maximum(words, 1)
+    x = [np.ones(len(n)), np.log(1 + expected), np.log(1e-4 + expected / n), np.log((top + 1e-4) / (1 - top + 1e-4)), np.log(1 + n)]
+    z = sum(w * v for w, v in zip(field.doc, x))
+    return np.where(words == 0, 0.0, np.round(1 / (1 + np.exp(-np.clip(z, -700, 700))), 6))
+
+
 def _score_sql(field: Field) -> str:
     z = " + ".join([repr(field.doc[0]), *(f"{w!r}D * {x}" for w, x in zip(field.doc[1:], STATS))])
     return f"round(if(n_words = 0, 0D, 1 / (1 + exp(-({z})))), 6)"
@@ -393,11 +422,9 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
 def without_toxic(docs: DataFrame, field: Field, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``, with all their columns and without a shuffle."""
     sent = docs.sparkSession.sparkContext.broadcast(field)
-    rows = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    kept = rows.mapInArrow(_tag(sent, carry=("row",)), f"{TAGGED}, row {kind}")
-    return kept.where(f"{_score_sql(field)} < {threshold}").select("row.*")
+    return rows.mapInArrow(_keep(sent, "text", threshold), f"row {kind}").select("row.*")
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
