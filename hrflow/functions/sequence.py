@@ -1,15 +1,15 @@
 """``lead`` within a key that stays balanced when one key is huge.
 
 A plain ``lead().over(Window.partitionBy(key))`` sends every row of a key to one task.
-Here a key with more than ``hrflow.lead.rowsPerSlice`` rows is cut into slices: its count,
-smallest and largest position (the first order column as a number) are aggregated once,
-map-side first, and a row's slice follows from its own position and those three numbers
-alone, so every part of the plan agrees on it however often it is computed. ``lead`` runs
-within (key, slice); the last row of a slice takes the head of the key's next slice. Keys
-below the limit have one slice, so every input runs through the same plan.
-
-All order columns are ascending with NULLs first. Rows that tie in the whole order share
-their place; an order that starts with text is not cut.
+Here the first order column cuts each key into slices of a fixed width (30 days), so a key
+holding a third of all rows is spread over as many tasks as it has slices. ``lead`` runs
+within (key, slice); the last row of a slice then finds its successor among the first and
+last rows of the key's slices, of which a key has two per slice whatever its size. A slice
+follows from the row alone, so there is one path for every input and nothing to agree on
+between parts of the plan.
+
+All order columns are ascending with NULLs first. Rows that tie in the whole order are
+interchangeable. An order that starts with text is not cut.
 """
 
 from __future__ import annotations
@@ -17,45 +17,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_SLICE = 100_000
+SLICE_DAYS = 30
 
 
-def _position(df: DataFrame, column: str):
-    """The column as a double that rises with it, or NULL for types without such a number."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
+def _slice(df: DataFrame, column: str, width: float | None):
+    """Slice number of the column: days for dates, seconds for numbers and time stamps."""
+    kind, c = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
+        return F.floor(F.unix_date(c) / F.lit(float(width or SLICE_DAYS)))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(float(width or SLICE_DAYS * 86400)))
     if isinstance(kind, T.NumericType):
-        return F.when(~F.isnan(c.cast("double")), c.cast("double"))
-    return F.lit(None).cast("double")
+        return F.floor(c / F.lit(float(width or SLICE_DAYS * 86400)))
+    return F.lit(0).cast("long")
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                rows_per_slice: int | None = None) -> DataFrame:
+                width: float | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same ``key`` in ``order``."""
-    limit = rows_per_slice or int(df.sparkSession.conf.get("hrflow.lead.rowsPerSlice", str(ROWS_PER_SLICE)))
-    at = _position(df, order[0])
-    large = (df.groupBy(F.col(key).alias("__key"))
-               .agg(F.count(F.lit(1)).alias("__n"), F.min(at).alias("__low"), F.max(at).alias("__high"))
-               .filter(F.col("__n") > limit))
-    # four slices per limit, since rows seldom spread evenly; NULL positions sort first
-    slices = F.ceil(4 * F.col("__n") / limit)
-    place = F.floor((at - F.col("__low")) / (F.col("__high") - F.col("__low") + 1) * slices)
-    cut = (df.join(large, F.col(key).eqNullSafe(F.col("__key")), "left")
-             .withColumn("__slice", F.when(F.col("__n").isNull(), F.lit(0))
-                                     .otherwise(F.coalesce(place, F.lit(-1))).cast("long"))
-             .withColumn("__cut", F.col("__n").isNotNull()).drop("__key", "__n", "__low", "__high"))
     sort_cols = [F.col(c).asc_nulls_first() for c in [*order, *([value] if value not in order else [])]]
     within = Window.partitionBy(key, "__slice").orderBy(*sort_cols)
-    local = cut.withColumn("__next", F.lead(F.struct(F.col(value).alias("v"))).over(within))
-    heads = (cut.filter("__cut").groupBy(F.col(key).alias("__key"), F.col("__slice").alias("__from"))
-                .agg(F.min(F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"))).alias("__head")))
-    # one row per slice of a large key
-    after = heads.select("__key", "__from", F.lead("__head.__v").over(
-        Window.partitionBy("__key").orderBy("__from")).alias("__after"))
-    joined = local.join(after, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__from")), "left")
-    nxt = F.when(F.col("__next").isNotNull(), F.col("__next.v")).otherwise(F.col("__after"))
-    return joined.withColumn(out, nxt).drop("__slice", "__cut", "__next", "__key", "__from", "__after")
+    follower = F.lead(F.struct(F.col(value).alias("v")))
+    cut = (df.withColumn("__slice", _slice(df, order[0], width))
+             .withColumns({"__next": follower.over(within), "__first": F.row_number().over(within) == 1}))
+    inner = cut.filter("__next IS NOT NULL").withColumn(out, F.col("__next.v"))
+    # of rows that tie, those with a successor in their slice come first
+    across = Window.partitionBy(key).orderBy(*sort_cols, F.col("__next").isNull())
+    ends = (cut.filter("__next IS NULL OR __first").withColumn("__after", follower.over(across))
+               .filter("__next IS NULL").withColumn(out, F.col("__after.v")).drop("__after"))
+    return inner.unionByName(ends).drop("__slice", "__next", "__first")

@@ -252,11 +252,12 @@ def q_timeframe_history(spark, d):
 
 
 def q_timeframe_merge(spark, d):
-    """The daily job's merge: two batches on an empty history."""
-    raw = fx.x_timeframe(spark, d)
-    history = spark.createDataFrame([], schemas.TIMEFRAME_STORED)
+    """The daily job's merge over two batches, the first one stored as the job stores it."""
+    root, raw = _out(spark, "j7"), fx.x_timeframe(spark, d)
     old = F.col("start_date") < MERGE_SPLIT_EPOCH
-    history = H.accumulate_timeframe(history, raw.filter(old))
+    empty = spark.createDataFrame([], schemas.TIMEFRAME_STORED)
+    snapshot.commit(spark, root, H.accumulate_timeframe(empty, raw.filter(old)), partition_by=["status"])
+    history = snapshot.read_current(spark, root, schemas.TIMEFRAME_STORED)
     return H.accumulate_timeframe(history, raw.filter(~old | F.col("start_date").isNull())).select(
         *H.HISTORY_COLUMNS, "status")
 

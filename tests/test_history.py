@@ -5,6 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from conftest import rows
 from hrflow import schemas
+from hrflow.functions import sequence
 from hrflow.operators import history as H
 
 D = dt.date
@@ -41,15 +42,14 @@ def test_dedupe_highest_salary_null_last(spark):
     assert out == [("1", "C", 7.0), ("2", "A", None)]
 
 
-def test_chain_fill_null_keeps_explicit_end_and_null_start_first(spark):
+def test_chain_fill_null_keeps_explicit_end_and_null_start_first(spark, monkeypatch):
     # SURVEY Q6: a NULL start sorts first, so its next start is the earliest real one
     df = spark.createDataFrame([("1", "A", None, None, 1.0), ("1", "B", 100, 150, 2.0), ("1", "C", 200, None, 3.0),
                                 ("1", "D", 300, None, 4.0)],
                                "emp_id string, designation string, start_date long, end_date long, salary double")
-    for limit in ("1", "100"):
-        spark.conf.set("hrflow.lead.rowsPerSlice", limit)
+    for days in (30, 1 / 86400):  # slices of 30 days, and of a second
+        monkeypatch.setattr(sequence, "SLICE_DAYS", days)
         out = rows(H.chain_intervals(df, "fill_null"), "designation", "end_date")
-        spark.conf.unset("hrflow.lead.rowsPerSlice")
         assert out == [("A", 100), ("B", 150), ("C", 300), ("D", None)]
         rep = rows(H.chain_intervals(df, "replace"), "designation", "end_date")
         assert rep == [("A", 100), ("B", 200), ("C", 300), ("D", None)]
@@ -59,20 +59,15 @@ def test_chain_across_partitions_hot_key(spark):
     # one key over many range partitions: every interval must end at the next start
     n = 5000
     df = spark.range(n).select(F.lit("hot").alias("emp_id"), F.lit("X").alias("designation"),
-                               (F.col("id") * 10).alias("start_date"), F.lit(None).cast("long").alias("end_date"),
+                               (F.col("id") * DAY).alias("start_date"), F.lit(None).cast("long").alias("end_date"),
                                F.lit(1.0).alias("salary"))
     cold = spark.range(50).select(F.col("id").cast("string").alias("emp_id"), F.lit("Y").alias("designation"),
                                   F.lit(5).cast("long").alias("start_date"), F.lit(None).cast("long").alias("end_date"),
                                   F.lit(1.0).alias("salary"))
-    spark.conf.set("hrflow.lead.rowsPerSlice", "400")
-    try:
-        out = H.chain_intervals(df.unionByName(cold), "replace").cache()
-        out.count()
-    finally:
-        spark.conf.unset("hrflow.lead.rowsPerSlice")
+    out = H.chain_intervals(df.unionByName(cold), "replace")
     hot = out.filter(F.col("emp_id") == "hot")
-    bad = hot.filter(~((F.col("end_date") == F.col("start_date") + 10)
-                       | ((F.col("start_date") == (n - 1) * 10) & F.col("end_date").isNull())))
+    bad = hot.filter(~((F.col("end_date") == F.col("start_date") + DAY)
+                       | ((F.col("start_date") == (n - 1) * DAY) & F.col("end_date").isNull())))
     assert bad.count() == 0
     assert out.filter((F.col("emp_id") != "hot") & F.col("end_date").isNotNull()).count() == 0
 
@@ -95,7 +90,7 @@ def test_sliced_lead_equals_window_with_an_extra_column(spark, reuse, aqe):
     spark.conf.set("spark.sql.exchange.reuse", reuse)
     spark.conf.set("spark.sql.adaptive.enabled", aqe)
     try:
-        a = next_in_key(df, "k", ["o", "v"], "v", "nxt", rows_per_slice=5_000).cache()
+        a = next_in_key(df, "k", ["o", "v"], "v", "nxt", width=1_000).cache()
         assert a.count() == 400_000
         assert a.exceptAll(_plain_lead(df, "k", ["o", "v"], "v")).count() == 0
     finally:

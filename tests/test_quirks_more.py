@@ -56,9 +56,9 @@ def test_salary_read_per_batch(spark, tmp_dir):
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 50))), min_size=1, max_size=60),
        st.integers(1, 9))
-def test_sliced_lead_property(spark, data, limit):
+def test_sliced_lead_property(spark, data, width):
     df = spark.createDataFrame([(str(k), o, i) for i, (k, o) in enumerate(data)], "k string, o int, v int")
-    a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", rows_per_slice=limit))
+    a = rows(next_in_key(df, "k", ["o", "v"], "v", "nxt", width=width))
     w = Window.partitionBy("k").orderBy(F.col("o").asc_nulls_first(), "v")
     assert a == rows(df.withColumn("nxt", F.lead("v").over(w)))
 

@@ -39,10 +39,10 @@ def main():
     ap.add_argument("--show", action="store_true")
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
-    import __spark_entry__ as E
+    from hrflow.plans import catalog
     from hrflow.session import build_session
     spark = build_session()
-    qs = E.queries()
+    qs = catalog.queries()
     for k in a.keys or list(qs):
         df = qs[k](spark, a.sf_dir)
         s, b, w, plan = audit(df)
