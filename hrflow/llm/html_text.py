@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import small_batches
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -275,6 +277,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Rows stand alone: repeats, NULL ids and empty tables need no care. Other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                           F.col("html").cast("string").alias("html"))
     return narrow.mapInArrow(_run, "page_id long, url string, text string, n_chars long")

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import small_batches
+
 ROUNDS = 8
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
@@ -269,6 +271,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", kinds: tup
     empty one empty, both with no places. Each row stands alone, so order, repeats and empty tables
     need no care.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(out_col).withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     names = docs.columns
     at = names.index(text_col)

@@ -10,12 +10,23 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+#: Bytes of an Arrow batch: texts are long, and a Python worker holds a few copies of a batch.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_BYTES`` unless it has set a size itself."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     The copy cuts the lineage and survives lost executors.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)

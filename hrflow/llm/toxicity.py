@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from . import tokens
-from .tables import materialise
+from .tables import materialise, small_batches
 
 LEADS = (4, 5, 6)
 FLOOR = 0.05  # marginals below it don't count as expected toxic words
@@ -414,6 +414,7 @@ def _score_sql(field: Field) -> str:
 
 def score(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id, score, spans`` of every row; a NULL, empty or blank text has score 0 and no spans."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(field)  # bounded by FitBounds.features
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return text.mapInArrow(_tag(sent), TAGGED).selectExpr("doc_id", f"{_score_sql(field)} AS score", "spans")
@@ -421,6 +422,7 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
 
 def without_toxic(docs: DataFrame, field: Field, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``, with all their columns and without a shuffle."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(field)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
