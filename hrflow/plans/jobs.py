@@ -34,50 +34,50 @@ class Layout:
     def p(self, rel: str) -> str:
         return f"{self.root.rstrip('/')}/{rel}"
 
-    # bronze inputs
+    # The folders in which the feeds arrive.
     @property
     def employee_in(self): return self.p("bronze/employee_data")
     @property
     def timeframe_inbox(self): return self.p("bronze/employee_timeframe_data/unprocessed")
     @property
-    def timeframe_processed(self): return self.p("bronze/processed")
-    @property
     def leave_in(self): return self.p("bronze/employee_leave_data")
     @property
     def quota_in(self): return self.p("bronze/employee_leave_quota_data")
     @property
     def calendar_in(self): return self.p("bronze/employee_calendar")
-    # silver / gold
+    # own folders
+    @property
+    def timeframe_processed(self): return self.p("bronze/archive")
     @property
-    def employee_gold(self): return self.p("gold/employee-data")
+    def employee_gold(self): return self.p("gold/employees")
     @property
-    def timeframe_landed(self): return self.p("silver/employee_timeframe_landed")
+    def timeframe_landed(self): return self.p("silver/job_history_landed")
     @property
-    def timeframe_silver_csv(self): return self.p("silver/employee_timeframe_data")
+    def timeframe_silver_csv(self): return self.p("silver/job_history_csv")
     @property
-    def timeframe_gold(self): return self.p("gold/employee-timeframe")
+    def timeframe_gold(self): return self.p("gold/job_history")
     @property
-    def leave_gold(self): return self.p("gold/employee_leave_data")
+    def leave_gold(self): return self.p("gold/leave")
     @property
-    def quota(self): return self.p("silver/employee_leave_quota")
+    def quota(self): return self.p("silver/leave_quota")
     @property
-    def calendar(self): return self.p("silver/employee_leave_calendar")
+    def calendar(self): return self.p("silver/holidays")
     @property
-    def dept_report(self): return self.p("gold/active_emp_by_desg")
+    def dept_report(self): return self.p("gold/report_headcount")
     @property
-    def anomaly_report(self): return self.p("gold/employee_leaves_count_info")
+    def anomaly_report(self): return self.p("gold/report_leave_share")
     @property
-    def usage_report(self): return self.p("gold/employees_80_percent_leave_used")
+    def usage_report(self): return self.p("gold/report_quota_use")
     @property
-    def alert_tracking(self): return self.p("silver/alerted_emp_ids_tracking")
+    def alert_tracking(self): return self.p("silver/alerted_employees")
     @property
-    def alert_texts(self): return self.p("gold/leave_alerts")
+    def alert_texts(self): return self.p("gold/alert_texts")
     @property
-    def strikes(self): return self.p("gold/employee_strikes")
+    def strikes(self): return self.p("gold/strikes")
     @property
-    def flag_log(self): return self.p("silver/flagged_messages")
+    def flag_log(self): return self.p("silver/flag_log")
     @property
-    def flag_log_retained(self): return self.p("silver/flagged_messages_retained")
+    def flag_log_retained(self): return self.p("silver/flag_log_retained")
     @property
     def checkpoints(self): return self.p("_checkpoints")
 
