@@ -103,7 +103,10 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", thres
             .select("h", F.col("b.license").alias("own_license"), (-F.col("b.m")).alias("similarity")))
     own = rows.select("path", "chars", F.when(F.col("header") != "", F.sha2("header", 256)).alias("h"),
                       F.length(F.regexp_replace("header", r"\s+", "")).alias("licensed"))
-    own = materialise(own.join(best, "h", "left").drop("h"), "license-own")
+    # files without a header take no part in the join: their NULL keys would meet in one task
+    bare = own.where("h is null").drop("h").withColumns({"own_license": F.lit(None).cast("string"),
+                                                         "similarity": F.lit(None).cast("double")})
+    own = materialise(own.where("h is not null").join(best, "h", "left").drop("h").unionByName(bare), "license-own")
     folder = F.regexp_replace("path", r"/?[^/]*$", "")
     holders = (own.where("own_license is not null and 2 * licensed >= chars")
                .select(folder.alias("folder"), "path", "own_license")
