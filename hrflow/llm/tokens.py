@@ -172,7 +172,7 @@ def shingle_sets(column: pa.Array, k: int):
             yield lo + int(rows[s]), part
 
 
-def pieces_of_rows(column: pa.Array, size: int = 4 << 20):
+def pieces_of_rows(column: pa.Array, size: int = 1 << 19):
     """Row ranges whose texts together have about ``size`` bytes (a longer text is a range of its own)."""
     _, off = buffers(column)
     n, lo = len(off) - 1, 0

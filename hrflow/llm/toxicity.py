@@ -352,7 +352,7 @@ def _tag(field, floor: float = FLOOR, carry: tuple[str, ...] = ()):
         model: Field = field.value
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("prob", pa.float64())]))
         for b in batches:
-            for lo, hi in tokens.pieces_of_rows(b.column(1), 1 << 20):
+            for lo, hi in tokens.pieces_of_rows(b.column(1)):
                 n_words, expected, top, spans = _tag_piece(b.column(1).slice(lo, hi - lo), hi - lo, model, floor)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(n_words), pa.array(expected), pa.array(top),
@@ -392,7 +392,7 @@ def _keep(field, column: str, threshold: float):
         model: Field = field.value
         for b in batches:
             text = pc.struct_field(b.column(0), column).cast(pa.string())
-            for lo, hi in tokens.pieces_of_rows(text, 1 << 20):
+            for lo, hi in tokens.pieces_of_rows(text):
                 words, expected, top, _ = _tag_piece(text.slice(lo, hi - lo), hi - lo, model, FLOOR)
                 clean = _doc_scores(words, expected, top, model) < threshold
                 yield b.slice(lo, hi - lo).filter(pa.array(clean))
