@@ -41,6 +41,9 @@ from .tables import connected_components, drop_table, materialise
 SKETCH_CELLS = 1 << 19
 SLICES = 32
 PASSES = 3
+#: Bits of the map that travels with the entries of long lists, and its columns.
+SIGN_BITS = 512
+SIGNS = [f"z{i}" for i in range(SIGN_BITS // 64)]
 SHORT = 8
 
 
@@ -118,7 +121,7 @@ def _scan_index(k: int, percent: int, levels):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(zlib.decompress(levels.value), np.uint8)
         for ids, text in _text_batches(batches):
-            rows, sizes, heads, maps = [], [], [], []
+            rows, sizes, heads, maps, signs = [], [], [], [], []
             for row, s in tokens.shingle_sets(text, k):
                 n = len(s)
                 p = n - (percent * n + 99) // 100 + 1
@@ -127,7 +130,9 @@ def _scan_index(k: int, percent: int, levels):
                 heads.append(s[np.argsort(key, kind="stable")[:p]].view(np.int64))
                 bits = np.zeros(_map_bits(n), np.uint8)
                 bits[s & np.uint64(len(bits) - 1)] = 1
-                maps.append(np.packbits(bits, bitorder="little").tobytes())
+                packed = np.packbits(bits, bitorder="little")
+                maps.append(packed.tobytes())
+                signs.append(_fold(packed, SIGN_BITS).view(np.int64))
                 rows.append(row)
                 sizes.append(n)
             if rows:
@@ -136,8 +141,9 @@ def _scan_index(k: int, percent: int, levels):
                     "n": pa.array(sizes, pa.int64()),
                     "head": pa.ListArray.from_arrays(np.cumsum([0, *map(len, heads)]).astype(np.int32),
                                                      pa.array(np.concatenate(heads))),
-                    "map": pa.array(maps, pa.binary())})
-    return scan, "doc_id long, n long, head array<long>, map binary"
+                    "map": pa.array(maps, pa.binary()),
+                    **{c: pa.array([x[i] for x in signs], pa.int64()) for i, c in enumerate(SIGNS)}})
+    return scan, "doc_id long, n long, head array<long>, map binary, " + ", ".join(f"{c} long" for c in SIGNS)
 
 
 def _map_bits(n: int) -> int:
@@ -256,7 +262,7 @@ def _component_of_classes(text: DataFrame, scanned: DataFrame, classes: DataFram
         component = connected_components(links, f"join-cc{turn}")
         if turn and last:
             break
-        lists = materialise(_live(lists, component), f"lists{turn + 1}")
+        lists = materialise(_live(lists, component, index), f"lists{turn + 1}")
         members, cross = lists.groupBy("tok").agg(F.first("m").alias("m"), F.first("cross").alias("c")).agg(
             F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0))).first()
         if not cross:
@@ -276,14 +282,15 @@ def _repeats(scanned: DataFrame) -> bool:
     return not ids.where("count > 1").isEmpty()
 
 
-def _live(lists: DataFrame, component: DataFrame) -> DataFrame:
-    """Lists that still hold several components, with members ``m`` and pairs ``cross`` across components."""
+def _live(lists: DataFrame, component: DataFrame, index: DataFrame) -> DataFrame:
+    """Lists that still hold several components, with members ``m``, pairs ``cross`` across components
+    and the folded bit maps of their sets."""
     rows = lists.select("tok", "cid", "n", "pos").join(component, F.col("cid") == F.col("id"), "left").select(
         "tok", "cid", "n", "pos", F.coalesce("component", "cid").alias("comp"))
     per = rows.groupBy("tok", "comp").agg(F.count("*").alias("c"))
     live = (per.groupBy("tok").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"))
             .select("tok", "m", F.expr("(m * m - sq) / 2").alias("cross")).where("cross > 0"))
-    return rows.join(live, "tok")
+    return rows.join(live, "tok").join(index.select("cid", "n", *SIGNS), ["cid", "n"])
 
 
 def _pair_columns(percent: int) -> str:
@@ -331,8 +338,9 @@ def _all_pairs(lists: DataFrame, first_found: DataFrame | None, percent: int) ->
 
 def _block_pairs(p: DataFrame, percent: int) -> DataFrame:
     q = p.withColumn("own", F.col("block")).withColumn("block", F.explode(F.expr("array(block, block - 1)")))
+    differ = " + ".join(f"bit_count(p.{c} ^ q.{c})" for c in SIGNS)
     return _as_pairs(p.alias("p").join(q.alias("q"), ["tok", "block"]).where(
-        f"({_pair_columns(percent)}) and (p.block < q.own or p.cid < q.cid) and "
+        f"({_pair_columns(percent)}) and {differ} <= p.n + q.n - 2 * {_needed('p.n', 'q.n', percent)} and (p.block < q.own or p.cid < q.cid) and "
         f"(p.d is null or q.d is null or abs(p.d - q.d) <= {1 - percent / 100} + 1e-9)"))
 
 
