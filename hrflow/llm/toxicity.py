@@ -20,7 +20,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -262,20 +262,20 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: FitBounds = FitBounds()) ->
         counts.withColumn("g", F.expr(f"2 * ({xlogx('t', x)} + {xlogx('o', f'(c * {n0 / (n0 + n1)!r}D)')})"))
         .withColumn("pure", F.expr(f"(t / {n1!r}D) / (t / {n1!r}D + o / {n0!r}D)")), "tox-counts")
     found = (counts.where("g >= 6 and pure > 0.5").orderBy(F.desc("g"), "feature").limit(bounds.features)
-             .select("feature", "t", "g", "pure").collect())
-    if not found:
+             .select("feature", "t", "g", "pure").toArrow())
+    if not len(found):
         return empty
     # a chance of one in two that any feature passes by chance (tail of chi-square, exp(-g / 2))
     least = 2 * float(np.log(2 * counts.count()))
-    hashes = np.array([r["feature"] for r in found], np.int64).view(np.uint64)
-    seeds = hashes[[r["pure"] >= 0.95 and r["g"] >= least for r in found]]
+    hashes, g, pure = (found.column(c).to_numpy() for c in ("feature", "g", "pure"))
+    hashes = hashes.view(np.uint64)
+    seeds = hashes[(pure >= 0.95) & (g >= least)]
     hashes = np.sort(hashes)
     cut = text.select("text", "label").mapInArrow(_windows(spark.sparkContext.broadcast(np.sort(seeds).tobytes()), bounds.width),
                           "kind int, pick long, f binary, y binary")
     cut = materialise(cut, "tox-windows")
-    rows: list[Row] = []
-    for kind in (0, 1):
-        rows += cut.where(f"kind = {kind}").orderBy("pick", "f").limit(bounds.windows).collect()
+    rows = pa.concat_tables([cut.where(f"kind = {kind}").orderBy("pick", "f").limit(bounds.windows).select("f", "y").toArrow()
+                             for kind in (0, 1)])
     return _calibrate(_train(rows, hashes, bounds.steps), text)
 
 
@@ -285,10 +285,10 @@ def _calibrate(field: Field, text: DataFrame) -> Field:
     stats = (text.select(F.monotonically_increasing_id().alias("doc_id"), "text", "label", "weight")
              .mapInArrow(_tag(sent, carry=("label", "weight")), f"{TAGGED}, label int, weight double")
              .where("n_words > 0").selectExpr(*[f"{x} AS x{i}" for i, x in enumerate(STATS)], "label", "weight"))
-    rows = np.array([list(r) for r in stats.collect()], float)
     k = len(STATS)
-    x = np.concatenate([np.ones((len(rows), 1)), rows[:, :k]], axis=1)
-    y, w = rows[:, k], rows[:, k + 1]
+    rows = stats.toArrow()
+    x = np.stack([np.ones(len(rows)), *(rows.column(i).to_numpy() for i in range(k))], axis=1)
+    y, w = rows.column("label").to_numpy().astype(float), rows.column("weight").to_numpy()
     theta = np.array(Field.doc)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
@@ -301,10 +301,10 @@ def _calibrate(field: Field, text: DataFrame) -> Field:
     return replace(field, doc=tuple(float(v) for v in theta))
 
 
-def _train(rows: list[Row], hashes: np.ndarray, steps: int) -> Field:
+def _train(rows: pa.Table, hashes: np.ndarray, steps: int) -> Field:
     """Gradient ascent (Adam) on the penalised conditional log-likelihood of the windows."""
-    feats = [np.frombuffer(bytes(r["f"]), np.uint64).reshape(KINDS, -1) for r in rows]
-    y = np.concatenate([np.frombuffer(bytes(r["y"]), np.uint8) for r in rows]).astype(float)
+    feats = [np.frombuffer(x.as_buffer(), np.uint64).reshape(KINDS, -1) for x in rows.column("f")]
+    y = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in rows.column("y")]).astype(float)
     first = np.zeros(len(y), bool)
     first[np.concatenate([[0], np.cumsum([f.shape[1] for f in feats])[:-1]]).astype(int)] = True
     f = np.concatenate(feats, axis=1)
