@@ -14,15 +14,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def lenient_double(c) -> Column:
-    return _col(c).try_cast("double")
-
-
-def lenient_long(c) -> Column:
-    """'1700000000.0' -> 1700000000, ' 17 ' -> 17, '' / 'abc' -> NULL."""
-    return _col(c).try_cast("double").try_cast("bigint")
-
-
 def lenient_int(c) -> Column:
     """'1.5' -> 1, '0.5' -> 0, 'abc' -> NULL (truncation toward zero)."""
     return _col(c).try_cast("double").try_cast("int")

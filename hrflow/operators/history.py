@@ -32,9 +32,9 @@ def normalize_timeframe(df: DataFrame) -> DataFrame:
     return df.selectExpr(
         "CAST(emp_id AS STRING) AS emp_id",
         "CAST(designation AS STRING) AS designation",
-        "try_cast(try_cast(start_date AS DOUBLE) AS BIGINT) AS start_date",   # = lenient_long
+        "try_cast(try_cast(start_date AS DOUBLE) AS BIGINT) AS start_date",
         "try_cast(try_cast(end_date AS DOUBLE) AS BIGINT) AS end_date",
-        "try_cast(salary AS DOUBLE) AS salary",                                # = lenient_double
+        "try_cast(salary AS DOUBLE) AS salary",
     )
 
 
