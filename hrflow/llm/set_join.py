@@ -269,7 +269,7 @@ def _component_of_classes(text: DataFrame, scanned: DataFrame, classes: DataFram
             break
         seen = pairs.select("a", "b")
         tested = seen if tested is None else tested.unionByName(seen)
-        few = cross <= 64 * members
+        few = cross <= 256 * members
         last = few or turn + 2 == PASSES
         pairs = _all_pairs(lists, None if few else first_found, percent) if last else _pivot_pairs(lists, percent, turn + 1)
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
