@@ -56,6 +56,50 @@ def test_rounds_give_the_same(spark, planted, monkeypatch):
     assert len(got) == len(docs) and {r.doc_id for r in got if r.contaminated} == truth
 
 
+def exact(docs, items, min_overlap=0.6, min_answer=0.5):
+    """Documents with a covered item: every window against every passage, without a choice of candidates."""
+    def lcs(x, y):
+        t = [0] * (len(y) + 1)
+        for a in x:
+            old = 0
+            for j, b in enumerate(y, 1):
+                old, t[j] = t[j], old + 1 if a == b else max(t[j], t[j - 1])
+        return t[-1]
+
+    out = set()
+    for i, text in docs:
+        w = text.lower().split()
+        windows = [w[s:s + 64] for s in range(0, len(w), 32)]
+        for _, item in items:
+            own = item.split()
+            parts = [[own[k] for k in p] for p in np.array_split(np.arange(len(own)), -(-len(own) // 32))]
+            near = [v for v in windows if sum(x in set(v) for x in own) >= 0.4 * len(parts[0])]
+            sizes = [[lcs(p, v) for v in near] for p in parts]
+            good = [v for j, v in enumerate(near) if any(x[j] >= 0.4 * len(p) for x, p in zip(sizes, parts))]
+            overlap = sum(max((y for y in x if y >= 0.4 * len(p)), default=0) for x, p in zip(sizes, parts)) / len(own)
+            if overlap >= min_overlap and any(lcs(own[-6:], v) >= min_answer * len(own[-6:]) for v in good):
+                out.add(i)
+                break
+    return out
+
+
+def test_short_items_in_long_texts_are_found(spark):
+    rng = random.Random(4)
+    words = lambda n: [rng.choice(VOCABULARY) + (rng.choice("xyzvw") if rng.random() < 0.6 else "") for _ in range(n)]
+    items = [(i, " ".join(words(rng.randint(5, 15)))) for i in range(400)]
+    docs, planted = [], set()
+    for i in range(120):
+        text = words(rng.randint(150, 300))
+        if i % 2:
+            at = rng.randrange(len(text))
+            text[at:at] = items[i][1].split()
+            planted.add(i)
+        docs.append((i, " ".join(text)))
+    got = {r.doc_id for r in decontam.contaminated(frame(spark, docs), bench(spark, items)).where("contaminated = 1").collect()}
+    assert planted <= got
+    assert got == exact(docs, items)
+
+
 def test_edges(spark, planted):
     docs, items, _ = planted
     odd = [(1, None), (2, ""), (3, " \n "), (4, "a " * 50_000), (None, items[0][1]), (5, items[0][1]), (5, items[0][1])]
