@@ -100,6 +100,22 @@ def test_short_items_in_long_texts_are_found(spark):
     assert got == exact(docs, items)
 
 
+def test_cut_items_and_reworded_endings_are_found(spark):
+    rng = random.Random(5)
+    words = lambda n: [rng.choice(VOCABULARY) + rng.choice("xyzvw") for _ in range(n)]
+    own = {i: words(n) for i, n in enumerate((56, 40, 56, 18, 16, 40))}
+    new = lambda n: [f"new{j}" for j in range(n)]
+    texts = {0: own[0][:50], 1: own[1][:34], 2: own[2][:-6] + new(6), 3: own[3][:-6] + new(6), 4: own[4][:-6] + new(6),
+             5: own[5][:26], 6: own[5][:2] + new(3) + own[5][5:18] + new(3) + own[5][21:34] + new(6)}
+    docs = [(i, " ".join(words(90) + t + words(90))) for i, t in texts.items()]
+    items = [(i, " ".join(w)) for i, w in own.items()]
+    got = {r.doc_id for r in decontam.contaminated(frame(spark, docs), bench(spark, items)).where("contaminated = 1").collect()}
+    assert got == {0, 1, 2, 3, 4}
+    given = bench(spark, items).withColumn("answer", F.when(F.col("item_id") < 2, F.lit("quite another answer here")))
+    got = decontam.contaminated(frame(spark, docs), given, answer_col="answer").where("contaminated = 1").collect()
+    assert {r.doc_id for r in got} == {2, 3, 4}
+
+
 def test_edges(spark, planted):
     docs, items, _ = planted
     odd = [(1, None), (2, ""), (3, " \n "), (4, "a " * 50_000), (None, items[0][1]), (5, items[0][1]), (5, items[0][1])]
