@@ -1,9 +1,10 @@
 """Licences of files: TF-IDF cosine of headers and licence files to templates, inherited by folder.
 
 A header is a run of lines of a text that speaks of a licence; a licence file is a text that
-consists mostly of such lines. Word weights are counted over all texts; a header is compared
-with every template by cosine over sparse TF-IDF vectors and gets the best one above the
-threshold. A file without a licence of its own takes that of the nearest folder above it that
+consists mostly of such lines. Word weights are counted over all texts; the headers of a text,
+each by itself and all together, their sentences and overlapping windows of their words are
+compared with every template by cosine over sparse TF-IDF vectors, and the text gets the best
+one above the threshold. A file without a licence of its own takes that of the nearest folder above it that
 holds a licence file: paths are joined to their ancestor folders, the longest match wins.
 """
 
@@ -43,6 +44,9 @@ TEMPLATES = {
 #: A line that may belong to a licence header.
 LINE = r"(?i)licen[sc]e|licensed|copyright|spdx|public domain|creative commons|redistribut|permission is hereby|all rights reserved|\bcc[ -]?(by|0)\b"
 TERM = r"[a-z0-9]+"
+#: Windows of longer headers (words, step), and the least cosine of a window: fixed wording without a name stays below.
+WINDOWS = ((8, 2), (24, 8))
+WINDOW_COSINE = 0.5
 
 
 def _terms(text) -> F.Column:
@@ -54,6 +58,24 @@ def _terms(text) -> F.Column:
     return F.concat(one, F.coalesce(two, F.array().cast("array<string>")))
 
 
+def _pieces(headers: DataFrame) -> DataFrame:
+    """``c, header``: all headers of a text, each of them, their sentences and their windows; ``c`` is ``h#kind#number``."""
+    speaks = lambda x: F.rlike(x, F.lit(LINE))
+    runs = F.split("header", r"\n\n")
+    sentences = F.filter(F.flatten(F.transform(runs, lambda x: F.split(x, r"(?<=[.:;])\s+"))), speaks)
+
+    def cut(run, n: int, step: int):
+        words = F.split(F.trim(run), r"\s+")
+        at = F.when(F.size(words) > n, F.sequence(F.lit(1), F.size(words), F.lit(step)))
+        return F.coalesce(F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " ")), F.array().cast("array<string>"))
+
+    windows = F.filter(F.flatten(F.transform(runs, lambda x: F.concat(*[cut(x, *w) for w in WINDOWS]))), speaks)
+    kinds = [("text", F.array_distinct(F.concat(F.array("header"), runs, sentences))), ("window", F.array_distinct(windows))]
+    out = [headers.select("h", F.posexplode(pieces)).select(F.concat_ws("#", "h", F.lit(kind), "pos").alias("c"), F.col("col").alias("header"))
+           for kind, pieces in kinds]
+    return out[0].unionByName(out[1])
+
+
 def _vector(headers: DataFrame, key: str, idf: DataFrame) -> DataFrame:
     """Unit TF-IDF rows ``(key, term, w)``."""
     tf = headers.select(key, F.explode(_terms(F.col("header"))).alias("term")).groupBy(key, "term").count()
@@ -73,12 +95,13 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", thres
     """
     spark = files.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.rlike(x, F.lit(LINE)))
+    lines = F.transform(F.split(text, r"\r?\n"), lambda x: F.when(F.rlike(x, F.lit(LINE)), x).otherwise(""))
+    header = F.trim(F.regexp_replace(F.array_join(lines, "\n"), r"\n{2,}", "\n\n"), F.lit("\n"))  # runs of lines
     rows = files.where(F.col(f"`{path_col}`").isNotNull()).select(
-        F.col(f"`{path_col}`").cast("string").alias("path"), F.array_join(lines, "\n").alias("header"),
+        F.col(f"`{path_col}`").cast("string").alias("path"), header.alias("header"),
         F.length(F.regexp_replace(text, r"\s+", "")).alias("chars"))
     rows = materialise(rows.groupBy("path").agg(
-        F.array_join(F.sort_array(F.collect_set(F.when(F.col("header") != "", F.col("header")))), "\n").alias("header"),
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("header") != "", F.col("header")))), "\n\n").alias("header"),
         F.sum("chars").alias("chars")), "license-files")
     # equal headers are scored once
     headers = rows.where("header != ''").groupBy("header").agg(F.count("*").alias("files")).withColumn(
@@ -93,10 +116,13 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", thres
     vocabulary = known.select(F.explode(_terms(F.col("header"))).alias("term")).distinct()
     idf = materialise(vocabulary.join(df, "term", "full").select(
         "term", F.log((1.0 + total) / (1 + F.coalesce("df", F.lit(0)))).alias("idf")).where("idf > 0"), "license-idf")
-    mine = _vector(headers, "h", idf)
+    mine = _vector(materialise(_pieces(headers), "license-pieces"), "c", idf)
     theirs = materialise(_vector(known, "part", idf), "license-templates")  # a few hundred rows of fixed text
-    cosine = (mine.alias("x").join(theirs.alias("y"), "term").groupBy("h", "part")
+    cosine = (mine.alias("x").join(theirs.alias("y"), "term").groupBy("c", "part")
               .agg(F.sum(F.col("x.w") * F.col("y.w")).alias("cosine")))
+    least = F.when(F.substring_index(F.substring_index("c", "#", 2), "#", -1) == "window",
+                   max(threshold, WINDOW_COSINE)).otherwise(threshold)
+    cosine = cosine.where(F.round("cosine", 9) >= least).withColumn("h", F.substring_index("c", "#", 1))
     best = (cosine.withColumn("license", F.substring_index("part", "#", 1)).groupBy("h", "license")
             .agg(F.round(F.max("cosine"), 9).alias("cosine")).where(F.col("cosine") >= threshold)
             .groupBy("h").agg(F.min(F.struct((-F.col("cosine")).alias("m"), "license")).alias("b"))

@@ -153,3 +153,17 @@ def test_licenses_own_and_inherited(spark):
     assert got["a/b/deep/er/w.py"] == (None, "GPL-3.0", "a/b/NOTICE")
     assert got["z/q.py"] == got["ab/x.py"] == got["top.py"] == got["e.py"] == (None, None, None)
     assert lic.scan(df.limit(0)).count() == 0
+
+
+def test_licenses_among_other_words(spark):
+    apache, gpl = "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
+    other = lambda n, tag: " ".join(f"{tag}word{j}" for j in range(n))
+    files = [(f"d{n}", other(n, "a") + " " + apache[:-1].lower() + " " + other(n, "b")) for n in (5, 10, 20, 3000)]
+    files += [("g", other(40, "c") + " and " + gpl + " " + other(40, "d")),
+              ("two", apache + "\n" + "code here\n" * 3 + other(12, "e") + " the licence of the shop and its copyright " + other(12, "f")),
+              ("plain", other(20, "g") + " under the license of the state he drove " + other(20, "h")),
+              ("copyright", "Copyright 2020 " + other(30, "i"))]
+    files += [(f"no{j}", "an ordinary text") for j in range(300)]
+    got = {r.path: r.own_license for r in lic.scan(spark.createDataFrame(files, "path string, text string")).collect() if r.path[:2] != "no"}
+    assert got == {"d5": "Apache-2.0", "d10": "Apache-2.0", "d20": "Apache-2.0", "d3000": "Apache-2.0", "g": "GPL-3.0",
+                   "two": "Apache-2.0", "plain": None, "copyright": None}
