@@ -4,7 +4,8 @@ Blocks of text pass points for length and commas to their parent, half to the gr
 and a third to the next; a container's points are discounted by its link density. The best
 container is widened to the article or main element that holds it, or else joined by those
 siblings that look like text; menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are left out by element, role and class or id words.
+reader comments are left out by element, role and class or id words, unless they hold the article
+or most of the page's text.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ NOISE = set("ad ads adv advert adverts advertisement advertising banner breadcru
             "notification pagination pager popup promo promotion related recommended respond reply replies sharing share "
             "sidebar sidebars signup skyscraper social sponsor sponsored subscribe subscription tags toolbar widget widgets "
             "login paywall outbrain taboola copyright".split())
+#: Never taken for the main text, however long; nor is what is hidden.
+REPLIES = set("comment comments disqus respond reply replies related recommended".split())
+#: An article of so many characters outside of page furniture is enough.
+ENOUGH = 250
 KEEP = {"article", "main", "body", "html"}
 #: Elements closed by the opening of one of the named elements.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
@@ -49,9 +54,10 @@ STOP_CLOSING = {"table", "ul", "ol", "dl", "div", "section", "article", "body",
 class Node:
     """An element: children are nodes and strings; points, text length and linked length of its kept text."""
 
-    __slots__ = ("tag", "parent", "children", "noise", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "children", "noise", "fixed", "points", "length", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool):
+    def __init__(self, tag: str, parent: Node | None, noise: bool, fixed: bool = False):
+        self.fixed = fixed
         self.tag, self.parent, self.noise = tag, parent, noise
         self.children: list[Node | str] = []
         self.points = 0.0
@@ -75,6 +81,19 @@ def _is_noise(tag: str, token: str) -> bool:
     return False
 
 
+def _is_fixed(tag: str, token: str) -> bool:
+    """Noise whatever it holds."""
+    if tag in ("head", "select", "option", "svg", "math", "dialog", "footer"):
+        return True
+    for name, a, b, c in ATTRIBUTE.findall(token):
+        name, value = name.lower(), (a or b or c).lower()
+        if name in ("class", "id") and any(
+                not REPLIES.isdisjoint(WORDS.findall(x)) for x in value.split() if not x.startswith(("has-", "no-", "with-"))) or name == "aria-hidden" and value == "true" \
+                or name == "hidden" and not value or name == "style" and re.search(r"display\s*:\s*none", value):
+            return True
+    return False
+
+
 def parse(page: str) -> Node:
     """Element tree of a page; unclosed, misnested and unknown tags are repaired."""
     root = node = Node("html", None, False)
@@ -122,13 +141,49 @@ def parse(page: str) -> Node:
                 break
         if tag in ("html", "body"):
             continue
-        child = Node(tag, node, _is_noise(tag, token))
+        noise = _is_noise(tag, token)
+        child = Node(tag, node, noise, noise and _is_fixed(tag, token))
         node.children.append(child)
         if tag not in VOID and not token.endswith("/>"):
             node = child
     return root
 
 
+def _rescue(root: Node) -> None:
+    """Noise that holds the article or most of the page's text counts as no noise."""
+    order, stack = [], [(root, False, False)]
+    text: dict[int, int] = {}  # unlinked text of an element, and of the articles in or around it
+    article: dict[int, int] = {}
+    outside = 0
+    while stack:
+        node, linked, hidden = stack.pop()
+        if node.fixed:
+            continue
+        order.append(node)
+        linked, hidden = linked or node.tag == "a", hidden or node.noise
+        own = 0 if linked else sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        text[id(node)], article[id(node)] = own, 0
+        if not hidden and own:
+            up = node
+            while up is not None and up.tag not in ("article", "main"):
+                up = up.parent
+            outside += own if up is not None else 0
+        stack.extend((c, linked, hidden) for c in node.children if not isinstance(c, str))
+    if outside >= ENOUGH:
+        return
+    for node in reversed(order):
+        if node.tag in ("article", "main"):
+            article[id(node)] = text[id(node)]
+        if node.parent is not None:
+            text[id(node.parent)] += text[id(node)]
+            article[id(node.parent)] += article[id(node)]
+    for node in order:
+        own, whole = text[id(node)], text[id(root)]
+        most = 2 * own > whole and own > 4 * outside and (own >= ENOUGH or own == whole)
+        if node.noise and (most or article[id(node)] > outside):
+            node.noise = False
+
+
 def _measure(root: Node) -> None:
     """Kept text length and linked length of every element, bottom up."""
     order, stack = [], [(root, False)]
@@ -258,6 +313,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _rescue(root)
     _measure(root)
     if not root.length:
         return ""

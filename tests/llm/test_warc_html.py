@@ -96,3 +96,17 @@ def test_extract_edges(spark):
     got = sorted(((r.page_id, r.text, r.n_chars) for r in html_text.extract(df).collect()), key=str)
     assert got == sorted([(1, "", 0), (None, "x", 1), (2, "deep", 4), (2, "x", 1)], key=str)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="content with-sidebar"><article>{}</article></div>', '<div id="menu-page"><article>{}</article></div>',
+    '<div class="has-share layout"><div>{}</div></div>',
+    '<div class="has-comments"><article>{}</article></div>', '<form id=aspnetForm method=post><div>{}</div></form>',
+    '<form id=aspnetForm><div class="has-share layout"><main>{}</main></div></form>',
+    '<nav><a href="/">Home page of all</a><div>{}</div>'])
+def test_wrappers_with_class_words_keep_their_article(page):
+    from hrflow.llm.html_text import main_text
+    body = "".join(f"<p>Paragraph {i} tells at some length, with commas, of what was seen.</p>" for i in range(8))
+    side = '<div class="sidebar"><p>Read other things here.</p></div><div class="comments"><p>' + "So true, I say. " * 90 + "</p></div>"
+    got = main_text(f"<html><body>{page.format(body + side)}</body></html>")
+    assert all(f"Paragraph {i} tells" in got for i in range(8)) and "So true" not in got and "Read other" not in got
