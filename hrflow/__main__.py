@@ -45,14 +45,16 @@ def main(argv=None):
     else:
         from .sources.files import read_json_string_array
         from .sources.stream import stream_json_files, stream_kafka
-        from .streaming.monitor import start_monitor
+        from .streaming.monitor import start_monitor, start_strikes
         words = read_json_string_array(spark, a.words)
         if a.kafka:
             source = stream_kafka(spark, a.kafka, a.topic, max_offsets_per_trigger=a.max_offsets)
         else:
             source = stream_json_files(spark, a.inbox)
         cfg = jobs.monitor_config(lay, a.trigger_seconds, kafka_input=bool(a.kafka))
-        start_monitor(spark, source, words, cfg).awaitTermination()
+        start_strikes(spark, source, words, cfg)
+        start_monitor(spark, source, words, cfg)
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -22,7 +23,8 @@ from ..sources.spine import date_spine
 from ..sources.stream import stream_json_files
 from ..operators import history as H, leave as L, messages as M, reports as R, strikes as K
 from ..streaming.ingest import ingest_new_files
-from ..streaming.monitor import MonitorConfig, init_strike_store, read_strikes, start_monitor
+from ..streaming.monitor import (
+    MonitorConfig, init_strikes, read_strikes, start_monitor, start_strikes, store_salaries, strike_totals)
 
 # Fixed run keys and parameters of the registered queries.
 RUN_DATE = "2024-01-02"
@@ -429,39 +431,59 @@ def q_suspended_report(spark, d):
 
 
 # streaming --------------------------------------------------------------------------
-def _message_stream(spark, d, name, strikes=False, enrich=False) -> MonitorConfig:
+def _message_stream(spark, d, name, **settings) -> tuple[MonitorConfig, DataFrame]:
+    """Settings and source of a stream over the message table as four files, one per batch."""
     base = _out(spark, name)
     inbox = f"{base}/inbox"
     _split_files(fx.x_message(spark, d), 4).write.mode("overwrite").json(inbox)
-    cfg = MonitorConfig(log_path=f"{base}/log", checkpoint=f"{base}/checkpoint", trigger_seconds=None, name=name)
-    if strikes or enrich:
-        cfg.timeframe_path = f"{base}/timeframe"
-        sink_files.write_partitioned(timeframe_gold(spark, d), cfg.timeframe_path, ["status"])
-    if strikes:
-        cfg.strikes_root = f"{base}/strikes"
-        init_strike_store(spark, cfg, fx.x_strikes(spark, d))
-    if enrich:
-        cfg.enriched_path = f"{base}/enriched"
-    q = start_monitor(spark, stream_json_files(spark, inbox, 1), fx.x_marked(spark), cfg)
-    q.awaitTermination()
-    return cfg
+    cfg = MonitorConfig(log_path=f"{base}/log", checkpoint=f"{base}/checkpoint", trigger_seconds=None, name=name,
+                        **{k: f"{base}/{v}" for k, v in settings.items()})
+    if cfg.salaries_root is not None:
+        store_salaries(spark, cfg, timeframe_gold(spark, d))
+    return cfg, stream_json_files(spark, inbox, 1)
 
 
 def q_stream_flag_log(spark, d):
-    cfg = _message_stream(spark, d, "t1")
+    cfg, source = _message_stream(spark, d, "t1")
+    start_monitor(spark, source, fx.x_marked(spark), cfg).awaitTermination()
     return spark.read.parquet(cfg.log_path).select("employee_id", "role")
 
 
 def q_stream_strikes(spark, d):
-    cfg = _message_stream(spark, d, "t2", strikes=True)
+    cfg, source = _message_stream(spark, d, "t2", strikes_root="strikes", salaries_root="salaries")
+    init_strikes(spark, cfg, fx.x_strikes(spark, d))
+    start_strikes(spark, source, fx.x_marked(spark), cfg).awaitTermination()
     return read_strikes(spark, cfg)
 
 
 def q_stream_salary_enrich(spark, d):
-    cfg = _message_stream(spark, d, "t3", enrich=True)
+    cfg, source = _message_stream(spark, d, "t3", salaries_root="salaries", enriched_path="enriched")
+    start_monitor(spark, source, fx.x_marked(spark), cfg).awaitTermination()
     return spark.read.parquet(cfg.enriched_path).select("employee_id", "role", "salary")
 
 
+def q_stream_restart(spark, d):
+    """Both queries are killed in their third batch, after its work and before its commit, and
+    restarted from their checkpoints: strikes per employee in the log and in the state."""
+    cfg, source = _message_stream(spark, d, "t4")
+
+    def killed(query, batch):
+        if batch == 2:
+            raise RuntimeError(f"{query}: killed before the commit of batch {batch}")
+
+    for start in (start_monitor, start_strikes):
+        cfg.after_batch = killed
+        try:
+            start(spark, source, fx.x_marked(spark), cfg).awaitTermination()
+        except StreamingQueryException as e:
+            if "killed before the commit" not in str(e):
+                raise
+        cfg.after_batch = None
+        start(spark, source, fx.x_marked(spark), cfg).awaitTermination()
+    logged = spark.read.parquet(cfg.log_path).groupBy("employee_id").agg(F.count("*").alias("logged"))
+    return logged.join(strike_totals(spark, cfg).withColumnRenamed("total", "counted"), "employee_id", "full")
+
+
 # registry ---------------------------------------------------------------------------
 KEYS = [
     # sources
@@ -484,7 +506,7 @@ KEYS = [
     "strike_cooldown", "flag_log_retention", "strike_leaderboard", "strike_stats", "flag_log_recent",
     "suspended_report",
     # streaming
-    "stream_flag_log", "stream_strikes", "stream_salary_enrich",
+    "stream_flag_log", "stream_strikes", "stream_salary_enrich", "stream_restart",
 ]
 
 

@@ -23,13 +23,13 @@ from ..operators import history as H, leave as L, reports as R, strikes as K
 from ..session import ensure_defaults
 from ..sinks import files as SF, snapshot
 from ..sources import files as SRC
+from ..streaming import monitor
 from ..streaming.ingest import ingest_new_files, landed_batches, numbered_folders, read_landed
 
 
 @dataclass
 class Layout:
     root: str
-    strike_buckets: int = 8        # hash buckets of the strike table (see sinks.snapshot)
 
     def p(self, rel: str) -> str:
         return f"{self.root.rstrip('/')}/{rel}"
@@ -75,6 +75,8 @@ class Layout:
     @property
     def strikes(self): return self.p("gold/strikes")
     @property
+    def salaries(self): return self.p("gold/current_salaries")
+    @property
     def flag_log(self): return self.p("silver/flag_log")
     @property
     def flag_log_retained(self): return self.p("silver/flag_log_retained")
@@ -118,8 +120,8 @@ def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
     def once():
         parent = snapshot.current_version(spark, lay.timeframe_gold)
         landed = landed_batches(spark, lay.timeframe_landed)
-        waiting = [(f"landed:{q}:{n}", path) for q, n, path in landed
-                   if not snapshot.is_applied(spark, lay.timeframe_gold, f"landed:{q}:{n}")]
+        merged = snapshot.applied(spark, lay.timeframe_gold)
+        waiting = [(f"landed:{q}:{n}", path) for q, n, path in landed if not merged(f"landed:{q}:{n}")]
         if not waiting:
             return parent
         # silver: the files of each run concerned as dated intervals, CSV with header, one partition per run
@@ -137,29 +139,20 @@ def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
 
 
 def run_strike_sync(spark: SparkSession, lay: Layout, run_date: str) -> None:
-    """J37: active salaries into the strike table (new version; folds the stream's deltas in)."""
+    """T3's salary table, then J37: active salaries into the strike table, with what the stream has
+    counted so far."""
     tf = current_timeframe(spark, lay)
     if tf is None:
         return
-    _rewrite_strikes(spark, lay, f"sync:{run_date}", lambda stored: K.sync_strikes(stored, K.current_salaries(tf)))
-
-
-def _rewrite_strikes(spark: SparkSession, lay: Layout, key: str, change) -> None:
-    """Commit ``change(strike table)`` as a whole table, unless ``key`` was applied; taken up again on
-    what the stream has committed meanwhile."""
-    def once():
-        parent = snapshot.current_version(spark, lay.strikes)
-        if snapshot.is_applied(spark, lay.strikes, key):
-            return parent
-        return snapshot.commit_base(spark, lay.strikes, change(read_strikes(spark, lay)), "employee_id",
-                                    lay.strike_buckets, key, parent)
-
-    snapshot.retrying(once)
+    cfg = monitor_config(lay)
+    monitor.store_salaries(spark, cfg, tf)
+    salaries = snapshot.read_current(spark, lay.salaries, monitor.SALARIES).select("employee_id", "salary")
+    monitor.rewrite_strikes(spark, cfg, f"sync:{run_date}", lambda stored: K.sync_strikes(stored, salaries))
 
 
 def read_strikes(spark: SparkSession, lay: Layout) -> DataFrame:
-    """The strike table: bucketed base plus the stream's deltas."""
-    return snapshot.read_keyed(spark, lay.strikes, schemas.STRIKES, "employee_id")
+    """The strike table: the stored one plus what the stream has counted since."""
+    return monitor.read_strikes(spark, monitor_config(lay))
 
 
 def run_leave(spark: SparkSession, lay: Layout, run_date: str, run_ts: str) -> None:
@@ -203,12 +196,10 @@ def run_daily(spark: SparkSession, lay: Layout, run_date: str, run_ts: str | Non
 
 
 # monthly ----------------------------------------------------------------------------------
-def monitor_config(lay: Layout, trigger_seconds: int | None = 10, kafka_input: bool = False):
-    """Stream settings that share this layout's strike store, history and flag log."""
-    from ..streaming.monitor import MonitorConfig
-    return MonitorConfig(log_path=lay.flag_log, checkpoint=f"{lay.checkpoints}/monitor", strikes_root=lay.strikes,
-                         timeframe_path=lay.timeframe_gold, timeframe_is_snapshot=True,
-                         trigger_seconds=trigger_seconds, kafka_input=kafka_input, buckets=lay.strike_buckets)
+def monitor_config(lay: Layout, trigger_seconds: int | None = 10, kafka_input: bool = False) -> monitor.MonitorConfig:
+    """Stream settings that share this layout's strike table, salaries and flag log."""
+    return monitor.MonitorConfig(log_path=lay.flag_log, checkpoint=f"{lay.checkpoints}/monitor", strikes_root=lay.strikes,
+                                 salaries_root=lay.salaries, trigger_seconds=trigger_seconds, kafka_input=kafka_input)
 
 
 def run_monthly(spark: SparkSession, lay: Layout, run_date: str) -> None:
@@ -228,15 +219,16 @@ def run_monthly(spark: SparkSession, lay: Layout, run_date: str) -> None:
         SF.write_alert_texts(R.render_alert_text(new, run_date), lay.alert_texts)
         snapshot.commit(spark, lay.alert_tracking, R.update_tracking(tracking, new), key)
 
-    if snapshot.current_version(spark, lay.strikes) is not None:
-        _rewrite_strikes(spark, lay, f"cooldown:{run_date}", K.cooldown)
+    if snapshot.current_version(spark, lay.strikes) is not None or monitor.started(spark, monitor_config(lay)):
+        monitor.rewrite_strikes(spark, monitor_config(lay), f"cooldown:{run_date}", K.cooldown)
         run_log_retention(spark, lay, run_date)
 
 
 def _live_log(spark: SparkSession, lay: Layout) -> list[tuple[str, int, str]]:
     """Batches of the stream's log that the retained log does not hold yet."""
+    taken = snapshot.applied(spark, lay.flag_log_retained)
     return [(q, n, path) for q, n, path in numbered_folders(spark, f"{lay.flag_log}/query_id=*/batch_id=*")
-            if not snapshot.is_applied(spark, lay.flag_log_retained, f"log:{q}:{n}")]
+            if not taken(f"log:{q}:{n}")]
 
 
 def run_log_retention(spark: SparkSession, lay: Layout, run_date: str) -> None:
@@ -255,8 +247,9 @@ def run_log_retention(spark: SparkSession, lay: Layout, run_date: str) -> None:
                                parent=parent)
 
     snapshot.retrying(once)
+    taken = snapshot.applied(spark, lay.flag_log_retained)
     for q, n, path in numbered_folders(spark, f"{lay.flag_log}/query_id=*/batch_id=*"):
-        if snapshot.is_applied(spark, lay.flag_log_retained, f"log:{q}:{n}"):
+        if taken(f"log:{q}:{n}"):
             SF.delete_folder(spark, path)
 
 

@@ -401,6 +401,7 @@ ORDER BY no_of_strikes DESC NULLS LAST, employee_id ASC NULLS LAST LIMIT 10""",
     # streaming
     "stream_flag_log": "SELECT * FROM ev",
     "stream_strikes": "SELECT * FROM batch_applied",
+    "stream_restart": "SELECT employee_id, count(*) AS logged, count(*) AS counted FROM ev GROUP BY employee_id",
     "stream_salary_enrich": "SELECT ev.employee_id, ev.role, sal.salary FROM ev LEFT JOIN sal ON ev.employee_id = sal.employee_id",
 }
 

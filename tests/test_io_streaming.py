@@ -6,7 +6,6 @@ from conftest import rows
 from hrflow import schemas
 from hrflow.sinks import files as SF, snapshot
 from hrflow.sources import files as SRC
-from hrflow.streaming.monitor import MonitorConfig, process_batch, read_strikes, start_monitor
 from hrflow.sources.stream import stream_json_files
 
 MSG = "sender string, receiver string, message string"
@@ -61,29 +60,6 @@ def test_snapshot_commit_and_crash_safety(spark, tmp_dir):
     assert snapshot.read_current(spark, root).first().n == 2
 
 
-def test_keyed_store_merge_on_read(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "keyed")
-    sch = "employee_id string, n int"
-    base = spark.createDataFrame([(str(i), i) for i in range(20)], sch)
-    snapshot.commit_base(spark, root, base, "employee_id", 4)
-    snapshot.commit_delta(spark, root, spark.createDataFrame([("3", 30), ("new", 1)], sch), "b1")
-    snapshot.commit_delta(spark, root, spark.createDataFrame([("3", 300)], sch), "b2")
-    from pyspark.sql import types as T
-    schema = T._parse_datatype_string(sch)
-    cur = {r.employee_id: r.n for r in snapshot.read_keyed(spark, root, schema, "employee_id").collect()}
-    assert len(cur) == 21 and cur["3"] == 300 and cur["new"] == 1 and cur["5"] == 5
-    only = spark.createDataFrame([("3",), ("5",)], "employee_id string")
-    sub = snapshot.read_keyed(spark, root, schema, "employee_id", only=only)
-    assert rows(sub) == [("3", 300), ("5", 5)]
-    plan = sub._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(__bucket" in plan
-    # another bucket count: stored with the table, so readers follow
-    snapshot.commit_base(spark, root, snapshot.read_keyed(spark, root, schema, "employee_id"), "employee_id", 7)
-    assert rows(snapshot.read_keyed(spark, root, schema, "employee_id", only=only)) == [("3", 300), ("5", 5)]
-    assert snapshot.layout(spark, root)[1] == []
-    assert {r.employee_id: r.n for r in snapshot.read_keyed(spark, root, schema, "employee_id").collect()} == cur
-
-
 def _stream_setup(spark, tmp_dir, n_files=3):
     inbox = os.path.join(tmp_dir, "inbox")
     msgs = spark.createDataFrame([(str(i), str(i + 1), "that is it" if i % 2 else "nothing") for i in range(30)], MSG)
@@ -92,34 +68,6 @@ def _stream_setup(spark, tmp_dir, n_files=3):
     return inbox, msgs, words
 
 
-def test_stream_log_and_strikes_equal_batch(spark, tmp_dir):
-    from hrflow.operators import messages as M, strikes as K
-    inbox, msgs, words = _stream_setup(spark, tmp_dir)
-    cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
-                        strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None, buckets=4)
-    start_monitor(spark, stream_json_files(spark, inbox, 1), words, cfg).awaitTermination()
-    log = spark.read.parquet(cfg.log_path)
-    assert log.select("batch_id").distinct().count() == 3
-    ev = M.strike_events(M.flag_messages(msgs, words))
-    assert rows(log, "employee_id", "role") == rows(ev)
-    final = read_strikes(spark, cfg)
-    batch = K.apply_strike_batch(spark.createDataFrame([], schemas.STRIKES), ev)
-    assert rows(final) == rows(batch)
-
-
-def test_replayed_batch_changes_nothing(spark, tmp_dir):
-    inbox, msgs, words = _stream_setup(spark, tmp_dir, 1)
-    cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
-                        strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None)
-    batch = spark.read.schema(schemas.MESSAGE).json(inbox)
-    process_batch(spark, batch, 0, words, cfg)
-    first = rows(read_strikes(spark, cfg))
-    n_log = spark.read.parquet(cfg.log_path).count()
-    process_batch(spark, batch, 0, words, cfg)  # replay of batch 0
-    assert rows(read_strikes(spark, cfg)) == first
-    assert spark.read.parquet(cfg.log_path).count() == n_log
-
-
 def test_ledger_high_water_mark(spark, tmp_dir):
     root = os.path.join(tmp_dir, "led")
     a = spark.createDataFrame([("1", 1)], "employee_id string, n int")
@@ -133,72 +81,6 @@ def test_ledger_high_water_mark(spark, tmp_dir):
     assert entry["keys"] == ["sync:2024-03-01"] and entry["high"] == {"mon:ck": 1}
 
 
-def test_vacuum_keeps_previous_generation(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "vac")
-    sch = "employee_id string, n int"
-    from pyspark.sql import types as T
-    schema = T._parse_datatype_string(sch)
-    snapshot.commit_base(spark, root, spark.createDataFrame([("1", 1)], sch), "employee_id", 2)   # v0
-    snapshot.commit_delta(spark, root, spark.createDataFrame([("1", 2)], sch), "a:0")            # v1
-    fold = lambda: snapshot.commit_base(spark, root, snapshot.read_keyed(spark, root, schema, "employee_id"),
-                                        "employee_id", 2)
-    fold()                                                                                         # v2
-    assert snapshot.versions(spark, root) == [0, 1, 2]          # only one newer base: nothing goes
-    snapshot.commit_delta(spark, root, spark.createDataFrame([("2", 5)], sch), "a:1")            # v3
-    fold()                                                                                         # v4
-    assert snapshot.versions(spark, root) == [2, 3, 4]
-    assert rows(snapshot.read_keyed(spark, root, schema, "employee_id")) == [("1", 2), ("2", 5)]
-    assert snapshot.is_applied(spark, root, "a:1")
-
-
-def test_second_writer_on_one_version_fails(spark, tmp_dir):
-    import pytest
-    root = os.path.join(tmp_dir, "cas")
-    sch = "employee_id string, n int"
-    one = spark.createDataFrame([("1", 1)], sch)
-    snapshot.commit_base(spark, root, one, "employee_id", 2)
-    seen = snapshot.current_version(spark, root)
-    snapshot.commit_delta(spark, root, spark.createDataFrame([("1", 2)], sch), "s:0")      # the stream commits
-    with pytest.raises(snapshot.ConcurrentCommit):
-        snapshot.commit_base(spark, root, one, "employee_id", 2, "sync", parent=seen)     # derived from the older one
-    from pyspark.sql import types as T
-    schema = T._parse_datatype_string(sch)
-    assert rows(snapshot.read_keyed(spark, root, schema, "employee_id")) == [("1", 2)]
-    tries = []
-
-    def again():
-        tries.append(snapshot.current_version(spark, root))
-        if len(tries) == 1:
-            snapshot.commit_delta(spark, root, spark.createDataFrame([("1", 3)], sch), "s:1")
-        data = snapshot.read_keyed(spark, root, schema, "employee_id")
-        return snapshot.commit_base(spark, root, data, "employee_id", 2, "sync", parent=tries[-1])
-
-    snapshot.retrying(again)
-    assert len(tries) == 2 and rows(snapshot.read_keyed(spark, root, schema, "employee_id")) == [("1", 3)]
-    assert snapshot.is_applied(spark, root, "s:1") and snapshot.is_applied(spark, root, "sync")
-
-
-def test_checkpoint_reset_loses_nothing(spark, tmp_dir):
-    words = spark.createDataFrame([("IS",)], "word string")
-    cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
-                        strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None)
-    for turn, ck in enumerate(("ck", "ck2")):
-        inbox = os.path.join(tmp_dir, f"in{turn}")
-        spark.createDataFrame([(f"s{turn}", f"r{turn}", "that is it")], MSG).write.json(inbox)
-        cfg.checkpoint = os.path.join(tmp_dir, ck)
-        start_monitor(spark, stream_json_files(spark, inbox), words, cfg).awaitTermination()
-    assert [r.employee_id for r in read_strikes(spark, cfg).orderBy("employee_id").collect()] == ["r0", "r1", "s0", "s1"]
-    assert spark.read.parquet(cfg.log_path).count() == 4
-
-
-def test_batch_without_hits_commits_nothing(spark, tmp_dir):
-    words = spark.createDataFrame([("IS",)], "word string")
-    cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
-                        strikes_root=os.path.join(tmp_dir, "strikes"), trigger_seconds=None)
-    process_batch(spark, spark.createDataFrame([("a", "b", "nothing")], MSG), 0, words, cfg)
-    assert snapshot.current_version(spark, cfg.strikes_root) is None and not os.path.exists(cfg.log_path)
-
-
 def test_no_local_fallback_on_a_cluster(monkeypatch):
     import pytest
     from types import SimpleNamespace as N

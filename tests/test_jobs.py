@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hrflow import schemas
 from hrflow.plans import jobs
 from hrflow.sinks import snapshot
+from hrflow.streaming import monitor
 
 DAY = 86400
 
@@ -46,11 +47,13 @@ def test_daily_monthly_yearly_end_to_end(spark, tmp_dir):
     anomaly = spark.read.parquet(lay.anomaly_report).collect()
     assert [(r.emp_id, str(r.run_date)) for r in anomaly] == [("1", "2024-03-01")]
 
-    # the stream shares the layout: strikes land as deltas on the synced table
-    from hrflow.streaming.monitor import process_batch
+    # the stream shares the layout: strikes come on top of the synced table
+    from hrflow.sources.stream import stream_json_files
+    from hrflow.streaming.monitor import start_strikes
     words = spark.createDataFrame([("IS",)], "word string")
     cfg = jobs.monitor_config(lay, trigger_seconds=None)
-    process_batch(spark, spark.createDataFrame([("1", "2", "this is bad")], schemas.MESSAGE), 0, words, cfg)
+    spark.createDataFrame([("1", "2", "this is bad")], schemas.MESSAGE).write.json(os.path.join(tmp_dir, "messages"))
+    start_strikes(spark, stream_json_files(spark, os.path.join(tmp_dir, "messages")), words, cfg).awaitTermination()
     s2 = {r.employee_id: (r.salary, r.no_of_strikes) for r in jobs.read_strikes(spark, lay).collect()}
     assert s2 == {"1": (1000.0, 1), "2": (900.0, 1)}
 
@@ -139,8 +142,8 @@ def _log(spark, lay, n, rows_):
 
 def test_expired_log_rows_do_not_come_back(spark, tmp_dir):
     lay = jobs.Layout(os.path.join(tmp_dir, "lake"))
-    snapshot.commit_base(spark, lay.strikes, spark.createDataFrame(
-        [("1", 1.0, *[None] * 10, 1, False)], schemas.STRIKES), "employee_id", 2)
+    monitor.init_strikes(spark, jobs.monitor_config(lay), spark.createDataFrame(
+        [("1", 1.0, *[None] * 10, 1, False)], schemas.STRIKES))
     old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 30)
     _log(spark, lay, 0, [("1", "sender", new)])
     _log(spark, lay, 1, [("1", "sender", old)])      # the newest batch expires as a whole
@@ -156,8 +159,8 @@ def test_expired_log_rows_do_not_come_back(spark, tmp_dir):
 def test_crash_between_cooldown_and_retention(spark, tmp_dir, monkeypatch):
     import pytest
     lay = jobs.Layout(os.path.join(tmp_dir, "lake"))
-    snapshot.commit_base(spark, lay.strikes, spark.createDataFrame(
-        [("1", 1.0, *[None] * 10, 4, False)], schemas.STRIKES), "employee_id", 2)
+    monitor.init_strikes(spark, jobs.monitor_config(lay), spark.createDataFrame(
+        [("1", 1.0, *[None] * 10, 4, False)], schemas.STRIKES))
     _log(spark, lay, 0, [("1", "sender", dt.datetime(2024, 1, 1))])
     with monkeypatch.context() as m:
         m.setattr(jobs, "run_log_retention", lambda *a: (_ for _ in ()).throw(OSError("lost")))

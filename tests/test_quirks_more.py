@@ -8,7 +8,7 @@ from conftest import rows
 from hrflow import schemas
 from hrflow.operators import leave as L, strikes as K
 from hrflow.functions.sequence import next_in_key
-from hrflow.streaming.monitor import MonitorConfig, process_batch, read_strikes
+from hrflow.streaming.monitor import MonitorConfig, process_batch
 
 D = dt.date
 
@@ -36,23 +36,6 @@ def test_current_salary_latest_open_interval(spark):
     assert rows(K.current_salaries(tf)) == [("1", 20.0)]
 
 
-def test_salary_read_per_batch(spark, tmp_dir):
-    # SURVEY Q27: a salary written between two batches reaches the second batch
-    tf_path = os.path.join(tmp_dir, "tf")
-    cfg = MonitorConfig(log_path=os.path.join(tmp_dir, "log"), checkpoint=os.path.join(tmp_dir, "ck"),
-                        strikes_root=os.path.join(tmp_dir, "st"), timeframe_path=tf_path, trigger_seconds=None)
-    words = spark.createDataFrame([("IS",)], "word string")
-    spark.createDataFrame([("a", "DEV", D(2020, 1, 1), None, 100.0, "ACTIVE")], schemas.TIMEFRAME_GOLD.simpleString()) \
-        .write.mode("overwrite").partitionBy("status").parquet(tf_path)
-    process_batch(spark, spark.createDataFrame([("a", "b", "it is")], schemas.MESSAGE), 0, words, cfg)
-    spark.createDataFrame([("b", "DEV", D(2020, 1, 1), None, 55.0, "ACTIVE")], schemas.TIMEFRAME_GOLD.simpleString()) \
-        .write.mode("append").partitionBy("status").parquet(tf_path)
-    process_batch(spark, spark.createDataFrame([("b", "c", "is it")], schemas.MESSAGE), 1, words, cfg)
-    got = {r.employee_id: (r.salary, r.no_of_strikes) for r in read_strikes(spark, cfg).collect()}
-    # b was first seen without a known salary; the stored NULL is filled once known
-    assert got == {"a": (100.0, 1), "b": (55.0, 2), "c": (None, 1)}
-
-
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 50))), min_size=1, max_size=60),
        st.integers(1, 9))
