@@ -27,37 +27,48 @@ def normalized_words(words: DataFrame, column: str = "word") -> DataFrame:
     return words.select(F.upper(F.col(column)).alias("word")).filter(F.col("word").isNotNull()).distinct()
 
 
+DIGESTS = ["__d1", "__d2"]
+
+
+def _with_digests(msgs: DataFrame, text: str) -> DataFrame:
+    """Two 64-bit digests of the text: they stand for it in joins, so no text is a shuffle key."""
+    return msgs.withColumns({"__d1": F.xxhash64(F.col(text)), "__d2": F.xxhash64(F.lit("second"), F.col(text))})
+
+
 def _text_tokens(msgs: DataFrame, text: str) -> DataFrame:
-    """Distinct word tokens of each distinct text: the verdict depends on the text alone, so equal
-    messages are looked at once and no row id is needed."""
-    return msgs.select(F.col(text).alias("__text")).distinct().select(
-        "__text", F.explode(F.array_distinct(word_tokens("__text"))).alias("word"))
+    """Word tokens by the digests of their text; the verdict depends on the text alone, so no row id
+    is needed."""
+    return _with_digests(msgs.select(text), text).select(*DIGESTS, F.explode(F.array_distinct(word_tokens(text))).alias("word"))
 
 
-def _with_text_in(msgs: DataFrame, texts: DataFrame, text: str, how: str) -> DataFrame:
-    return msgs.join(texts.select("__text"), F.col(text) == F.col("__text"), how)
+def _of_texts(msgs: DataFrame, texts: DataFrame, text: str) -> DataFrame:
+    return _with_digests(msgs, text).join(texts, DIGESTS, "left_semi").select(*msgs.columns)
 
 
 def flag_messages(msgs: DataFrame, words: DataFrame, text: str = "message") -> DataFrame:
     """Messages in which some upper-cased word token is a marked word.
 
     Tokens are semi-joined to the marked words (Spark broadcasts a list that is small
-    enough) and the texts that hold one are semi-joined back; one path for any list length.
+    enough) and the digests of texts that hold one are semi-joined back; one path for any list length.
     """
-    hits = _text_tokens(msgs, text).join(normalized_words(words), "word", "left_semi").select("__text").distinct()
-    return _with_text_in(msgs, hits, text, "left_semi")
+    hits = _text_tokens(msgs, text).join(normalized_words(words), "word", "left_semi").select(*DIGESTS).distinct()
+    return _of_texts(msgs, hits, text)
 
 
 def flag_messages_in_vocab(msgs: DataFrame, words: DataFrame, vocab: DataFrame,
                            text: str = "message") -> DataFrame:
     """Variant: some token is marked and every token is in the vocabulary.
 
-    Tokens outside the vocabulary come from an anti join; a text with any such token drops out.
+    Both lists are one table of words, so one join of the tokens and one aggregate per text answer
+    both tests.
     """
-    flagged = flag_messages(msgs, words, text)
-    foreign = (_text_tokens(flagged, text).join(normalized_words(vocab), "word", "left_anti")
-               .select("__text").distinct())
-    return _with_text_in(flagged, foreign, text, "left_anti")
+    def listed(words, marked, known):
+        return words.select(F.upper(F.col("word")).alias("word"), F.lit(marked).alias("marked"), F.lit(known).alias("known"))
+    lists = (listed(words, True, False).unionByName(listed(vocab, False, True)).where("word IS NOT NULL")
+             .groupBy("word").agg(F.max("marked").alias("marked"), F.max("known").alias("known")))
+    texts = (_text_tokens(msgs, text).join(lists, "word", "left").groupBy(*DIGESTS)
+             .agg(F.max("marked").alias("marked"), F.min(F.coalesce("known", F.lit(False))).alias("known")))
+    return _of_texts(msgs, texts.where("marked AND known").select(*DIGESTS), text)
 
 
 # J28 ------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import is_weekend
 from ..sources.spine import date_spine
@@ -66,31 +66,39 @@ def leave_anomaly(leave: DataFrame, workdays: DataFrame, start=REPORT_START, end
 
 
 # J21 ------------------------------------------------------------------------------
-def leave_usage(leave: DataFrame, quota: DataFrame, year: int = 2024, before_month: int = 12,
-                threshold_pct: float = USAGE_THRESHOLD_PCT) -> DataFrame:
-    """ACTIVE leave days in the months before ``before_month`` of ``year`` against the
-    employee's quota for that year; keep those with round(share, 2) > threshold.
-
-    The left join followed by the threshold drops employees without quota
-    (SURVEY Q18); two quotas of one employee-year give two rows (Q14).
-    """
+def leave_usage_by_horizon(leave: DataFrame, quota: DataFrame, year: int, horizons: list[int],
+                           threshold_pct: float = USAGE_THRESHOLD_PCT) -> DataFrame:
+    """``leave_usage`` before each of several months, in one conditional aggregate: its rows with ``before_month``."""
+    last = max(horizons)
     if "year" in leave.columns and "month" in leave.columns:
         # gold leave is partitioned by year/month = year(date)/month(date): the same
         # predicate on the partition columns prunes the scan to this year's months
-        leave = leave.filter((F.col("year") == year) & (F.col("month") < before_month))
-    taken = (leave.filter((F.month("date") < before_month) & (F.year("date") == year)
-                          & (F.col("status") == "ACTIVE"))
-                  .groupBy("emp_id").agg(F.count(F.lit(1)).alias("leaves_taken")))
+        leave = leave.filter((F.col("year") == year) & (F.col("month") < last))
+    taken = (leave.filter((F.month("date") < last) & (F.year("date") == year) & (F.col("status") == "ACTIVE"))
+                  .groupBy("emp_id").agg(*[F.count_if(F.month("date") < m).alias(f"__{m}") for m in horizons]))
     q = quota.filter(F.col("year") == year).select("emp_id", "leave_quota", "year")
-    joined = taken.join(q, "emp_id", "left")
+    rounds = F.array(*[F.struct(F.lit(m).alias("before_month"), F.col(f"__{m}").alias("leaves_taken")) for m in horizons])
+    joined = taken.select("emp_id", rounds.alias("rounds")).join(q, "emp_id", "left").select(
+        "emp_id", "leave_quota", "year", F.inline("rounds"))
     lq = F.col("leave_quota").cast("bigint")
     hundredths = F.when(lq > 0, F.expr("(leaves_taken * 20000 + leave_quota) div (leave_quota * 2)"))
     return (joined.withColumn("__h", hundredths)
                   .filter(F.col("__h") > int(threshold_pct * 100))
-                  .select("emp_id", "leaves_taken", "leave_quota", "year",
+                  .select("before_month", "emp_id", "leaves_taken", "leave_quota", "year",
                           (F.col("__h") / F.lit(100.0)).alias("leave_percent")))
 
 
+def leave_usage(leave: DataFrame, quota: DataFrame, year: int = 2024, before_month: int = 12,
+                threshold_pct: float = USAGE_THRESHOLD_PCT) -> DataFrame:
+    """ACTIVE leave days in the months before ``before_month`` of ``year`` against the
+    employee's quota for that year; keep those with round(share, 2) > threshold.
+
+    The left join followed by the threshold drops employees without quota
+    (SURVEY Q18); two quotas of one employee-year give two rows (Q14).
+    """
+    return leave_usage_by_horizon(leave, quota, year, [before_month], threshold_pct).drop("before_month")
+
+
 # J22 / J23 ------------------------------------------------------------------------
 def new_alerts(flagged: DataFrame, tracking: DataFrame | None) -> DataFrame:
     """Flagged employees never alerted before (anti join; NULL IDs dropped, SURVEY Q19)."""
@@ -107,6 +115,19 @@ def update_tracking(tracking: DataFrame | None, new: DataFrame) -> DataFrame:
     return ids.dropDuplicates(["emp_id"])
 
 
+def alerts_of_round(usage: DataFrame, before_month: int) -> DataFrame:
+    """J22 over ``leave_usage_by_horizon``: the rows of one monthly run whose employee no earlier run
+    alerted."""
+    first = F.min("before_month").over(Window.partitionBy("emp_id"))
+    return (usage.filter(F.col("emp_id").isNotNull()).withColumn("__first", first)
+            .filter((F.col("before_month") == before_month) & (F.col("__first") == before_month)).drop("before_month", "__first"))
+
+
+def tracking_of_rounds(usage: DataFrame) -> DataFrame:
+    """J23 over ``leave_usage_by_horizon``: everyone alerted by any of the monthly runs."""
+    return usage.filter(F.col("emp_id").isNotNull()).select("emp_id").distinct()
+
+
 # K6 rendering ---------------------------------------------------------------------
 def render_alert_text(alerts: DataFrame, run_date: str) -> DataFrame:
     """One text document per alerted employee; the layout is the reference's.

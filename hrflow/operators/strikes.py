@@ -38,6 +38,15 @@ def current_salaries(timeframe: DataFrame, only: DataFrame | None = None) -> Dat
     return latest.select(F.col("emp_id").alias("employee_id"), "salary")
 
 
+def with_salaries(counts: DataFrame, timeframe: DataFrame) -> DataFrame:
+    """``counts`` with each employee's current salary as ``new_salary``: one join with the history and one
+    aggregate, in which the batch appears once. The salary is that of ``current_salaries``."""
+    active = timeframe.filter(F.col("status") == "ACTIVE").select(F.col("emp_id").alias("employee_id"), "start_date", "salary")
+    latest = F.max(F.struct("start_date", "salary")).alias("__latest")
+    return (counts.join(active, "employee_id", "left").groupBy("employee_id", "strike_count").agg(latest)
+            .select("employee_id", "strike_count", F.col("__latest.salary").alias("new_salary")))
+
+
 # J31 ------------------------------------------------------------------------------
 def apply_penalties(df: DataFrame, count: str = "no_of_strikes") -> DataFrame:
     """strike_i = round(salary * 0.9^i, 2) where the count reaches i, else NULL."""
@@ -51,14 +60,14 @@ def apply_penalties(df: DataFrame, count: str = "no_of_strikes") -> DataFrame:
 def upsert_strikes(stored: DataFrame, counts: DataFrame, salaries: DataFrame | None = None) -> DataFrame:
     """Add each employee's new strikes to the stored count, insert unknown employees.
 
-    The stored salary is kept and filled from ``salaries`` only when it is NULL. Adds an
-    ``__affected`` flag for the employees of this batch.
+    The stored salary is kept and filled only when it is NULL, from ``salaries`` or from a column
+    ``new_salary`` of ``counts`` (``with_salaries``). Adds an ``__affected`` flag for the employees of this batch.
     """
-    inc = counts.select("employee_id", F.col("strike_count").alias("__inc"))
     if salaries is not None:
-        inc = inc.join(salaries.select("employee_id", F.col("salary").alias("__new_salary")), "employee_id", "left")
-    else:
-        inc = inc.withColumn("__new_salary", F.lit(None).cast("double"))
+        counts = counts.join(salaries.select("employee_id", F.col("salary").alias("new_salary")), "employee_id", "left")
+    elif "new_salary" not in counts.columns:
+        counts = counts.withColumn("new_salary", F.lit(None).cast("double"))
+    inc = counts.select("employee_id", F.col("strike_count").alias("__inc"), F.col("new_salary").alias("__new_salary"))
     s = stored.alias("s")
     j = s.join(inc.alias("i"), F.col("s.employee_id") == F.col("i.employee_id"), "full_outer")
     return j.selectExpr(
@@ -82,10 +91,15 @@ def penalize_and_deactivate(upserted: DataFrame) -> DataFrame:
     return upserted.selectExpr(*cols)
 
 
-def apply_strike_batch(stored: DataFrame, events: DataFrame, salaries: DataFrame | None = None) -> DataFrame:
-    """One micro-batch of strike events applied to the table: J29 -> J30 -> J31 -> J32."""
+def apply_strike_batch(stored: DataFrame, events: DataFrame, salaries: DataFrame | None = None,
+                       timeframe: DataFrame | None = None) -> DataFrame:
+    """One batch of strike events applied to the table: J29 -> J30 -> J31 -> J32; salaries as a table or
+    from the job history."""
     from .messages import strike_counts
-    return penalize_and_deactivate(upsert_strikes(stored, strike_counts(events), salaries))
+    counts = strike_counts(events)
+    if timeframe is not None:
+        counts = with_salaries(counts, timeframe)
+    return penalize_and_deactivate(upsert_strikes(stored, counts, salaries))
 
 
 # J33 / J34 ------------------------------------------------------------------------

@@ -40,14 +40,19 @@ def timeframe_gold(spark, d) -> DataFrame:
     return H.build_timeframe(fx.x_timeframe(spark, d))
 
 
+def known_employees(spark, d) -> DataFrame:
+    """The job history's employees: any status counts (J14), so the records as they came will do."""
+    return H.normalize_timeframe(fx.x_timeframe(spark, d)).select("emp_id")
+
+
 def leave_gold(spark, d) -> DataFrame:
-    return L.clean_leave(fx.x_leave(spark, d), fx.x_calendar(spark), timeframe_gold(spark, d), RUN_DATE, RUN_TS)
+    return L.clean_leave(fx.x_leave(spark, d), fx.x_calendar(spark), known_employees(spark, d), RUN_DATE, RUN_TS)
 
 
 def leave_before_stamp(spark, d) -> DataFrame:
     df = L.prefilter_leave(fx.x_leave(spark, d))
     df = L.drop_holidays(df, fx.x_calendar(spark))
-    df = L.keep_known_employees(df, timeframe_gold(spark, d))
+    df = L.keep_known_employees(df, known_employees(spark, d))
     return L.stamp_ingest(df, RUN_DATE, RUN_TS)
 
 
@@ -55,9 +60,9 @@ def usage_report(spark, d, before_month=12) -> DataFrame:
     return R.leave_usage(leave_gold(spark, d), L.clean_quota(fx.x_quota(spark, d)), 2024, before_month)
 
 
-def alert_tracking(spark, d) -> DataFrame:
-    """Employees alerted by the previous monthly run (months before November)."""
-    return usage_report(spark, d, before_month=11).select("emp_id")
+def usage_rounds(spark, d) -> DataFrame:
+    """What the previous monthly run (months before November) and this one report."""
+    return R.leave_usage_by_horizon(leave_gold(spark, d), L.clean_quota(fx.x_quota(spark, d)), 2024, [11, 12])
 
 
 def flagged(spark, d) -> DataFrame:
@@ -206,7 +211,7 @@ def q_sink_jdbc(spark, d):
 
 def q_sink_text_alerts(spark, d):
     p = _out(spark, "k6")
-    new = R.new_alerts(usage_report(spark, d), alert_tracking(spark, d))
+    new = R.alerts_of_round(usage_rounds(spark, d), 12)
     sink_files.write_alert_texts(R.render_alert_text(new, ALERT_RUN_DATE), p)
     back = spark.read.schema("value string, run_date string, emp_id string").text(p, wholetext=True)
     return back.select("emp_id", "run_date", F.col("value").alias("content"))
@@ -335,12 +340,11 @@ def q_leave_usage_80pct(spark, d):
 
 
 def q_leave_alert_new(spark, d):
-    return R.new_alerts(usage_report(spark, d), alert_tracking(spark, d))
+    return R.alerts_of_round(usage_rounds(spark, d), 12)
 
 
 def q_leave_alert_tracking(spark, d):
-    tracking = alert_tracking(spark, d)
-    return R.update_tracking(tracking, R.new_alerts(usage_report(spark, d), tracking))
+    return R.tracking_of_rounds(usage_rounds(spark, d))
 
 
 # messages ---------------------------------------------------------------------------
@@ -372,8 +376,8 @@ def q_strike_counts(spark, d):
 
 # strikes ----------------------------------------------------------------------------
 def q_strike_upsert(spark, d):
-    counts = M.strike_counts(events(spark, d))
-    up = K.upsert_strikes(fx.x_strikes(spark, d), counts, salaries(spark, d, counts))
+    counts = K.with_salaries(M.strike_counts(events(spark, d)), timeframe_gold(spark, d))
+    up = K.upsert_strikes(fx.x_strikes(spark, d), counts)
     return up.select("employee_id", "salary", "no_of_strikes", "is_inactive")
 
 
@@ -382,8 +386,7 @@ def q_strike_penalties(spark, d):
 
 
 def q_strike_deactivate(spark, d):
-    batch = events(spark, d)
-    return K.apply_strike_batch(fx.x_strikes(spark, d), batch, salaries(spark, d, batch))
+    return K.apply_strike_batch(fx.x_strikes(spark, d), events(spark, d), timeframe=timeframe_gold(spark, d))
 
 
 def q_strike_penalties_frozen(spark, d):

@@ -96,3 +96,21 @@ def test_alert_text_layout(spark):
     a = spark.createDataFrame([("7", 17, 20, 85.0)], "emp_id string, leaves_taken long, leave_quota int, leave_percent double")
     txt = R.render_alert_text(a, "2024-12-01").first().content
     assert txt == ("Employee ID: 7\nLeave Taken: 17\nLeave Quota: 20\nUsage:       85.0%\nDate:        2024-12-01")
+
+
+def test_rounds_equal_one_run_after_another(spark):
+    """Both monthly runs in one aggregate give what two runs with a tracking table give."""
+    import datetime as dt
+    rng = range(1, 13)
+    days = [(f"e{e}", dt.date(2024, m, k + 1), "ACTIVE" if k % 7 else "CANCELLED") for e in range(12) for m in rng for k in range((e * m) % 9)]
+    leave = spark.createDataFrame(days, "emp_id string, date date, status string")
+    quota = spark.createDataFrame([(f"e{e}", 5 + e, 2024) for e in range(11)] + [("e3", 1, 2024), ("e4", 0, 2024), ("e5", 9, 2023)],
+                                  "emp_id string, leave_quota int, year int")
+    tracking, usage = None, R.leave_usage_by_horizon(leave, quota, 2024, [6, 11, 12])
+    for month in (6, 11, 12):
+        own = R.leave_usage(leave, quota, 2024, month)
+        new = R.new_alerts(own, tracking)
+        assert rows(R.alerts_of_round(usage, month)) == rows(new)
+        assert rows(usage.where(F.col("before_month") == month).drop("before_month")) == rows(own)
+        tracking = spark.createDataFrame(R.update_tracking(tracking, new).collect(), "emp_id string")
+    assert rows(R.tracking_of_rounds(usage)) == rows(tracking)

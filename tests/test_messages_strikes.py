@@ -171,3 +171,42 @@ def test_any_batch_split_gives_the_same_table(spark, tagged):
             state = K.apply_strike_batch(state, spark.createDataFrame(part, "employee_id string, role string"), sal)
         state = spark.createDataFrame(state.collect(), state.schema)  # cut the plan like a stored version
     assert rows(state) == rows(K.apply_strike_batch(st0, ev_all, sal))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_no_shuffle_keys(spark):
+    msgs = spark.createDataFrame([(str(i), "r", f"word{i % 5} long text {i}") for i in range(50)] + [("x", "r", None), ("x", "r", "")],
+                                 "sender string, receiver string, message string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = M.flag_messages(msgs, words(spark, "word3"))
+        both = M.flag_messages_in_vocab(msgs, words(spark, "word3"), words(spark, *["word3", "long", "text"], *map(str, range(0, 30))))
+        for df, most in ((flagged, 4), (both, 5)):
+            keys = [line for line in plan_of(df).splitlines() if "Exchange hashpartitioning" in line]
+            assert len(keys) <= most and not any("hashpartitioning(message" in k for k in keys)
+        assert {r.sender for r in flagged.collect()} == {str(i) for i in range(50) if i % 5 == 3}
+        assert {r.sender for r in both.collect()} == {str(i) for i in range(30) if i % 5 == 3}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_salaries_from_history_equal_the_salary_table(spark):
+    import datetime as dt
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2021, 1, 1)
+    tf = spark.createDataFrame([("a", d1, 1.0, "ACTIVE"), ("a", d2, 2.0, "ACTIVE"), ("a", d2, 9.0, "INACTIVE"), ("b", d1, None, "ACTIVE"),
+                                ("c", d1, 3.0, "INACTIVE"), ("z", d1, 5.0, "ACTIVE")],
+                               "emp_id string, start_date date, salary double, status string")
+    counts = spark.createDataFrame([("a", 2), ("b", 1), ("c", 11), ("d", 1)], "employee_id string, strike_count long")
+    own = {r.employee_id: r.new_salary for r in K.with_salaries(counts, tf).collect()}
+    table = {r.employee_id: r.salary for r in K.current_salaries(tf).collect()}
+    assert own == {e: table.get(e) for e in "abcd"} == {"a": 2.0, "b": None, "c": None, "d": None}
+
+
+def test_flagging_is_planned_once(spark):
+    from hrflow.plans import catalog
+    for key in ("strike_upsert", "strike_deactivate"):
+        df = catalog.queries()[key](spark, "/root/testdata/sf0.001")
+        assert plan_of(df).count("regexp_extract_all") <= 2  # one explode, as planned: project and generate
