@@ -108,24 +108,34 @@ def merge_timeframe(history: DataFrame, batch_raw: DataFrame) -> DataFrame:
     return with_status(chained).select(*HISTORY_COLUMNS, "status")
 
 
-def accumulate_timeframe(history: DataFrame, batch_raw: DataFrame) -> DataFrame:
-    """The daily job's merge: the history of all batches so far, as ``build_timeframe`` would
-    make it from all their rows at once (explicit end dates stay, open ones are filled).
+def merge_into_history(history: DataFrame, batch_raw: DataFrame, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The daily job's merge in two parts, (rows that stay as stored, rows of employees chained again);
+    together the history of all batches so far, as ``build_timeframe`` would make it from all their
+    rows at once (explicit end dates stay, open ones are filled).
 
     ``history`` is a former result (``STORED_COLUMNS``) or empty. Choosing one row per
     (emp_id, start_date) is associative, so the order of batches and a file sent twice make
-    no difference. One left join marks the employees of the batch; only they are chained
-    again, every other row passes through.
+    no difference. Joins by employee mark the rows of the batch's employees (and those without an
+    employee); only they are exchanged and chained again. A history bucketed by employee is read in
+    place: the batch's ids are dealt to its ``buckets``, and the rows that stay don't move.
     """
     batch = dedupe_timeframe(normalize_timeframe(batch_raw))
-    ids = batch.select(F.col("emp_id").alias("__id")).distinct().withColumn("__hit", F.lit(True))
-    marked = history.select(*STORED_COLUMNS).join(ids, F.col("emp_id").eqNullSafe(F.col("__id")), "left").drop("__id")
-    given = marked.filter("__hit").select("emp_id", "designation", F.col("given_start").alias("start_date"),
-                                          F.col("given_end").alias("end_date"), "salary")
+    ids = batch.select("emp_id").where(F.col("emp_id").isNotNull()).distinct()
+    if buckets is not None:
+        ids = ids.repartition(buckets, "emp_id")
+    stored = history.select(*STORED_COLUMNS)
+    stay = stored.where(F.col("emp_id").isNotNull()).join(ids, "emp_id", "left_anti").select(*STORED_COLUMNS)
+    again = stored.join(ids, "emp_id", "left_semi").unionByName(stored.where(F.col("emp_id").isNull()))
+    given = again.select("emp_id", "designation", F.col("given_start").alias("start_date"), F.col("given_end").alias("end_date"), "salary")
     merged = dedupe_timeframe(given.unionByName(batch.select(*given.columns)))
     as_given = merged.withColumns({"given_start": F.col("start_date"), "given_end": F.col("end_date")})
-    chained = derive_status(chain_intervals(as_given, "fill_null")).select(*STORED_COLUMNS)
-    return marked.filter("__hit is null").select(*STORED_COLUMNS).unionByName(chained)
+    return stay, derive_status(chain_intervals(as_given, "fill_null")).select(*STORED_COLUMNS)
+
+
+def accumulate_timeframe(history: DataFrame, batch_raw: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``merge_into_history`` as one table."""
+    stay, chained = merge_into_history(history, batch_raw, buckets)
+    return stay.unionByName(chained)
 
 
 # J8 -------------------------------------------------------------------------------

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..session import ensure_defaults, scratch_path
 from ..sinks import files as sink_files, snapshot
+from ..sinks.bucketed import read_bucketed, write_bucketed
 from ..sinks.kafka import kafka_frame
 from ..sources import fixtures as fx, files as src_files
 from ..sources.jdbc import restrict_to
@@ -259,13 +260,14 @@ def q_timeframe_history(spark, d):
 
 
 def q_timeframe_merge(spark, d):
-    """The daily job's merge over two batches, the first one stored as the job stores it."""
-    root, raw = _out(spark, "j7"), fx.x_timeframe(spark, d)
-    old = F.col("start_date") < MERGE_SPLIT_EPOCH
-    empty = spark.createDataFrame([], schemas.TIMEFRAME_STORED)
-    snapshot.commit(spark, root, H.accumulate_timeframe(empty, raw.filter(old)), partition_by=["status"])
-    history = snapshot.read_current(spark, root, schemas.TIMEFRAME_STORED)
-    return H.accumulate_timeframe(history, raw.filter(~old | F.col("start_date").isNull())).select(
+    """The daily job's merge over two batches: the first one stored bucketed by employee, as the job
+    stores it, and read in place."""
+    path, raw = _out(spark, "j7"), fx.x_timeframe(spark, d)
+    old, buckets = F.col("start_date") < MERGE_SPLIT_EPOCH, 8
+    first = H.accumulate_timeframe(spark.createDataFrame([], schemas.TIMEFRAME_STORED), raw.filter(old))
+    write_bucketed([first.repartition(buckets, "emp_id")], path, "emp_id", buckets)
+    history = read_bucketed(spark, path, schemas.TIMEFRAME_STORED, "emp_id", buckets)
+    return H.accumulate_timeframe(history, raw.filter(~old | F.col("start_date").isNull()), buckets).select(
         *H.HISTORY_COLUMNS, "status")
 
 

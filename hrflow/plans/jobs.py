@@ -22,6 +22,7 @@ from .. import schemas
 from ..operators import history as H, leave as L, reports as R, strikes as K
 from ..session import ensure_defaults
 from ..sinks import files as SF, snapshot
+from ..sinks.bucketed import read_bucketed, write_bucketed
 from ..sources import files as SRC
 from ..streaming import monitor
 from ..streaming.ingest import ingest_new_files, landed_batches, numbered_folders, read_landed
@@ -30,6 +31,7 @@ from ..streaming.ingest import ingest_new_files, landed_batches, numbered_folder
 @dataclass
 class Layout:
     root: str
+    history_buckets: int = 64      # files of the job history, by employee
 
     def p(self, rel: str) -> str:
         return f"{self.root.rstrip('/')}/{rel}"
@@ -100,7 +102,20 @@ def run_yearly(spark: SparkSession, lay: Layout, run_date: str) -> None:
 
 # daily ------------------------------------------------------------------------------------
 def current_timeframe(spark: SparkSession, lay: Layout) -> DataFrame | None:
-    return snapshot.read_current(spark, lay.timeframe_gold)
+    found = snapshot.current_folder(spark, lay.timeframe_gold)
+    return None if found is None else read_bucketed(spark, found[0], schemas.TIMEFRAME_STORED, "emp_id", found[1]["buckets"])
+
+
+def store_timeframe(spark: SparkSession, lay: Layout, parts: tuple[DataFrame, DataFrame], keys: list[str], parent: int | None) -> int:
+    """Commit (rows that stay, rows chained again) as the next version of the history: the former are
+    copied bucket by bucket, only the latter are dealt to buckets."""
+    n = lay.history_buckets
+    stay, chained = parts
+    found = snapshot.current_folder(spark, lay.timeframe_gold)
+    if found is None or found[1]["buckets"] != n:  # first version, or a new bucket count
+        stay = stay.repartition(n, "emp_id")
+    return snapshot.commit_folder(spark, lay.timeframe_gold, lambda path: write_bucketed(
+        [stay, chained.repartition(n, "emp_id")], path, "emp_id", n), keys, {"buckets": n}, parent)
 
 
 def run_employee_master(spark: SparkSession, lay: Layout, run_date: str) -> None:
@@ -109,10 +124,15 @@ def run_employee_master(spark: SparkSession, lay: Layout, run_date: str) -> None
     SF.append_run_partition(H.clean_employees(df), lay.employee_gold, run_date)
 
 
+def _ingest_run(path: str) -> str:
+    return path.split("/ingest_run=", 1)[1].split("/", 1)[0]
+
+
 def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
     """K8 -> J7: land only new inbox files (archived afterwards), merge every landed batch
-    that the stored history does not hold yet and commit it as a new version, partitioned
-    by status. A late file of a past run, or one landed by a run that died before its commit,
+    that the stored history does not hold yet and commit it as a new version, bucketed by
+    employee. Merged batches of former runs are deleted, so listing the landed ones does not grow
+    with the age of the table. A late file of a past run, or one landed by a run that died before its commit,
     is merged by the next run."""
     ingest_new_files(spark, lay.timeframe_inbox, schemas.TIMEFRAME_RAW, lay.timeframe_landed,
                      f"{lay.checkpoints}/timeframe", archive=lay.timeframe_processed, run_key=run_date)
@@ -125,17 +145,22 @@ def run_timeframe(spark: SparkSession, lay: Layout, run_date: str) -> None:
         if not waiting:
             return parent
         # silver: the files of each run concerned as dated intervals, CSV with header, one partition per run
-        run_of = lambda path: path.split("/ingest_run=", 1)[1].split("/", 1)[0]
-        for run in sorted({run_of(path) for _, path in waiting}):
-            own = read_landed(spark, [path for _, _, path in landed if run_of(path) == run], schemas.TIMEFRAME_RAW)
+        for run in sorted({_ingest_run(path) for _, path in waiting}):
+            own = read_landed(spark, [path for _, _, path in landed if _ingest_run(path) == run], schemas.TIMEFRAME_RAW)
             SF.write_partitioned(H.build_timeframe(own).withColumn("ingest_run", F.lit(run)),
                                  lay.timeframe_silver_csv, ["ingest_run"], fmt="csv", header=True)
-        history = snapshot.read_current(spark, lay.timeframe_gold, schemas.TIMEFRAME_STORED)
+        history, found = current_timeframe(spark, lay), snapshot.current_folder(spark, lay.timeframe_gold)
+        if history is None:
+            history = spark.createDataFrame([], schemas.TIMEFRAME_STORED)
         batch = read_landed(spark, [path for _, path in waiting], schemas.TIMEFRAME_RAW)
-        return snapshot.commit(spark, lay.timeframe_gold, H.accumulate_timeframe(history, batch),
-                               [key for key, _ in waiting], partition_by=["status"], parent=parent)
+        return store_timeframe(spark, lay, H.merge_into_history(
+            history, batch, found[1]["buckets"] if found else None), [key for key, _ in waiting], parent)
 
     snapshot.retrying(once)
+    merged = snapshot.applied(spark, lay.timeframe_gold)
+    for q, n, path in landed_batches(spark, lay.timeframe_landed):  # merged batches of former runs are done with
+        if _ingest_run(path) < run_date and merged(f"landed:{q}:{n}"):
+            SF.delete_folder(spark, path)
 
 
 def run_strike_sync(spark: SparkSession, lay: Layout, run_date: str) -> None:

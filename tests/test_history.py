@@ -176,3 +176,30 @@ def test_replace_merge_drops_resent_rows(spark):
     both = _tf(spark, [("1", "A", 0, None, 1.0), ("1", "B", DAY * 2, None, 2.0)])
     assert rows(H.merge_timeframe(hist, both)) == [("1", "A", D(1970, 1, 1), D(1970, 1, 3), 1.0, "INACTIVE"),
                                                    ("1", "B", D(1970, 1, 3), None, 2.0, "ACTIVE")]
+
+
+def test_merge_reads_the_bucketed_history_in_place(spark, tmp_dir):
+    """No exchange over the history side, equal results, employees without an id included."""
+    from hrflow import schemas
+    from hrflow.sinks.bucketed import read_bucketed, write_bucketed
+    sch = "emp_id string, designation string, start_date long, end_date long, salary double"
+    old = [(str(i % 40) if i % 13 else None, f"d{i % 3}", 86400 * 30 * i, None if i % 4 else 86400 * 30 * (i + 2), 100.0 + i)
+           for i in range(300)]
+    new = [(str(i % 60), "d9", 86400 * 30 * (i * 7 % 400), None, 500.0) for i in range(0, 60, 9)] + [(None, "d1", 86400, None, 1.0)]
+    once = H.build_timeframe(spark.createDataFrame(old + new, sch))
+    first = H.accumulate_timeframe(spark.createDataFrame([], schemas.TIMEFRAME_STORED), spark.createDataFrame(old, sch))
+    write_bucketed([first.repartition(4, "emp_id")], f"{tmp_dir}/h1", "emp_id", 4)
+    history = read_bucketed(spark, f"{tmp_dir}/h1", schemas.TIMEFRAME_STORED, "emp_id", 4)
+    stay, chained = H.merge_into_history(history, spark.createDataFrame(new, sch), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stay._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan" in line)
+        history_side = plan[:plan.index("FileScan")].rsplit("SortMergeJoin", 1)[1]
+        assert "LeftAnti" in plan and "Exchange" not in history_side and "Bucketed: false" not in scan, plan
+        write_bucketed([stay, chained.repartition(4, "emp_id")], f"{tmp_dir}/h2", "emp_id", 4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    merged = read_bucketed(spark, f"{tmp_dir}/h2", schemas.TIMEFRAME_STORED, "emp_id", 4)
+    assert rows(merged.select(*H.HISTORY_COLUMNS, "status")) == rows(once.select(*H.HISTORY_COLUMNS, "status"))
+    assert spark.catalog.listTables() == [] or not any("hrflow_bucketed" in t.name for t in spark.catalog.listTables())

@@ -116,7 +116,7 @@ def test_crash_between_landing_and_commit(spark, tmp_dir, monkeypatch):
     lay = jobs.Layout(os.path.join(tmp_dir, "lake"))
     _deliver(spark, lay, "a", [("1", "A", "0", None, "1")])
     with monkeypatch.context() as m:
-        m.setattr(snapshot, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(snapshot, "commit_folder", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             jobs.run_timeframe(spark, lay, "2024-03-01")
     _deliver(spark, lay, "b", [("2", "B", "0", None, "1")])
