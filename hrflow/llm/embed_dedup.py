@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import connected_components, materialise
+from .tables import connected_components, ids_of_rows, materialise, numbered_rows
 
 
 @dataclass(frozen=True)
@@ -187,13 +187,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bounds: ForestB
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite values link with nothing; so do
     vectors of different dimension. Rows with equal vectors link with each other, repeated ids
-    included. A NULL id gives NULL component and is kept. Other columns are ignored.
+    included; rows that share an id count their links each and belong to one component. A NULL id gives NULL component and is kept. Other columns are ignored.
     """
-    spark = vectors.sparkSession
-    v = F.col("embedding")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    numbered = numbered_rows(rows, "vec_id", "vec-rows")
+    if numbered is None:
+        return _near_duplicates(rows, threshold, bounds)
+    found = materialise(_near_duplicates(numbered.select(F.col("row").alias("vec_id"), "embedding"), threshold, bounds), "vec-found")
+    by_id = ids_of_rows(numbered.select("vec_id", "row"), found.select(F.col("vec_id").alias("row"), F.col("component_id").alias("label")),
+                        "vec_id", "vec-ids")
+    known = found.join(by_id, F.col("vec_id") == F.col("row")).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component_id_of").alias("component_id"))
+    return known.withColumn("kept", F.expr("vec_id <=> component_id")).unionByName(found.where("vec_id is null"))
+
+
+def _near_duplicates(rows: DataFrame, threshold: float, bounds: ForestBounds) -> DataFrame:
+    """``near_duplicates`` of rows with unique ids."""
+    spark, v = rows.sparkSession, F.col("embedding")
     usable = (v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
               & F.exists(v, lambda x: x != 0))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding"))
     keys = materialise(rows.select("vec_id", F.coalesce(usable, F.lit(False)).alias("ok"),
                                    F.xxhash64("embedding").alias("k1"), F.hash("embedding").alias("k2")), "vec-keys")
     classes = materialise(keys.where("ok and vec_id is not null").groupBy("k1", "k2")
@@ -202,8 +214,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bounds: ForestB
     one = (rows.where(usable).join(classes, F.col("vec_id") == F.col("cid"))
            .where((F.xxhash64("embedding") == F.col("k1")) & (F.hash("embedding") == F.col("k2")))
            .select("cid", "c", F.col("embedding").alias("v")))
-    if keys.where("vec_id is not null").groupBy("vec_id").count().where("count > 1").head(1):
-        one = one.dropDuplicates(["cid"])
     one = materialise(one, "vec-one")
     sample = one.orderBy(F.xxhash64("cid"), "cid").limit(bounds.sample).select("v").collect()
     forests = {}

@@ -36,9 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .tables import connected_components, drop_table, materialise
+from .tables import connected_components, drop_table, ids_of_rows, materialise, numbered_rows
 
-SKETCH_CELLS = 1 << 19
+#: Least and most cells of the count sketch, and bytes of text per cell: the sketch follows the corpus, so
+#: tokens are ordered alike at every size until its bound.
+CELLS = (1 << 19, 1 << 24)
+TEXT_PER_CELL = 256
 SLICES = 32
 PASSES = 3
 #: Bits of the map that travels with the entries of long lists, and its columns.
@@ -58,12 +61,18 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array,
             yield b.column(0), b.column(1)
 
 
-def _scan_classes(k: int):
+def sketch_cells(text: DataFrame) -> int:
+    """Cells of the count sketch, a power of two."""
+    size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(CELLS[1], max(CELLS[0], 1 << round(math.log2(max(1, size / TEXT_PER_CELL)))))
+
+
+def _scan_classes(k: int, cells: int):
     """Per document (id, n, two digests of the set); per task the slices of its count sketch."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        counts = np.zeros(SKETCH_CELLS, np.int64)
+        counts = np.zeros(cells, np.uint32)
         part = TaskContext.get().partitionId()
         schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("s1", pa.int64()),
                             ("s2", pa.int64()), ("slice", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
@@ -74,14 +83,14 @@ def _scan_classes(k: int):
                 n[row] = len(s)
                 s1[row] = np.add.reduce(tokens.mix64(s))
                 s2[row] = np.bitwise_xor.reduce(tokens.mix64(s ^ np.uint64(0x5851F42D4C957F2D)))
-                counts[(s % np.uint64(SKETCH_CELLS)).astype(np.int64)] += 1
+                counts[(s & np.uint64(cells - 1)).astype(np.int64)] += 1
             m = len(ids)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(n), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
                  pa.array(np.full(m, -1, np.int32)), pa.array(np.full(m, part, np.int32)), pa.nulls(m, pa.binary())],
                 schema=schema)
         if counts.any():
-            packed = [zlib.compress(c.tobytes(), 1) for c in np.split(counts, SLICES)]
+            packed = [zlib.compress(c.astype(np.int64).tobytes(), 1) for c in np.split(counts, SLICES)]
             empty = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [empty, empty, empty, empty, pa.array(np.arange(SLICES, dtype=np.int32)),
@@ -90,26 +99,27 @@ def _scan_classes(k: int):
 
 
 def _sum_slices(sketch: DataFrame) -> np.ndarray:
-    """Sum the tasks' sketches (two levels, so a group stays small); SLICES rows reach the driver."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the tasks' sketches (two levels, so a group stays small) and return the counts' powers of two,
+    from one: a byte a cell reaches the driver, in SLICES rows."""
+    def add(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
         total, first = None, None
         for b in batches:
             for r in b.to_pylist():
                 x = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
                 total = x.copy() if total is None else total + x
                 first = r
+        if last:
+            total = np.where(total > 0, np.minimum(63, np.log2(np.maximum(total, 1)).astype(np.uint8) + 1), 0).astype(np.uint8)
         yield pa.RecordBatch.from_pydict(
             {"slice": pa.array([first["slice"]], pa.int32()), "part": pa.array([first["part"] // 64], pa.int32()),
              "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     schema = "slice int, part int, counts binary"
     level = sketch.select("slice", "part", "counts")
-    level = level.groupBy("slice", F.expr("part div 64")).applyInArrow(lambda t: _table(add(t.to_batches())), schema)
-    level = level.groupBy("slice").applyInArrow(lambda t: _table(add(t.to_batches())), schema)
-    out = np.zeros((SLICES, SKETCH_CELLS // SLICES), np.int64)
-    for r in level.collect():
-        out[r["slice"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
-    return out.reshape(-1)
+    level = level.groupBy("slice", F.expr("part div 64")).applyInArrow(lambda t: _table(add(t.to_batches(), False)), schema)
+    level = level.groupBy("slice").applyInArrow(lambda t: _table(add(t.to_batches(), True)), schema)
+    parts = {r["slice"]: np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint8) for r in level.collect()}
+    return np.concatenate([parts[i] for i in range(SLICES)]) if parts else np.zeros(CELLS[0], np.uint8)
 
 
 def _table(batches) -> pa.Table:
@@ -126,7 +136,7 @@ def _scan_index(k: int, percent: int, levels):
                 n = len(s)
                 p = n - (percent * n + 99) // 100 + 1
                 key = s >> np.uint64(6)
-                key |= level[(s % np.uint64(SKETCH_CELLS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
+                key |= level[(s & np.uint64(len(level) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
                 heads.append(s[np.argsort(key, kind="stable")[:p]].view(np.int64))
                 bits = np.zeros(_map_bits(n), np.uint8)
                 bits[s & np.uint64(len(bits) - 1)] = 1
@@ -219,7 +229,22 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    scan, schema = _scan_classes(k)
+    rows = numbered_rows(text, "doc_id", "set-rows")
+    if rows is None:
+        return _classes(text, k, percent)
+    # an id with several rows: rows are joined by number, then ids gather their rows' components
+    found = materialise(_classes(rows.select(F.col("row").alias("doc_id"), "text"), k, percent), "set-found")
+    by_id = ids_of_rows(rows.select("doc_id", "row"), found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("label")),
+                        "doc_id", "set-ids")
+    first = found.join(by_id.select("row", F.col("id").alias("own")), found.doc_id == F.col("row")).groupBy("class_id").agg(F.min("own").alias("c"))
+    known = found.where("doc_id is not null").join(first, "class_id").join(by_id, F.col("doc_id") == F.col("row"))
+    return known.select(F.col("id").alias("doc_id"), "n_shingles", F.col("c").alias("class_id"), "component_id_of").withColumnRenamed(
+        "component_id_of", "component_id").unionByName(found.where("doc_id is null"))
+
+
+def _classes(text: DataFrame, k: int, percent: int) -> DataFrame:
+    """``jaccard_classes`` of rows with unique ids (``doc_id, text``)."""
+    scan, schema = _scan_classes(k, sketch_cells(text))
     scanned = materialise(text.mapInArrow(scan, schema), "sets")
     rows = scanned.where("slice = -1").select("doc_id", "n_shingles", "s1", "s2")
     classes = materialise(rows.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "s1", "s2")
@@ -235,15 +260,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _component_of_classes(text: DataFrame, scanned: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     spark = text.sparkSession
-    counts = _sum_slices(scanned.where("slice >= 0"))
-    levels = np.zeros(len(counts), np.uint8)
-    some = counts > 0
-    levels[some] = np.minimum(63, np.log2(counts[some]).astype(np.uint8) + 1)
-    sent = spark.sparkContext.broadcast(zlib.compress(levels.tobytes(), 1))  # SKETCH_CELLS bytes at most
+    levels = _sum_slices(scanned.where("slice >= 0"))
+    sent = spark.sparkContext.broadcast(zlib.compress(levels.tobytes(), 1))  # CELLS[1] bytes at most
     scan, schema = _scan_index(k, percent, sent)
     index = materialise(text.mapInArrow(scan, schema), "index").withColumnRenamed("doc_id", "cid")
-    if _repeats(scanned):
-        index = index.dropDuplicates(["cid", "n"])
     one = classes.select("cid", F.col("n_shingles").alias("n"))
     entries = index.select("cid", "n", "head").join(one, ["cid", "n"]).select(
         "cid", "n", F.posexplode("head").alias("pos", "tok"))
@@ -276,12 +296,6 @@ def _component_of_classes(text: DataFrame, scanned: DataFrame, classes: DataFram
     return component
 
 
-def _repeats(scanned: DataFrame) -> bool:
-    """True if an id occurs in several rows (its index rows are then made distinct)."""
-    ids = scanned.where("slice = -1 and doc_id is not null").groupBy("doc_id").count()
-    return not ids.where("count > 1").isEmpty()
-
-
 def _live(lists: DataFrame, component: DataFrame, index: DataFrame) -> DataFrame:
     """Lists that still hold several components, with members ``m``, pairs ``cross`` across components
     and the folded bit maps of their sets."""

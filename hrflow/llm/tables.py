@@ -78,5 +78,27 @@ def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 6
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def numbered_rows(df: DataFrame, key: str, name: str) -> DataFrame | None:
+    """``df`` with a number per row (``row``; NULL where ``key`` is) if some ``key`` occurs more than once,
+    else None: operators on pairs then work on rows and ``ids_of_rows`` gathers them."""
+    if df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty():
+        return None
+    return materialise(df.withColumn("row", F.when(F.col(key).isNotNull(), F.monotonically_increasing_id())), name)
+
+
+def ids_of_rows(rows: DataFrame, labels: DataFrame, key: str, name: str) -> DataFrame:
+    """``row, id, component_id_of`` of numbered ``rows``: the smallest ``key`` that a row reaches through
+    rows of one label (``row, label``) and rows that share a key."""
+    rows = rows.where("row is not null")
+    first = rows.groupBy(key).agg(F.min("row").alias("first"))
+    edges = (labels.where("row is not null").select(F.col("row").alias("a"), F.col("label").alias("b"))
+             .unionByName(rows.join(first, key).select(F.col("row").alias("a"), F.col("first").alias("b"))))
+    component = connected_components(edges, name)
+    at = rows.join(component.withColumnRenamed("id", "row"), "row", "left").select(
+        "row", F.col(key).alias("id"), F.coalesce("component", "row").alias("root"))
+    least = at.groupBy("root").agg(F.min("id").alias("component_id_of"))
+    return materialise(at.join(least, "root").select("row", "id", "component_id_of"), name)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -74,3 +74,11 @@ def test_unusable_vectors_link_with_nothing(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(table(spark, [])).count() == 0
+
+
+def test_repeated_ids_lose_no_link(spark):
+    x, y = [1.0, 0.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    near = lambda v: [v[0], 0.1, v[2], 0.0]
+    rows = [(1, x, 0, ""), (1, y, 0, ""), (2, near(x), 0, ""), (3, near(y), 0, ""), (4, [0.0, 0.0, 0.0, 1.0], 0, "")]
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_duplicates(table(spark, rows), 0.95).collect()), key=str)
+    assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)], key=str)

@@ -126,3 +126,23 @@ def test_connected_components_of_chains_and_stars(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 100 for i in range(101, 161)} | {b: 500 for a, b in edges if a == 500}
     assert {k: v for k, v in got.items() if k != v} == want
+
+
+def test_repeated_ids_lose_no_link(spark):
+    """Different texts of one id with sets of one size: what is near to either is linked."""
+    words = [f"w{i}" for i in range(120)]
+    a, b = " ".join(words[:60]), " ".join(words[60:])
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, "quite different text of its own"), (None, a), (5, None)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, row int")
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard_classes(df, k=4, percent=85).collect()), key=str)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (None, None), (5, 5)], key=str)
+
+
+def test_sketch_follows_the_corpus(spark):
+    from hrflow.llm import set_join
+    assert set_join.sketch_cells(spark.createDataFrame([], "text string")) == set_join.CELLS[0]
+    small = spark.range(4).selectExpr("repeat('x', 1000) AS text")
+    assert set_join.sketch_cells(small) == set_join.CELLS[0]
+    large = spark.range(1 << 10).selectExpr("repeat('x', 1 << 18) AS text")
+    assert set_join.sketch_cells(large) == 1 << 20
