@@ -26,15 +26,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document (the smallest id) of each group linked at 5-word shingle similarity 0.8,
-    one row of each repeated id, and rows without an id."""
+    """Keeps one document (the smallest id) of each group linked at 5-word shingle similarity 0.8, with
+    all its different texts (one row of each), and rows without an id."""
     found = jaccard_classes(docs, k=5, percent=80)
     again = found.where("doc_id != component_id").select("doc_id")
     again = materialise(again.distinct(), "again")
     kept = docs.join(again, "doc_id", "left_anti").select(*docs.columns)
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by pseudonyms; ``n_chars`` follows the new text where it is known."""
-    out = pseudonymise(docs, DEMO_KEY, out_col="_pii").drop("_pii")
+    """Replaces personal data by pseudonyms under the key in ``spark.hrflow.pii.key`` (a demonstration key
+    where it is unset); ``n_chars`` follows the new text where it is known."""
+    key = spark.conf.get("spark.hrflow.pii.key", None)
+    out = pseudonymise(docs, key.encode() if key else DEMO_KEY, out_col="_pii").drop("_pii")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
