@@ -183,6 +183,11 @@ def cooldown(stored: DataFrame) -> DataFrame:
 
 
 # J39 ------------------------------------------------------------------------------
+def retention_cutoff(as_of, days: int = RETENTION_DAYS) -> dt.datetime:
+    """Log rows before this moment are old."""
+    return (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of) - dt.timedelta(days=days)
+
+
 def retain_flag_log(log: DataFrame, strikes: DataFrame, as_of, days: int = RETENTION_DAYS) -> DataFrame:
     """Drop log rows older than ``as_of - days`` of employees in the strike table that are
     not inactive; keep everything else.
@@ -190,9 +195,7 @@ def retain_flag_log(log: DataFrame, strikes: DataFrame, as_of, days: int = RETEN
     Only the old part of the log meets the join, and the strike table is keyed, so the
     anti join needs no distinct.
     """
-    if isinstance(as_of, str):
-        as_of = dt.datetime.fromisoformat(as_of)
-    cutoff = F.lit(as_of - dt.timedelta(days=days)).cast("timestamp_ntz")
+    cutoff = F.lit(retention_cutoff(as_of, days)).cast("timestamp_ntz")
     resettable = strikes.filter(~F.coalesce(F.col("is_inactive"), F.lit(False))).select("employee_id")
     old = F.col("start_date") < cutoff
     recent = log.filter(~old | F.col("start_date").isNull())

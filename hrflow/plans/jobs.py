@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import history as H, leave as L, reports as R, strikes as K
@@ -83,6 +84,8 @@ class Layout:
     @property
     def flag_log_retained(self): return self.p("silver/flag_log_retained")
     @property
+    def flag_log_days(self): return self.p("silver/flag_log_days")
+    @property
     def checkpoints(self): return self.p("_checkpoints")
 
 
@@ -256,31 +259,58 @@ def _live_log(spark: SparkSession, lay: Layout) -> list[tuple[str, int, str]]:
             if not taken(f"log:{q}:{n}")]
 
 
+def _log_days(spark: SparkSession, lay: Layout, runs: list[str]) -> DataFrame:
+    """The log by day, as far as the named retention runs took it over."""
+    schema = T.StructType([*schemas.FLAG_LOG.fields, T.StructField("day", T.DateType()), T.StructField("taken", T.StringType())])
+    days = SRC.read_or_empty(spark, lay.flag_log_days, schema)
+    return days.where(F.col("taken").isin(runs))
+
+
 def run_log_retention(spark: SparkSession, lay: Layout, run_date: str) -> None:
-    """J39: the retained log takes over the stream's batches, drops expired rows and remembers how
-    far it got; the batches taken over are then deleted. The key is its own, so a run that died
-    after the cool-down still retains."""
+    """J39 by day: the log's days take over the stream's batches, days past the cutoff are read, what
+    stays of them (employees that are inactive) joins the kept rows, and their folders are deleted.
+
+    Days that are kept are neither read nor written. The commit of the kept rows names the run, the
+    cutoff and the batches taken over, so a run that died is taken up by the next one; its key is its
+    own, so one that died after the cool-down still retains.
+    """
     key = f"retention:{run_date}"
 
     def once():
-        parent = snapshot.current_version(spark, lay.flag_log_retained)
+        parent, found = snapshot.current_version(spark, lay.flag_log_retained), snapshot.current_folder(spark, lay.flag_log_retained)
         live = _live_log(spark, lay)
         if snapshot.is_applied(spark, lay.flag_log_retained, key) or (parent is None and not live):
             return parent
-        kept = K.retain_flag_log(read_flag_log(spark, lay), read_strikes(spark, lay), f"{run_date} 00:00:00")
-        return snapshot.commit(spark, lay.flag_log_retained, kept, [key, *(f"log:{q}:{n}" for q, n, _ in live)],
-                               parent=parent)
+        about = found[1] if found else {"runs": [], "cutoff": ""}
+        runs, cutoff = sorted({*about["runs"], run_date}), str(K.retention_cutoff(f"{run_date} 00:00:00").date())
+        if live:
+            rows = read_landed(spark, [path for _, _, path in live], schemas.FLAG_LOG)
+            SF.write_partitioned(rows.withColumns({"day": F.to_date("start_date"), "taken": F.lit(run_date)}),
+                                 lay.flag_log_days, ["day", "taken"])
+        expired = _log_days(spark, lay, runs).where(F.col("day") < F.lit(cutoff).cast("date")).select(*schemas.FLAG_LOG.fieldNames())
+        kept = snapshot.read_current(spark, lay.flag_log_retained, schemas.FLAG_LOG).unionByName(expired)
+        kept = K.retain_flag_log(kept, read_strikes(spark, lay), f"{run_date} 00:00:00")
+        return snapshot.commit_folder(spark, lay.flag_log_retained, lambda path: SF.write_parquet(kept, path),
+                                      [key, *(f"log:{q}:{n}" for q, n, _ in live)],
+                                      {"runs": runs, "cutoff": max(cutoff, about["cutoff"])}, parent)
 
     snapshot.retrying(once)
-    taken = snapshot.applied(spark, lay.flag_log_retained)
+    found, taken = snapshot.current_folder(spark, lay.flag_log_retained), snapshot.applied(spark, lay.flag_log_retained)
     for q, n, path in numbered_folders(spark, f"{lay.flag_log}/query_id=*/batch_id=*"):
         if taken(f"log:{q}:{n}"):
             SF.delete_folder(spark, path)
+    for day, path in SF.partition_folders(spark, lay.flag_log_days, "day") if found else []:
+        if day < found[1]["cutoff"]:
+            SF.delete_folder(spark, path)
 
 
 def read_flag_log(spark: SparkSession, lay: Layout) -> DataFrame:
-    """The flag log as of now: the last retained version plus the stream's batches that it has not
-    taken over."""
-    kept = snapshot.read_current(spark, lay.flag_log_retained, schemas.FLAG_LOG)
+    """The flag log as of now: kept rows of expired days, the days since, and the stream's batches that
+    are not taken over yet."""
+    found = snapshot.current_folder(spark, lay.flag_log_retained)
+    log = snapshot.read_current(spark, lay.flag_log_retained, schemas.FLAG_LOG)
+    if found:
+        since = F.col("day").isNull() | (F.col("day") >= F.lit(found[1]["cutoff"]).cast("date"))
+        log = log.unionByName(_log_days(spark, lay, found[1]["runs"]).where(since).select(*log.columns))
     live = [path for _, _, path in _live_log(spark, lay)]
-    return kept.unionByName(read_landed(spark, live, schemas.FLAG_LOG)) if live else kept
+    return log.unionByName(read_landed(spark, live, schemas.FLAG_LOG)) if live else log

@@ -75,6 +75,15 @@ def write_json_arrays(df: DataFrame, path: str, value: str | None = None, max_it
     parts.write.mode("overwrite").partitionBy("part").text(path)
 
 
+def partition_folders(spark, path: str, column: str) -> list[tuple[str, str]]:
+    """(value, folder) of the partitions of ``column`` directly below ``path`` that have a value."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return [(v, f"{path}/{column}={v}") for v in sorted(values) if v != "__HIVE_DEFAULT_PARTITION__"]
+
+
 def delete_folder(spark, path: str) -> None:
     """Delete a folder on whatever store it is in."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

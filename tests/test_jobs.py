@@ -169,3 +169,32 @@ def test_crash_between_cooldown_and_retention(spark, tmp_dir, monkeypatch):
     jobs.run_monthly(spark, lay, "2024-04-01")
     assert jobs.read_flag_log(spark, lay).count() == 0
     assert [r.no_of_strikes for r in jobs.read_strikes(spark, lay).collect()] == [0]
+
+
+def test_retention_leaves_kept_days_alone(spark, tmp_dir, monkeypatch):
+    """Days past the cutoff go, rows of inactive employees stay, files of later days are not written again."""
+    import glob
+    import pytest
+    lay = jobs.Layout(os.path.join(tmp_dir, "lake"))
+    monitor.init_strikes(spark, jobs.monitor_config(lay), spark.createDataFrame(
+        [("1", 1.0, *[None] * 10, 1, False), ("2", 1.0, *[None] * 10, 12, True)], schemas.STRIKES))
+    at = [dt.datetime(2024, m, 15, 9) for m in (1, 2, 3)]
+    _log(spark, lay, 0, [(e, "sender", t) for e in ("1", "2", "9") for t in at] + [("1", "sender", None)])
+    with monkeypatch.context() as m:  # dies after the days were written
+        m.setattr(snapshot, "commit_folder", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            jobs.run_log_retention(spark, lay, "2024-02-20")
+    assert jobs.read_flag_log(spark, lay).count() == 10
+
+    def log():
+        return sorted((r.employee_id, r.start_date.month if r.start_date else 0) for r in jobs.read_flag_log(spark, lay).collect())
+
+    jobs.run_log_retention(spark, lay, "2024-03-01")      # another run date takes it up
+    assert log() == [("1", 0), ("1", 2), ("1", 3), ("2", 1), ("2", 2), ("2", 3), ("9", 1), ("9", 2), ("9", 3)]
+    files = {f: os.path.getmtime(f) for f in glob.glob(f"{lay.flag_log_days}/day=2024-03-15/taken=2024-03-01/*.parquet")}
+    assert files and not os.path.exists(f"{lay.flag_log_days}/day=2024-01-15")
+    _log(spark, lay, 1, [("1", "receiver", at[0]), ("1", "receiver", at[2])])
+    jobs.run_log_retention(spark, lay, "2024-04-01")
+    assert log() == [("1", 0), ("1", 3), ("1", 3), ("2", 1), ("2", 2), ("2", 3), ("9", 1), ("9", 2), ("9", 3)]
+    assert {f: os.path.getmtime(f) for f in files} == files
+    assert [d for d, _ in jobs.SF.partition_folders(spark, lay.flag_log_days, "day")] == ["2024-03-15"]
