@@ -42,7 +42,7 @@ NOISE = set("ad ads adv advert adverts advertisement advertising banner breadcru
             "login paywall outbrain taboola copyright".split())
 #: Never taken for the main text, however long; nor is what is hidden.
 REPLIES = set("comment comments disqus respond reply replies related recommended".split())
-#: An article of so many characters outside of page furniture is enough.
+#: Furniture of a page whose article has less text than this outside of furniture may hold the article.
 ENOUGH = 250
 KEEP = {"article", "main", "body", "html"}
 #: Elements closed by the opening of one of the named elements.
@@ -54,10 +54,10 @@ STOP_CLOSING = {"table", "ul", "ol", "dl", "div", "section", "article", "body",
 class Node:
     """An element: children are nodes and strings; points, text length and linked length of its kept text."""
 
-    __slots__ = ("tag", "parent", "children", "noise", "fixed", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "children", "noise", "fixed", "weak", "points", "length", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool, fixed: bool = False):
-        self.fixed = fixed
+    def __init__(self, tag: str, parent: Node | None, noise: bool, fixed: bool = False, weak: bool = False):
+        self.fixed, self.weak = fixed, weak
         self.tag, self.parent, self.noise = tag, parent, noise
         self.children: list[Node | str] = []
         self.points = 0.0
@@ -81,6 +81,20 @@ def _is_noise(tag: str, token: str) -> bool:
     return False
 
 
+def _is_weak(tag: str, token: str) -> bool:
+    """Noise only by a part of a longer class or id name ("share-wrapper")."""
+    if tag in DROPPED:
+        return False
+    for name, a, b, c in ATTRIBUTE.findall(token):
+        name, value = name.lower(), (a or b or c).lower()
+        if name in ("class", "id"):
+            if not NOISE.isdisjoint(value.split()):
+                return False
+        elif name == "role" and value in ROLES:
+            return False
+    return True
+
+
 def _is_fixed(tag: str, token: str) -> bool:
     """Noise whatever it holds."""
     if tag in ("head", "select", "option", "svg", "math", "dialog", "footer"):
@@ -142,13 +156,51 @@ def parse(page: str) -> Node:
         if tag in ("html", "body"):
             continue
         noise = _is_noise(tag, token)
-        child = Node(tag, node, noise, noise and _is_fixed(tag, token))
+        child = Node(tag, node, noise, noise and _is_fixed(tag, token), noise and _is_weak(tag, token))
         node.children.append(child)
         if tag not in VOID and not token.endswith("/>"):
             node = child
     return root
 
 
+def _prose(root: Node, skip: bool) -> tuple[int, int, int]:
+    """Unlinked text, linked text and blocks with text below an element; ``skip``: without what is noise."""
+    plain = linked = blocks = 0
+    stack = [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        inside = inside or node.tag == "a"
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        plain, linked = plain + (0 if inside else own), linked + (own if inside else 0)
+        blocks += bool(own) and node.tag not in INLINE
+        stack.extend((c, inside) for c in node.children if not isinstance(c, str) and not (c.fixed or skip and c.noise))
+    return plain, linked, blocks
+
+
+def _restore(root: Node) -> None:
+    """Elements of an article or main element that are noise by a part of their name only count as text
+    where they read like it: several blocks, few links, and blocks not much shorter than the article's."""
+    stack, found = [root], []
+    while stack:
+        node = stack.pop()
+        if node.fixed or node.noise and not node.weak:
+            continue
+        if node.noise:
+            up = node.parent
+            while up is not None and up.tag not in ("article", "main"):
+                up = up.parent
+            if up is not None:
+                found.append((node, up))
+            continue
+        stack.extend(c for c in node.children if not isinstance(c, str))
+    around = {id(up): _prose(up, True) for _, up in found}
+    for node, up in found:
+        plain, linked, blocks = _prose(node, False)
+        rest, _, others = around[id(up)]
+        if blocks >= 3 and linked < 0.25 * (plain + linked) and 2 * plain * others >= rest * blocks:
+            node.noise = False
+
+
 def _rescue(root: Node) -> None:
     """Noise that holds the article or most of the page's text counts as no noise."""
     order, stack = [], [(root, False, False)]
@@ -262,6 +314,9 @@ def _widen(best: Node) -> list[Node]:
                 break
         up = up.parent
     if found is not None:
+        if found.tag == "article" and found.parent is not None:  # sibling articles that are text, in page order
+            return [c for c in found.parent.children if c is found or not isinstance(c, str) and c.tag == "article" and not c.noise
+                    and c.linked < 0.25 * c.length and c.length - c.linked >= 0.2 * (found.length - found.linked)]
         return [found]
     parts = [best]
     while best.parent is not None:
@@ -313,6 +368,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _restore(root)
     _rescue(root)
     _measure(root)
     if not root.length:

@@ -35,6 +35,8 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
 
 FILE_BYTES = 256 << 20
 STRETCH = 4 << 20
+#: Archive bytes that a reading task takes.
+TASK_BYTES = 8 << 20
 GAP = 64 << 10
 INDEX = ("file string, offset long, length long, page_id long, url string, payload_digest string, "
          "payload_bytes long, record_type string, refers_to long")
@@ -148,6 +150,9 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
     stretches = (index.select("file", F.expr(f"offset div {STRETCH}").alias("stretch"), "offset", "length")
                  .groupBy("file", "stretch").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
                  .select("file", "ranges"))  # a stretch holds STRETCH bytes of records at most
+    # tasks by the bytes of the archives: the index is small whatever it names
+    tasks = 1 + (index.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES
+    stretches = stretches.repartition(tasks, "file", "stretch")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(target)

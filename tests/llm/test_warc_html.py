@@ -110,3 +110,32 @@ def test_wrappers_with_class_words_keep_their_article(page):
     side = '<div class="sidebar"><p>Read other things here.</p></div><div class="comments"><p>' + "So true, I say. " * 90 + "</p></div>"
     got = main_text(f"<html><body>{page.format(body + side)}</body></html>")
     assert all(f"Paragraph {i} tells" in got for i in range(8)) and "So true" not in got and "Read other" not in got
+
+
+def paragraphs(n, name):
+    return "".join(f"<p>{name} paragraph number {i}, which says something, and then something more.</p>" for i in range(n))
+
+
+def test_parts_of_an_article_with_furniture_names_stay():
+    from hrflow.llm.html_text import main_text
+    page = (f"<body><nav><a href=x>Home</a></nav><article>{paragraphs(4, 'first')}<div class='share-wrapper'>{paragraphs(40, 'wrapped')}</div>"
+            "<div class='share-buttons'><a href=a>Tweet</a> <a href=b>Post</a></div></article><footer>foot</footer></body>")
+    assert main_text(page).split("\n")[-1].startswith("wrapped paragraph number 39") and main_text(page).count("\n") == 43
+    page = f"<body><main>{paragraphs(20, 'plain')}<section class='social-history'>{paragraphs(20, 'history')}</section></main></body>"
+    assert main_text(page).count("paragraph number") == 40
+
+
+def test_sibling_articles_are_joined():
+    from hrflow.llm.html_text import main_text
+    page = (f"<body><article>{paragraphs(9, 'one')}</article><article>{paragraphs(8, 'two')}</article><article><a href=x>teaser</a></article>"
+            f"<div class='newsletter'>{paragraphs(5, 'join')}</div></body>")
+    text = main_text(page).split("\n")
+    assert len(text) == 17 and text[0].startswith("one") and text[-1].startswith("two")
+
+
+def test_archives_are_read_by_several_tasks(spark, monkeypatch):
+    from hrflow.llm import warc
+    monkeypatch.setattr(warc, "TASK_BYTES", 1000)
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "concat(uuid(), uuid(), uuid()) AS html").repartition(3)
+    out = warc.archive_round_trip(pages)
+    assert out.rdd.getNumPartitions() > 3 and out.count() == 40
