@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from .json_array import read_array_items
+
 
 # S1 -------------------------------------------------------------------------------
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -47,21 +49,20 @@ def read_partition(spark: SparkSession, path: str, column: str, value) -> DataFr
 def read_json_string_array(spark: SparkSession, path: str, column: str = "word") -> DataFrame:
     """Files that each hold one JSON array of strings (a word list or vocabulary).
 
-    ``read.json`` cannot read this shape; each file is read whole and parsed with
-    ``from_json``. Several files (one array each) are read in parallel.
+    Files are read in byte ranges, so one huge array is read by several tasks; NULL items stay.
     """
-    raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.explode(F.from_json("value", "array<string>")).alias(column))
+    one = F.from_json(F.concat(F.lit("["), "item", F.lit("]")), "array<string>")
+    return read_array_items(spark, path).select(F.get(one, F.lit(0)).alias(column))
 
 
 # S8 -------------------------------------------------------------------------------
 def read_json_objects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Files that each hold one JSON array of objects (or one object). Partition
-    folders of the path are not part of the result."""
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
-    if isinstance(schema, T.StructType):
-        df = df.select(*schema.fieldNames())
-    return df
+    """Files that each hold one JSON array of objects (or one object), read in byte ranges.
+
+    Fields that are absent or do not parse are NULL, as are all fields of an item that is no
+    object. Partition folders of the path are not part of the result.
+    """
+    return read_array_items(spark, path).select(F.from_json("item", schema).alias("r")).select("r.*")
 
 
 # S9 -------------------------------------------------------------------------------

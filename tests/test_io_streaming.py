@@ -1,4 +1,6 @@
+import json
 import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -34,6 +36,31 @@ def test_json_objects_file(spark, tmp_dir):
     assert rows(SRC.read_json_objects(spark, p, schemas.MESSAGE)) == [("EMP042", "EMP099", "x"), ("a", None, None)]
 
 
+def test_one_json_array_is_read_by_many_tasks(spark, tmp_dir):
+    rng = random.Random(3)
+    text = lambda: "".join(rng.choice(list('ab,,{}[]":\\\n é')) for _ in range(rng.randint(0, 40)))
+    objects = [{"sender": text(), "receiver": text(), "message": text() * rng.choice((1, 1, 30))} for _ in range(200)]
+    words = [text() for _ in range(300)] + [None, "", ","]
+    both = {"o.json": objects, "w.json": words, "one.json": objects[0], "none.json": [], "blank.json": None}
+    for name, value in both.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("" if value is None else json.dumps(value, indent=rng.choice((None, 1)), ensure_ascii=name == "w.json"))
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, "300")
+    try:
+        at = lambda name: os.path.join(tmp_dir, name)
+        assert spark.read.option("lineSep", ",").text(at("o.json")).rdd.getNumPartitions() > 20
+        want = sorted((o["sender"], o["receiver"], o["message"]) for o in objects)
+        assert rows(SRC.read_json_objects(spark, at("o.json"), MSG)) == want
+        assert rows(SRC.read_json_objects(spark, at("one.json"), MSG)) == [tuple(objects[0].values())]
+        got = [r.word for r in SRC.read_json_string_array(spark, at("w.json")).collect()]
+        assert sorted(got, key=str) == sorted(words, key=str)
+        for name in ("none.json", "blank.json"):
+            assert rows(SRC.read_json_string_array(spark, at(name))) == []
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_read_or_empty_only_catches_missing_path(spark, tmp_dir):
     df = SRC.read_or_empty(spark, os.path.join(tmp_dir, "nope"), schemas.QUOTA)
     assert df.count() == 0 and df.schema == schemas.QUOTA
