@@ -1,12 +1,12 @@
 """``lead`` within a key that stays balanced when one key is huge.
 
 A plain ``lead().over(Window.partitionBy(key))`` sends every row of a key to one task.
-Here the first order column cuts each key into slices of a fixed width (30 days), so a key
-holding a third of all rows is spread over as many tasks as it has slices. ``lead`` runs
-within (key, slice); the last row of a slice then finds its successor among the first and
-last rows of the key's slices, of which a key has two per slice whatever its size. A slice
-follows from the row alone, so there is one path for every input and nothing to agree on
-between parts of the plan.
+Here the first order column cuts each key into slices of one day, so a key holding a third of
+all rows, be it within one month, is spread over as many tasks as it has days. ``lead`` runs
+within (key, day); the last row of a day then finds its successor among the first and last
+rows of the key's days. Both sides are bounded whatever the size of a key: two rows per day
+(73 000 per century), and the rows of one day. A slice follows from the row alone, so there is one
+path for every input and nothing to agree on between parts of the plan.
 
 All order columns are ascending with NULLs first. Rows that tie in the whole order are
 interchangeable. An order that starts with text is not cut.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-SLICE_DAYS = 30
+SLICE_DAYS = 1
 
 
 def _slice(df: DataFrame, column: str, width: float | None):

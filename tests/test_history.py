@@ -99,6 +99,19 @@ def test_sliced_lead_equals_window_with_an_extra_column(spark, reuse, aqe):
             spark.conf.set(c, v)
 
 
+def test_key_with_one_busy_month_is_spread(spark):
+    """A key with 300 000 rows within 30 days: no group of the windows holds more than a day's rows or
+    two rows a day."""
+    from hrflow.functions import sequence
+    month = spark.range(300_000).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % (30 * 86_400)).alias("o"), F.col("id").alias("v"))
+    df = month.unionByName(spark.range(3_000).select(F.col("id").cast("string").alias("k"), F.lit(5).alias("o"), F.col("id").alias("v")))
+    sizes = df.groupBy("k", sequence._slice(df, "o", None).alias("s")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 300_000 // 30 + 100
+    assert sizes.groupBy("k").count().agg(F.max("count")).first()[0] == 30
+    got = sequence.next_in_key(df, "k", ["o", "v"], "v", "nxt")
+    assert got.exceptAll(_plain_lead(df, "k", ["o", "v"], "v")).count() == 0 and got.count() == 303_000
+
+
 def test_replace_mode_intervals_do_not_overlap(spark):
     df = spark.createDataFrame([("1", "A", s, None, 1.0) for s in (10, 30, 20, 50)],
                                "emp_id string, designation string, start_date long, end_date long, salary double")
