@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -167,3 +168,25 @@ def test_licenses_among_other_words(spark):
     got = {r.path: r.own_license for r in lic.scan(spark.createDataFrame(files, "path string, text string")).collect() if r.path[:2] != "no"}
     assert got == {"d5": "Apache-2.0", "d10": "Apache-2.0", "d20": "Apache-2.0", "d3000": "Apache-2.0", "g": "GPL-3.0",
                    "two": "Apache-2.0", "plain": None, "copyright": None}
+
+
+def test_whole_licences_are_licence_files_whatever_their_names(spark):
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + "\n".join(textwrap.wrap(lic.WHOLE_TEXTS["MIT"], 70))
+    isc = "ISC License\n\nCopyright (c) 2021, Another One\n\n" + "\n".join(textwrap.wrap(lic.WHOLE_TEXTS["ISC"], 70))
+    bsd = "Copyright 1999 A University\n\n" + "\n".join(textwrap.wrap(lic.WHOLE_TEXTS["BSD-3-Clause"], 60))
+    story = " ".join(f"story{i}" for i in range(400))
+    files = [("p/LICENSE", mit), ("p/src/a.py", "x = 1"), ("p/src/b.py", "x = 2"), ("i/LICENSE.md", isc), ("i/src/a.py", "y"),
+             ("b/terms.txt", bsd), ("b/one/two/a.py", "z"), ("m/terms.txt", mit.upper()), ("m/a.py", "q"),
+             ("n/COPYING", "Licensed under the Apache License, Version 2.0.\n" + story), ("n/a.py", "w"),
+             ("o/story.txt", "Licensed under the Apache License, Version 2.0.\n" + story), ("o/a.py", "v"),
+             ("o/LICENSE", story)] + [(f"x/no{j}.txt", "an ordinary text") for j in range(200)]
+    got = {r.path: (r.own_license, r.license, r.inherited_from)
+           for r in lic.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["p/LICENSE"][0] == got["m/terms.txt"][0] == "MIT" and got["i/LICENSE.md"][0] == "ISC"
+    assert got["b/terms.txt"][0] == "BSD-3-Clause" and got["n/COPYING"][0] == got["o/story.txt"][0] == "Apache-2.0"
+    assert got["p/src/a.py"] == got["p/src/b.py"] == (None, "MIT", "p/LICENSE")
+    assert got["i/src/a.py"] == (None, "ISC", "i/LICENSE.md") and got["m/a.py"] == (None, "MIT", "m/terms.txt")
+    assert got["b/one/two/a.py"] == (None, "BSD-3-Clause", "b/terms.txt")
+    assert got["n/a.py"] == (None, "Apache-2.0", "n/COPYING")
+    assert got["o/a.py"] == got["o/LICENSE"] == got["x/no7.txt"] == (None, None, None)
+    assert len(got) == len(files)
