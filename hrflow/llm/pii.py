@@ -139,25 +139,62 @@ def _iban(text: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(it) for c in text)
 
 
+#: Month names (fixed values).
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+_MONTH = r"(?:%s)" % "|".join(f"{m[:3]}(?:{m[3:]})?" if len(m) > 3 else m for m in MONTHS)
+
+
+def _new_day(year: str, month: str | int, day: str, key: bytes) -> dt.date | None:
+    """The pseudonym of a day of 1900 to 2099; None if there is no such day."""
+    try:
+        at = dt.date(int(year), int(month), int(day)).toordinal()
+    except ValueError:
+        return None
+    if not FIRST_DAY <= at <= LAST_DAY:
+        return None
+    return dt.date.fromordinal(FIRST_DAY + permute(at - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, b"date"))
+
+
 def _date(text: str, key: bytes) -> str | None:
-    """A day of 1900 to 2099 in the layout found: y-m-d, d.m.y, and m/d/y (d/m/y if only that is a date)."""
+    """A day of 1900 to 2099 in the layout found: y-m-d, d.m.y, and m/d/y (d/m/y if only that is a date).
+
+    Days and months are padded to two digits if both are in the date found.
+    """
     mark = re.search(r"\D", text)[0]
     a, b, c = text.split(mark)
     orders = ("ymd",) if len(a) == 4 else ("mdy", "dmy") if mark == "/" else ("dmy", "mdy")
     for order in orders:
         at = dict(zip(order, (a, b, c)))
-        try:
-            day = dt.date(int(at["y"]), int(at["m"]), int(at["d"])).toordinal()
-        except ValueError:
-            continue
-        if not FIRST_DAY <= day <= LAST_DAY:
-            return None
-        new = dt.date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, b"date"))
-        parts = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
-        return mark.join(parts[o] for o in order)
+        new = _new_day(at["y"], at["m"], at["d"], key)
+        if new is not None:
+            wide = 2 if len(at["m"]) == len(at["d"]) == 2 else 1
+            parts = {"y": f"{new.year:04d}", "m": f"{new.month:0{wide}d}", "d": f"{new.day:0{wide}d}"}
+            return mark.join(parts[o] for o in order)
     return None
 
 
+def _named_date(text: str, key: bytes) -> str | None:
+    """A date with the month's name, in its layout: the name whole or its first three letters, in its case."""
+    name = re.search(r"[A-Za-z]{3,}", re.sub(r"(?i)(?<=\d)(st|nd|rd|th)", "  ", text))
+    month = [m[:3].lower() for m in MONTHS].index(name[0][:3].lower()) + 1
+    numbers = re.findall("[0-9]+", text)
+    day, year = sorted(numbers, key=len)
+    new = _new_day(year, month, day, key)
+    if new is None:
+        return None
+    word = MONTHS[new.month - 1] if len(name[0]) > 3 or month == 5 else MONTHS[new.month - 1][:3]
+    word = word.upper() if name[0].isupper() else word.lower() if name[0].islower() else word
+    end = "th" if new.day in (11, 12, 13) else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+    wide = 2 if day[0] == "0" else 1
+
+    def part(m: re.Match) -> str:
+        if m[0][0].isalpha():
+            return word
+        return str(new.year) if len(m[0]) == 4 else f"{new.day:0{wide}d}" + (end if m["nth"] else "")
+
+    return re.sub(r"(?i)[0-9]+(?P<nth>st|nd|rd|th)?|[a-z]{3,}", part, text)
+
+
 def _access_key(text: str, key: bytes) -> str | None:
     return text[:4] + "".join(_mixed(text[4:], key, b"access", LOWER.upper() + DIGITS))
 
@@ -167,16 +204,19 @@ def _secret(text: str, key: bytes) -> str | None:
     return _mixed(text, key, b"secret", HEX if hexed else None)
 
 
-#: Detectors: kind, text that must occur, pattern, replacement. In order of precedence at one place.
+#: Detectors: kind, text that must occur ("=:" either, "year" four digits after a space or hyphen), pattern, replacement. In order of precedence at one place.
 DETECTORS: list[tuple[str, str, str, Callable[[str, bytes], str | None]]] = [
     ("secret", "=:", r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]*[=:][ \t]*[\"']?)(?P<v>[^\s\"',;]{6,})", _secret),
     ("access_key", "AKIA", r"(?<![A-Za-z0-9])(?P<v>AKIA[A-Z0-9]{16})(?![A-Za-z0-9])", _access_key),
     ("iban", "", r"(?<![A-Za-z0-9])(?P<v>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])", _iban),
-    ("date", "", r"(?<![\w./-])(?P<v>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./-])[0-9]{2}\2[0-9]{4})(?![\w/-]|\.[0-9])", _date),
+    ("date", "", r"(?<![\w./-])(?P<v>[0-9]{4}([./-])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([./-])[0-9]{1,2}\3[0-9]{4})(?![\w/-]|\.[0-9])", _date),
+    ("date", "year", r"(?i:(?<![\w./-])(?P<v>[0-9]{1,2}(?:st|nd|rd|th)?(?: of)?[ -]%s\.?,?[ -][0-9]{4}|%s\.? [0-9]{1,2}(?:st|nd|rd|th)?,? [0-9]{4})(?![\w/-]|\.[0-9]))"
+     % (_MONTH, _MONTH), _named_date),
     ("ssn", "-", r"(?<![\w-])(?P<v>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])", _ssn),
     ("ip", ".", r"(?<![\w.])(?P<v>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])", _ip),
     ("phone", "", r"(?<![\w.])(?P<v>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}"
                   r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\w|[.-][0-9])", _phone),
+    ("phone", "", r"(?P<v>[2-9](?<![\w.+-].)(?<![0-9][ .-].)[0-9]{2} [2-9][0-9]{2}[ -][0-9]{4})(?![\w+-]|[ .-][0-9])", _phone),
 ]
 #: Digits with single separators: a run may hold several numbers side by side.
 _RUN = r"(?<![0-9A-Za-z_])(?<![0-9]\.)[0-9]+(?:[ -][0-9]+)*(?![0-9A-Za-z_])"
@@ -193,6 +233,7 @@ class Scanner:
         self.run = re.compile(_RUN) if kinds is None or "card" in kinds else None
         self.long = re.compile("[0-9](?:[ -]?[0-9]){12}")
         self.rest = [(k, need, re.compile(p), f) for k, need, p, f in DETECTORS if kinds is None or k in kinds]
+        self.year = re.compile("[ -][0-9]{4}(?![0-9])")
         self.digit, self.local, self.domain = re.compile("[0-9]"), re.compile(_LOCAL), re.compile(_DOMAIN)
 
     def _new(self, kind: str, value: str, f) -> str | None:
@@ -215,7 +256,7 @@ class Scanner:
         if self.run and self.long.search(text):
             yield from self._cards(text)
         for order, (kind, need, pattern, f) in enumerate(self.rest):
-            if need and not (any(c in text for c in need) if need == "=:" else need in text):
+            if need and not (any(c in text for c in need) if need == "=:" else self.year.search(text) if need == "year" else need in text):
                 continue
             for m in pattern.finditer(text):
                 new = self._new(kind, m["v"], f)

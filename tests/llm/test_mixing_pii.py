@@ -1,7 +1,9 @@
+import datetime
 import math
 import random
 import re
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -132,6 +134,41 @@ def test_what_is_not_valid_stays():
     assert pii.Scanner(KEY).replace(text) == (text, [])
 
 
+@pytest.mark.parametrize("written", [
+    "2021/03/04", "2021.3.4", "2021-3-4", "3/4/2021", "4.3.2021", "04-03-2021", "4 March 2021", "04 Mar 2021", "March 4, 2021",
+    "Mar. 4 2021", "4th of March 2021", "4th March, 2021", "MARCH 4th, 2021", "4-Mar-2021", "march 4 2021"])
+def test_one_day_has_one_pseudonym_in_every_layout(written):
+    day = datetime.date.fromordinal(pii.FIRST_DAY + pii.permute(
+        datetime.date(2021, 3, 4).toordinal() - pii.FIRST_DAY, pii.LAST_DAY - pii.FIRST_DAY + 1, KEY, b"date"))
+    new, spans = pii.Scanner(KEY).replace(f"on {written}, he said.")
+    assert [x["kind"] for x in spans] == ["date"] and new.startswith("on ") and new.endswith(", he said.")
+    value = new[3:-10]
+    assert str(day.year) in value and written not in new
+    numbers = [int(x) for x in re.findall("[0-9]+", value)]
+    if re.search("(?i)mar", written):
+        assert sorted(numbers) == sorted([day.day, day.year])
+        name = pii.MONTHS[day.month - 1]
+        assert re.search("[A-Za-z]{3,}", re.sub("(?i)(?<=[0-9])(st|nd|rd|th)", "", value))[0].lower() in (name.lower(), name[:3].lower())
+        assert (written.isupper() or not value.isupper()) and ("," in written) == ("," in value)
+    else:
+        assert sorted(numbers) == sorted([day.day, day.month, day.year])
+        assert re.sub("[0-9]", "", value) == re.sub("[0-9]", "", written)
+    back, _ = pii.Scanner(KEY).replace(f"on {written}, he said.")
+    assert back == new
+
+
+def test_dates_and_numbers_that_are_none():
+    text = "31 February 2021, May 40, 2021, 4 Marches 2021, 30.2.2021, 13/13/2021, 1.2.3, 112 555 1234 x, 5 212 555 1234, 212 555 12345, 4 May 1850"
+    assert pii.Scanner(KEY).replace(text) == (text, [])
+
+
+def test_telephone_numbers_with_spaces():
+    new, spans = pii.Scanner(KEY).replace("call 212 555 1234 or 212 555-1234.")
+    assert [x["kind"] for x in spans] == ["phone", "phone"]
+    a, b = (re.sub(r"\D", "", new[x["start"]:x["end"]]) for x in spans)
+    assert a == b != "2125551234" and re.fullmatch(r"call \d{3} \d{3} \d{4} or \d{3} \d{3}-\d{4}\.", new)
+
+
 def test_pseudonymise_keeps_columns(spark):
     df = spark.createDataFrame([(1, None, 1), (2, "", 2), (3, TEXT, 3), (3, TEXT, 3), (None, "é ü " * 50_000 + TEXT, 4)],
                                "doc_id long, text string, pii int")
