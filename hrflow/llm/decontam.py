@@ -2,9 +2,10 @@
 
 Words are compared lower-cased and without marks. Benchmark items are cut into passages of at most ``BLOCK`` words. Words of the benchmark are
 the vocabulary; their document frequencies are counted over all documents. A randomised SVD
-(range finder with power steps, every product with the matrix computed in tasks) of the
-TF-IDF rows of benchmark passages and of passages of a bounded sample of documents gives a
-latent space. Every document is cut into blocks of ``BLOCK`` words; two neighbouring blocks are
+(range finder with power steps) of the TF-IDF rows of benchmark passages and of the blocks of all
+documents gives a latent space. The documents are read once for it: the counts of their blocks are
+kept as a table, of which tasks make A'A (up to ``GRAM_WORDS`` words) or its products with a matrix.
+Every document is cut into blocks of ``BLOCK`` words; two neighbouring blocks are
 a window, so each passage copied anywhere lies whole in some window. Windows are compared with
 all passages by latent cosine and by shared words: a passage of which a window could hold the
 share that an item needs is a candidate whatever its cosine, so none is lost, however short the
@@ -26,12 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .tables import materialise
+from .tables import drop_table, materialise
 
 BLOCK = 32
 RANK = 96
 POWER_STEPS = 2
-SAMPLE_DOCS = 1000
+#: Words up to which A'A is made once (half a square of them per task); with more, each step reads the blocks.
+GRAM_WORDS = 6000
+#: Blocks that a task adds up into A'A.
+GRAM_BLOCKS = 1 << 20
+#: Rows of A'A in a row of the table that holds it.
+STRIP = 32
 MIN_WORDS = 5
 ANSWER_WORDS = 6
 #: Coverage at which an item without a given answer counts by itself; its last words are asked for below.
@@ -96,14 +102,16 @@ class Index:
     def weigh(self, df: np.ndarray, n_docs: int) -> None:
         self.idf = np.log((1.0 + n_docs) / (1.0 + df)) + 0.05
 
-    def rows(self, hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sparse unit TF-IDF rows: row, word, value."""
+    def tally(self, hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of the vocabulary in each row: row, word, times."""
         at, k = self.find(hashes)
         pair, tf = np.unique(row[at] * max(1, len(self.vocabulary)) + k, return_counts=True)
-        r, c = np.divmod(pair, max(1, len(self.vocabulary)))
+        return *np.divmod(pair, max(1, len(self.vocabulary))), tf
+
+    def unit(self, r: np.ndarray, c: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sparse unit TF-IDF rows: row, word, value."""
         x = (1 + np.log(tf)) * self.idf[c]
-        norm = np.sqrt(np.bincount(r, x * x, minlength=n))
-        return r, c, x / norm[r]
+        return r, c, x / np.sqrt(np.bincount(r, x * x))[r]
 
     def post(self, share: float) -> None:
         """Lists of the passages of each word for ``sharing``. Of a passage that needs n of its m words,
@@ -122,7 +130,7 @@ class Index:
     def sharing(self, block: np.ndarray, k: np.ndarray, joined: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Windows and passages that share enough words; ``joined``: blocks followed by one of the same document."""
         size = np.diff(self.begin)
-        own, word = np.divmod(np.unique((block * len(size) + k)[size[k] > 0]), len(size))
+        own, word = np.divmod(_distinct((block * len(size) + k)[size[k] > 0]), len(size))
         step = max(1, COUNTS // len(self.of))
         for s in range(0, len(joined) + 1, step):
             lo, hi = np.searchsorted(own, [s, s + step + 1])
@@ -138,7 +146,7 @@ class Index:
 
     def own_rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         flat = np.concatenate([p[:m] for p, m in zip(self.passages, self.lengths)]) if len(self.of) else np.zeros(0, np.uint64)
-        return self.rows(flat, np.repeat(np.arange(len(self.of)), self.lengths), len(self.of))
+        return self.unit(*self.tally(flat, np.repeat(np.arange(len(self.of)), self.lengths)))
 
     def settle(self, space: np.ndarray) -> None:
         """Fix the latent space (words x rank) and place the passages in it."""
@@ -166,47 +174,118 @@ def _blocks(w: tokens.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return first[w.doc] + place // BLOCK, np.repeat(np.arange(n), each)
 
 
+BLOCKS = "docs long, blocks long, packed binary, size binary, word binary, times binary"
+
+
 def _count_words(sent):
-    """Document frequencies of the vocabulary: one packed array per task."""
+    """Words of the vocabulary in all blocks (per piece: number of words of each block, words, times), and
+    their document frequencies: one packed array per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = sent.value
         v = len(index.vocabulary)
         df, docs = np.zeros(v, np.int64), 0
+
+        def row(*values):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x], pa.int64() if i < 2 else pa.binary()) for i, x in enumerate(values)],
+                names=["docs", "blocks", "packed", "size", "word", "times"])
         for b in batches:
             docs += b.num_rows
             for lo, hi in tokens.pieces_of_rows(b.column(0)):
                 w = tokens.words(b.column(0).slice(lo, hi - lo), plain=True)
-                at, k = index.find(w.hash)
-                df += np.bincount(np.unique(w.doc[at] * v + k) % v, minlength=v)
+                block, of = _blocks(w, hi - lo)
+                r, c, tf = index.tally(w.hash, block)
+                if len(r):
+                    df += np.bincount(_distinct(of[r] * v + c) % v, minlength=v)
+                    size = np.bincount(r)
+                    size = size[size > 0]
+                    yield row(0, len(size), None, size.astype(np.uint8).tobytes(), c.astype(_kind(v)).tobytes(), tf.astype(np.uint8).tobytes())
         if docs:
-            yield pa.RecordBatch.from_pydict({"docs": pa.array([docs], pa.int64()),
-                                              "packed": pa.array([zlib.compress(df.tobytes(), 1)], pa.binary())})
+            yield row(docs, 0, zlib.compress(df.tobytes(), 1), None, None, None)
     return run
 
 
-def _product(sent, base):
-    """Task's share of A'(A Q) over TF-IDF rows of document blocks."""
+def _kind(v: int):
+    return np.uint16 if v <= 1 << 16 else np.uint32
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def _unpacked(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sparse unit TF-IDF rows of the blocks that ``_count_words`` kept."""
+    for b in batches:
+        for size, word, times in zip(*(b.column(i) for i in range(3))):
+            size = np.frombuffer(size.as_buffer(), np.uint8)
+            word = np.frombuffer(word.as_buffer(), _kind(len(index.vocabulary))).astype(np.int64)
+            yield index.unit(np.repeat(np.arange(len(size)), size), word, np.frombuffer(times.as_buffer(), np.uint8).astype(float))
+
+
+def _half(v: int) -> np.ndarray:
+    """The cell (a, b), a <= b, of the upper half of a square is number ``_half(v)[a] + b``, row by row."""
+    a = np.arange(v)
+    return a * v - a * (a + 1) // 2
+
+
+def _gram(sent):
+    """Task's share of A'A over TF-IDF rows of blocks: strips of its upper half, the diagonal halved."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = sent.value
+        v = len(index.vocabulary)
+        half, total = _half(v), np.zeros(v * (v + 1) // 2)
+        for r, c, x in _unpacked(index, batches):
+            size = np.bincount(r)
+            left = np.repeat(np.cumsum(size), size) - np.arange(len(r))  # the words of a block ascend
+            one = np.repeat(np.arange(len(r)), left)
+            two = one + np.arange(len(one)) - np.repeat(np.cumsum(left) - left, left)
+            np.add.at(total, half[c[one]] + c[two], x[one] * x[two])
+        total[half + np.arange(v)] /= 2
+        for s in range(0, v, STRIP):
+            part = total[half[s] + s:half[min(s + STRIP, v) - 1] + v]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"first": pa.array([s], pa.int64()),
+                                                  "packed": pa.array([part.astype(np.float32).tobytes()], pa.binary())})
+    return run
+
+
+def _strip_product(base):
+    """Task's share of A'A Q, from strips of ``_gram``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = base.value
         total = np.zeros_like(q)
         for b in batches:
-            for lo, hi in tokens.pieces_of_rows(b.column(0)):
-                w = tokens.words(b.column(0).slice(lo, hi - lo), plain=True)
-                if len(w.hash):
-                    block, of = _blocks(w, hi - lo)
-                    total += _apply(*index.rows(w.hash, block, len(of)), len(of), q)
+            for first, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                flat, part = np.frombuffer(raw.as_buffer(), np.float32), np.zeros((min(STRIP, len(q) - first), len(q) - first))
+                for i in range(len(part)):
+                    part[i, i:], flat = flat[:len(q) - first - i], flat[len(q) - first - i:]
+                own = slice(first, first + len(part))
+                total[own] += part @ q[first:]
+                total[first:] += part.T @ q[own]
+        if total.any():
+            yield pa.RecordBatch.from_pydict({"packed": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+    return run
+
+
+def _block_product(sent, base):
+    """Task's share of A'(A Q) over TF-IDF rows of blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = base.value
+        total = np.zeros_like(q)
+        for rows in _unpacked(sent.value, batches):
+            total += _apply(*rows, q)
         if total.any():
             yield pa.RecordBatch.from_pydict({"packed": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
     return run
 
 
-def _apply(r: np.ndarray, c: np.ndarray, x: np.ndarray, n: int, q: np.ndarray) -> np.ndarray:
-    """A'(A q) of sparse rows."""
-    y = np.zeros((n, q.shape[1]))
-    np.add.at(y, r, x[:, None] * q[c])
-    out = np.zeros_like(q)
-    np.add.at(out, c, x[:, None] * y[r])
+def _apply(r: np.ndarray, c: np.ndarray, x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """A'(A q) of sparse rows, column by column."""
+    out = np.empty_like(q)
+    for j in range(q.shape[1]):
+        y = np.bincount(r, x * q[:, j][c])
+        out[:, j] = np.bincount(c, x * y[r], minlength=len(q))
     return out
 
 
@@ -226,25 +305,35 @@ def _sum_packed(df: DataFrame, column: str, dtype) -> np.ndarray | None:
     return sum(arrays) if arrays else None
 
 
-def _latent_space(index: Index, sample: DataFrame, sent_rank: int) -> np.ndarray:
-    """Right singular vectors (words x rank): randomised SVD, products with the matrix made in tasks."""
-    spark = sample.sparkSession
+def _latent_space(index: Index, counted: DataFrame, sent_rank: int) -> np.ndarray:
+    """Right singular vectors (words x rank) of benchmark passages and all blocks of ``counted``: randomised
+    SVD, products with the matrix made in tasks."""
+    spark = counted.sparkSession
     v = len(index.vocabulary)
     rank = min(sent_rank, v, max(1, len(index.of)))
     width = min(v, rank + 8)
     q = np.linalg.qr(np.random.default_rng(11).normal(size=(v, width)))[0]
     own = index.own_rows()
     sent = spark.sparkContext.broadcast(index)
+    blocks = counted.where("size is not null").select("size", "word", "times")
+    strips = None
+    if v <= GRAM_WORDS:
+        tasks = -(-(counted.agg(F.sum("blocks")).first()[0] or 0) // GRAM_BLOCKS)
+        strips = materialise(blocks.coalesce(max(1, tasks)).mapInArrow(_gram(sent), "first long, packed binary"), "leak-gram")
     for step in range(POWER_STEPS + 1):
         base = spark.sparkContext.broadcast(q)
-        other = _sum_packed(sample.mapInArrow(_product(sent, base), "packed binary"), "packed", np.float64)
+        part = blocks.mapInArrow(_block_product(sent, base), "packed binary") if strips is None else \
+            strips.mapInArrow(_strip_product(base), "packed binary")
+        other = _sum_packed(part, "packed", np.float64)
         base.unpersist()
-        total = _apply(*own, len(index.of), q)
-        if other is not None:  # the benchmark weighs as much as the sample
+        total = _apply(*own, q)
+        if other is not None:  # the benchmark weighs as much as the documents
             other = other.reshape(q.shape)
             total = total + other * (np.linalg.norm(total) / max(np.linalg.norm(other), 1e-12))
         if step < POWER_STEPS:
             q = np.linalg.qr(total)[0]
+    if strips is not None:
+        drop_table(strips)
     values, vectors = np.linalg.eigh(q.T @ total + total.T @ q)
     return q @ vectors[:, np.argsort(values)[::-1][:rank]]
 
@@ -304,6 +393,19 @@ def _compare(index: Index, w: tokens.Words, of: np.ndarray, start: np.ndarray, p
         yield a, p, _lcs(index.passages[p], index.lengths[p], text), text
 
 
+def _sums(table: np.ndarray, k: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of rows ``k`` of the table, ``count`` neighbouring ones each."""
+    out, first = np.empty((len(count), table.shape[1]), table.dtype), np.cumsum(count) - count
+    for s in range(0, len(count), 1024):  # the sums stay in the cache
+        order = np.argsort(-count[s:s + 1024], kind="stable") + s
+        begin, n = first[order], np.searchsorted(-count[order], -np.arange(count[order[0]]))
+        part = np.zeros((len(order), table.shape[1]), table.dtype)
+        for j, m in enumerate(n):
+            part[:m] += table[k[begin[:m] + j]]
+        out[order] = part
+    return out
+
+
 def _search_piece(index: Index, column: pa.Array, n: int, cosine: float, min_overlap: float, min_answer: float) -> list[tuple]:
     none = [(None, 0.0, 0.0, 0)] * n
     w = tokens.words(column, plain=True)
@@ -313,11 +415,7 @@ def _search_piece(index: Index, column: pa.Array, n: int, cosine: float, min_ove
     at, k = index.find(w.hash)
     if not len(at):
         return none
-    z = np.zeros((len(of), index.space.shape[1]), np.float32)
-    for s in range(0, len(at), 1 << 15):
-        own = block[at[s:s + (1 << 15)]]
-        edge = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        z[own[edge]] += np.add.reduceat(index.weighted[k[s:s + (1 << 15)]], edge, axis=0)
+    z = _sums(index.weighted, k, np.bincount(block[at], minlength=len(of)))
     joined = of[1:] == of[:-1]
     shared = list(index.sharing(block[at], k, joined))
     z[:-1][joined] += z[1:][joined]  # window: a block and the next one of the document
@@ -377,22 +475,17 @@ def _rounds(docs: DataFrame, benchmark: DataFrame, answer_col: str | None, min_o
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
     rounds = max(1, -(-items.count() // ITEMS_PER_ROUND))
-    # the sample: distinct texts of smallest hash; hashes alone are sorted
-    hashes = text.where(F.length("text") > 0).select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS)
-    hashes = materialise(hashes, "leak-hashes")
-    sample = text.withColumn("h", F.xxhash64("text")).join(F.broadcast(hashes), "h")  # SAMPLE_DOCS hashes
-    sample = materialise(sample.dropDuplicates(["h"]).select("text"), "leak-sample")
     for r in range(rounds):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(rounds)) == r).orderBy("item_id", "text")
         index = Index([tuple(x) for x in own.collect()])
         if len(index.vocabulary):
-            counted = materialise(text.mapInArrow(_count_words(spark.sparkContext.broadcast(index)),
-                                                  "docs long, packed binary"), "leak-df")
-            df = _sum_packed(counted, "packed", np.int64)
+            counted = materialise(text.mapInArrow(_count_words(spark.sparkContext.broadcast(index)), BLOCKS), "leak-blocks")
+            df = _sum_packed(counted.where("packed is not null"), "packed", np.int64)
             n_docs = counted.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
             index.weigh(df if df is not None else np.zeros(len(index.vocabulary)), n_docs)
             index.post(max(LEAST_COVER, min_overlap))
-            index.settle(_latent_space(index, sample, RANK))
+            index.settle(_latent_space(index, counted, RANK))
+            drop_table(counted)
         yield index
 
 

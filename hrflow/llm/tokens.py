@@ -9,6 +9,7 @@ needs a bounded amount of memory beyond its own words.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +47,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+@functools.cache
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_BASE, 2 * PIECE), _powers(_INVERSE, 2 * PIECE)
+
+
 @dataclass
 class Words:
     """Words of a batch in order: byte spans in ``buf``, row number, hash, hashes of leading bytes."""
@@ -100,7 +106,7 @@ def words(column: pa.Array, leads: tuple[int, ...] = (), plain: bool = False) ->
     doc = np.searchsorted(off, start, side="right") - 1
     out = np.zeros(len(start), np.uint64)
     lead = {k: np.zeros(len(start), np.uint64) for k in leads}
-    up, down = _powers(_BASE, 2 * PIECE), _powers(_INVERSE, 2 * PIECE)
+    up, down = _usual_powers()
     i = 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + PIECE, side="right")))

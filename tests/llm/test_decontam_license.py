@@ -2,10 +2,11 @@ import random
 import textwrap
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hrflow.llm import decontam, license as lic
+from hrflow.llm import decontam, license as lic, tokens
 
 VOCABULARY = [a + b for a in ("ba", "ko", "ri", "tu", "se", "mo", "la", "ne") for b in ("da", "fi", "go", "hu", "ja", "ky", "lo", "mi")]
 
@@ -117,6 +118,49 @@ def test_cut_items_and_reworded_endings_are_found(spark):
     assert {r.doc_id for r in got} == {2, 3, 4}
 
 
+def test_latent_space_is_fitted_to_all_documents(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    items = [(i, " ".join(rng.choice(VOCABULARY, 20))) for i in range(6)]
+    docs = [(i, " ".join(rng.choice(VOCABULARY[:20] if i % 3 else VOCABULARY[20:], rng.integers(20, 90)))) for i in range(1300)]
+    docs += [(5000, None), (5001, ""), (5002, "none of these"), docs[0]]
+
+    def rows(texts):
+        """Unit TF-IDF rows of blocks, word by word."""
+        out = []
+        for t in texts:
+            w = (t or "").split()
+            for s in range(0, len(w), decontam.BLOCK):
+                x = np.zeros(len(words))
+                for u in w[s:s + decontam.BLOCK]:
+                    if u in words:
+                        x[words.index(u)] += 1
+                x = np.where(x > 0, 1 + np.log(np.maximum(x, 1)), 0) * idf
+                if x.any():
+                    out.append(x / np.linalg.norm(x))
+        return np.array(out)
+
+    words = sorted({u for _, t in items for u in t.split()})
+    df = np.array([sum(u in (t or "").split() for _, t in docs) for u in words])
+    idf = np.log((1.0 + len(docs)) / (1.0 + df)) + 0.05
+    for bound in (decontam.GRAM_WORDS, 0):
+        monkeypatch.setattr(decontam, "RANK", 5)
+        monkeypatch.setattr(decontam, "GRAM_WORDS", bound)
+        index = next(decontam._rounds(frame(spark, docs), bench(spark, items), None, 0.6))
+        order = [int(np.searchsorted(index.vocabulary, tokens.words(pa.array([u], pa.large_string()), plain=True).hash[0])) for u in words]
+        assert np.allclose(index.idf[order], idf)
+        own, other = (x.T @ x for x in (rows(t for _, t in items), rows(t for _, t in docs)))
+        q = np.zeros((len(words), min(len(words), 5 + 8)))
+        q[:] = np.linalg.qr(np.random.default_rng(11).normal(size=q.shape))[0][order]
+        for step in range(decontam.POWER_STEPS + 1):
+            total = own @ q + other @ q * (np.linalg.norm(own @ q) / np.linalg.norm(other @ q))
+            if step < decontam.POWER_STEPS:
+                q = np.linalg.qr(total)[0]
+        values, vectors = np.linalg.eigh(q.T @ total + total.T @ q)
+        space = q @ vectors[:, np.argsort(values)[::-1][:5]]
+        got = index.space[order]
+        assert np.abs(got @ got.T - space @ space.T).max() < 1e-3
+
+
 def test_edges(spark, planted):
     docs, items, _ = planted
     odd = [(1, None), (2, ""), (3, " \n "), (4, "a " * 50_000), (None, items[0][1]), (5, items[0][1]), (5, items[0][1])]
