@@ -20,16 +20,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    The copy cuts the lineage and survives lost executors.
+    The copy cuts the lineage and survives lost executors; its schema is known, so no job reads it off
+    the files. ``tasks``: most tasks that write it, for tables of bounded size. Without Hadoop's native
+    library each file on a local folder costs its writer two child processes, so small tables are
+    few files and the driver writes no ``_SUCCESS`` marker.
     """
     spark = df.sparkSession
     small_batches(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = df if tasks is None else df.coalesce(tasks)
+    out.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_table(df: DataFrame) -> None:

@@ -1,10 +1,11 @@
+import os
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hrflow.llm import quality, toxicity
+from hrflow.llm import quality, tables, toxicity
 
 DOCS = "doc_id long, text string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -119,3 +120,19 @@ def test_forward_backward_equals_enumeration():
                 m = al[t - 1][:, None] * np.exp(trans) * (e[t] * be[t])[None, :]
                 edges += m / m.sum()
         assert np.allclose(got, want) and np.allclose(pairs, edges)
+
+
+def test_scratch_tables_have_no_marker_and_cost_one_job(spark):
+    rows = spark.createDataFrame([(1, "a", [1.5]), (2, None, None)], "id long, t string, v array<double>")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("scratch-table", "scratch-table")
+    try:
+        out = tables.materialise(rows, "marker")
+        empty = tables.materialise(rows.where("id > 9"), "marker-empty")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("scratch-table")) == 2
+    folder = out.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert [f for f in os.listdir(folder) if "SUCCESS" in f] == []
+    assert out.schema == rows.schema and empty.schema == rows.schema and empty.count() == 0
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
