@@ -29,6 +29,7 @@ from .tables import materialise, small_batches
 LEADS = (4, 5, 6)
 FLOOR = 0.05  # marginals below it don't count as expected toxic words
 KINDS = 1 + len(LEADS)
+SAMPLE_TASKS = 24  # most tasks that write a shuffled table of the bounded sample, whatever the session's shuffle partitions
 
 
 @dataclass(frozen=True)
@@ -245,8 +246,9 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: FitBounds = FitBounds()) ->
     sample = materialise(pick(1, bounds.toxic_docs).unionByName(pick(0, bounds.clean_docs)), "tox-ids")
     text = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .join(F.broadcast(sample), "doc_id"))  # at most toxic_docs + clean_docs ids
-    text = materialise(text.dropDuplicates(["doc_id"]), "tox-train")
-    text = materialise(text.join(_copy_weights(text), "doc_id").select("text", "label", "weight"), "tox-weighted")
+    text = materialise(text.dropDuplicates(["doc_id"]), "tox-train", SAMPLE_TASKS)
+    weights = F.broadcast(_copy_weights(text))  # a row per sampled id
+    text = materialise(text.join(weights, "doc_id").select("text", "label", "weight"), "tox-weighted")
     size = {r["label"]: r["w"] for r in text.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
     n1, n0 = float(size.get(1, 0)), float(size.get(0, 0)) or 1.0
     empty = Field(np.zeros(0, np.uint64), np.zeros(0), -8.0, np.log(np.full((2, 2), 0.5)), np.log(np.full(2, 0.5)))
@@ -260,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: FitBounds = FitBounds()) ->
     xlogx = lambda a, e: f"if({a} < 1e-9, 0D, {a} * ln({a} / {e}))"
     counts = materialise(
         counts.withColumn("g", F.expr(f"2 * ({xlogx('t', x)} + {xlogx('o', f'(c * {n0 / (n0 + n1)!r}D)')})"))
-        .withColumn("pure", F.expr(f"(t / {n1!r}D) / (t / {n1!r}D + o / {n0!r}D)")), "tox-counts")
+        .withColumn("pure", F.expr(f"(t / {n1!r}D) / (t / {n1!r}D + o / {n0!r}D)")), "tox-counts", SAMPLE_TASKS)
     found = (counts.where("g >= 6 and pure > 0.5").orderBy(F.desc("g"), "feature").limit(bounds.features)
              .select("feature", "t", "g", "pure").toArrow())
     if not len(found):

@@ -122,6 +122,31 @@ def test_forward_backward_equals_enumeration():
         assert np.allclose(got, want) and np.allclose(pairs, edges)
 
 
+def test_toxicity_fit_writes_few_files_in_many_partitions(spark, labelled, monkeypatch):
+    docs, labels = labelled
+    want = toxicity.score(docs, toxicity.fit(docs, labels)).orderBy("doc_id").collect()
+    files = {}
+
+    def noted(df, name, *rest):
+        out = tables.materialise(df, name, *rest)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(toxicity, "materialise", noted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        field = toxicity.fit(docs, labels)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(files) == 6 and max(files.values()) <= toxicity.SAMPLE_TASKS
+    got = toxicity.score(docs, field).orderBy("doc_id").collect()
+    assert [r.doc_id for r in got] == [r.doc_id for r in want]
+    assert np.allclose([r.score for r in got], [r.score for r in want], atol=1e-4)
+
+
 def test_scratch_tables_have_no_marker_and_cost_one_job(spark):
     rows = spark.createDataFrame([(1, "a", [1.5]), (2, None, None)], "id long, t string, v array<double>")
     tracker = spark.sparkContext.statusTracker()
