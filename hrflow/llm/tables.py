@@ -11,7 +11,7 @@ from ..session import scratch_path
 
 
 #: Bytes of an Arrow batch: texts are long, and a Python worker holds a few copies of a batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -26,13 +26,16 @@ def materialise(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame
     The copy cuts the lineage and survives lost executors; its schema is known, so no job reads it off
     the files. ``tasks``: most tasks that write it, for tables of bounded size. Without Hadoop's native
     library each file on a local folder costs its writer two child processes, so small tables are
-    few files and the driver writes no ``_SUCCESS`` marker.
+    few files and the driver writes no ``_SUCCESS`` marker. Pages are closed by their bytes from the
+    first row on: Parquet looks at a page's size after 100 rows only, and with packed arrays for rows its
+    codec then keeps buffers of tens of MB outside the heap for the rest of the session.
     """
     spark = df.sparkSession
     small_batches(spark)
     path = scratch_path(spark, name)
     out = df if tasks is None else df.coalesce(tasks)
-    out.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    (out.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .option("parquet.page.size.row.check.min", "1").parquet(path))
     return spark.read.schema(df.schema).parquet(path)
 
 
